@@ -65,7 +65,7 @@ def template_purity(examples: DataFrame, depth: int = DEPTH, most_children: int
     for level in range(1, depth + 1):
         ways = ways.withColumn("segment", F.get("shapes", F.lit(level - 1)))
         children = ways.filter("segment IS NOT NULL").groupBy("host", "node", "segment").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
-        parents = children.groupBy("host", "node").agg(F.count(F.lit(1)).alias("children"), F.sum("blocked").alias("all_blocked"), F.sum(seen).alias("all_seen"))
+        parents = children.groupBy("host", "node").agg(F.count(F.lit(1)).alias("children"), F.count(F.when(seen > 0, 1)).alias("examined_children"), F.sum("blocked").alias("all_blocked"), F.sum(seen).alias("all_seen"))
         share = F.col("all_blocked") / F.col("all_seen")
         spread = F.sqrt(share * (1 - share) / seen)
         alike = (F.col("all_seen") > 0) & (seen > 0) & (F.abs(F.col("blocked") / seen - share) <= z * spread)
