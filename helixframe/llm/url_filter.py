@@ -69,7 +69,7 @@ def template_purity(examples: DataFrame, depth: int = DEPTH, most_children: int
         share = F.col("all_blocked") / F.col("all_seen")
         spread = F.sqrt(share * (1 - share) / seen)
         alike = (F.col("all_seen") > 0) & (seen > 0) & (F.abs(F.col("blocked") / seen - share) <= z * spread)
-        name = F.when(F.col("children") > most_children, "{any}").when(alike & (F.col("children") > 1), "{alike}").otherwise(F.col("segment"))
+        name = F.when(F.col("children") > most_children, "{any}").when(alike & (F.col("examined_children") > 1), "{alike}").otherwise(F.col("segment"))
         named = children.join(parents, ["host", "node"]).withColumn("name", name)
         nodes = named.groupBy("host", "node", "name").agg(F.sum("blocked").alias("node_blocked"), F.sum("allowed").alias("node_allowed"))
         judged = named.select("host", "node", "segment", "name").join(nodes, ["host", "node", "name"])
