@@ -6,8 +6,11 @@ file reader and parsed by built-in functions. Files with CRLF ends and wrapped l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.functions.text import natural_number
@@ -45,18 +48,32 @@ def completed(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(paths).select(F.split(F.trim("value"), r"\s+")[0].alias("accession")).filter("accession <> ''").distinct()
 
 
+def _mark_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds whether a record is the first of its file: one whose file part starts at 0 and differs
+    from that of the record before."""
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pc.binary_join_element_wise(batch.column("file"), pc.cast(batch.column("block"), pa.string()), ":")
+        shifted = pa.concat_arrays([pa.array([before], pa.string()), part.slice(0, len(part) - 1)])
+        new = pc.fill_null(pc.not_equal(part, shifted), True)
+        before = part[-1].as_py()
+        yield batch.append_column("first", pc.and_(new, pc.equal(batch.column("block"), 0)))
+
+
 def fasta(spark: SparkSession, paths) -> DataFrame:
     """(assembly, pos, seq_id, header, seq): one row per record, repeats kept. The id is the first
-    word of the header, sequences are joined and upper-cased; text before the first header goes."""
-    raw = spark.read.option("lineSep", "\n>").text(paths).select(
-        F.regexp_replace(_name(), r"\.[^.]*$", "").alias("assembly"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth")).alias("pos"), "value"
-    )
-    first = (F.col("pos.block") == 0) & (F.row_number().over(W.partitionBy("assembly", "pos.block").orderBy("pos.nth")) == 1)
-    record = raw.withColumn("first", first).filter(~F.col("first") | F.col("value").startswith(">"))
-    record = record.withColumn("value", F.when(F.col("first"), F.expr("substr(value, 2)")).otherwise(F.col("value")))
+    word of the header, sequences are joined and upper-cased; text before the first header goes.
+    Nothing is shuffled: the first record of a file is told by its neighbour in the same task."""
+    raw = spark.read.option("lineSep", "\n>").text(paths).select(_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), "value")
+    marked = raw.mapInArrow(_mark_first, "file string, block long, nth long, value string, first boolean")
+    record = marked.filter(~F.col("first") | F.col("value").startswith(">")).withColumn("value", F.when(F.col("first"), F.expr("substr(value, 2)")).otherwise(F.col("value")))
     header = F.regexp_extract("value", r"^([^\r\n]*)", 1)
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s", "")
-    return record.select("assembly", "pos", F.regexp_extract(header, r"^\s*(\S*)", 1).alias("seq_id"), header.alias("header"), F.upper(body).alias("seq"))
+    return record.select(
+        F.regexp_replace("file", r"\.[^.]*$", "").alias("assembly"), F.struct("block", "nth").alias("pos"), F.regexp_extract(header, r"^\s*(\S*)", 1).alias("seq_id"), header.alias("header"), F.upper(body).alias("seq")
+    )
 
 
 def last_of_each(records: DataFrame) -> DataFrame:
