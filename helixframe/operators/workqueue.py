@@ -7,12 +7,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.functions.text import percent_bucket
+from helixframe.storage import scratch
 
 
 def numbered(rows: DataFrame, *order: str, blocks: int = 64) -> DataFrame:
-    """rows with nth, counted from 0 in an order. Ranges of the first sort key are numbered on
-    their own and shifted by the counts before them, so no single task sorts everything."""
-    ranged = rows.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id())
+    """rows with nth, counted from 0 in an order. Ranges of the keys are numbered on their own and
+    shifted by the counts before them, so no single task sorts everything. The ranges are written
+    out: their bounds come from a sample, and both passes must see the same ones."""
+    ranged = scratch(rows.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     first = counts.select("_block", F.coalesce(F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
     inside = F.row_number().over(W.partitionBy("_block").orderBy(*order)) - 1

@@ -87,7 +87,7 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "seq_entropy_all_letters": f"WITH {_SEQS}, k AS (SELECT seq_id, ch, count(*) AS n FROM (SELECT seq_id, unnest(string_split(seq, '')) AS ch FROM seqs WHERE seq <> '') GROUP BY ALL), e AS (SELECT seq_id, abs(log2(sum(n)) - sum(n * log2(n)) / sum(n)) AS entropy FROM k GROUP BY seq_id) SELECT seq_id, round(coalesce(entropy, 0.0::DOUBLE), 6) AS entropy FROM seqs LEFT JOIN e USING (seq_id)",
         "seq_entropy_summary": f"WITH {_SEQS}, {_ENTROPY} SELECT round(min(entropy), 6) AS min_h, round(max(entropy), 6) AS max_h, round(avg(entropy), 6) AS mean_h, round(median(entropy), 6) AS median_h, round(log2(20), 6) AS max_possible FROM ent",
         "seq_entropy_hist": _histogram(f"{_SEQS}, {_ENTROPY}", "SELECT round(entropy, 6) AS x FROM ent", 50),
-        "seq_validate": f"WITH {_SEQS}, {_STRUCTURES} SELECT a.seq_id, length(a.seq) AS len, length(s.seq) AS other_len, CASE WHEN s.seq_id IS NULL THEN 'MISSING' ELSE 'LENGTH MISMATCH' END AS status FROM seqs a LEFT JOIN structures s USING (seq_id) WHERE s.seq_id IS NULL OR length(a.seq) <> length(s.seq)",
+        "seq_validate": f"WITH {_SEQS}, {_STRUCTURES} SELECT a.seq_id, length(a.seq) AS len, coalesce(length(s.seq), -1) AS other_len, CASE WHEN s.seq_id IS NULL THEN 'MISSING' ELSE 'LENGTH MISMATCH' END AS status FROM seqs a LEFT JOIN structures s USING (seq_id) WHERE s.seq_id IS NULL OR length(a.seq) <> length(s.seq)",
         "seq_bad_chars": f"SELECT 'D' || doc_id AS seq_id, bad FROM (SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(string_split(coalesce(text, ''), '')), lambda c: c <> '' AND NOT contains('{ALPHABET}', c))), '') AS bad FROM documents) WHERE bad <> ''",
         "seq_dominant_char": f"WITH {_SEQS}, k AS (SELECT seq_id, ch, count(*) AS n, length(any_value(seq)) AS len FROM (SELECT seq_id, seq, unnest(string_split(seq, '')) AS ch FROM seqs WHERE seq <> '') GROUP BY seq_id, ch), b AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY n DESC, ch) AS nth FROM k) SELECT seq_id, ch, round(n::DOUBLE / len, 6) AS share FROM b WHERE nth = 1 AND n::DOUBLE / len > 0.2",
         "seq_lookup": f"WITH {_SEQS}, {_STRUCTURES} SELECT s.seq_id, md5(s.seq) AS structure, md5(coalesce(a.seq, '(not found in combined AA FASTA)')) AS aa, length(a.seq) AS aa_len, length(s.seq) AS structure_len FROM structures s LEFT JOIN seqs a USING (seq_id) WHERE s.seq_id = 'S0'",

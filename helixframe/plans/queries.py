@@ -296,7 +296,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "seq_entropy_all_letters": lambda s, d: _rounded(composition.entropy_all_letters(seqs(s, d)), "entropy"),
         "seq_entropy_summary": lambda s, d: _rounded(m := composition.entropy_summary(composition.entropy(seqs(s, d))), *m.columns),
         "seq_entropy_hist": lambda s, d: _histogram(composition.entropy(seqs(s, d)).select(F.round("entropy", 6).alias("x")), 50),
-        "seq_validate": lambda s, d: composition.validate_pairs(seqs(s, d), adapters.structures(s, d)),
+        "seq_validate": lambda s, d: composition.validate_pairs(seqs(s, d), adapters.structures(s, d)).fillna(-1, "other_len"),
         "seq_dominant_char": lambda s, d: _rounded(composition.dominant_letter(seqs(s, d), DOMINANT), "share"),
         "seq_fuzzy_lookup": lambda s, d: composition.similar_ids(seqs(s, d), "7"),
         "kmer_profile": lambda s, d: _rounded(kmers.profile(seqs(s, d)), "freq"),

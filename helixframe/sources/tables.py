@@ -28,7 +28,7 @@ def downloaded(metadata: DataFrame) -> DataFrame:
 
 
 def skipped(metadata: DataFrame) -> DataFrame:
-    return metadata.filter("_corrupt IS NOT NULL").select("path")
+    return metadata.filter("_corrupt IS NOT NULL AND assemblies_downloaded IS NULL").select("path")
 
 
 def report_pages(pages: DataFrame, most: int | None = None) -> DataFrame:

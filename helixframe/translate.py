@@ -58,6 +58,7 @@ def embed(seqs: DataFrame, factory: Callable[[], Translator]) -> DataFrame:
         model = factory()
         for frame in frames:
             for seq_id, rows in zip(frame["seq_id"], model.embed(frame["seq"].tolist()), strict=True):
-                yield pd.DataFrame({"seq_id": seq_id, "resi": range(len(rows)), "embedding": rows})
+                if rows:
+                    yield pd.DataFrame({"seq_id": seq_id, "resi": range(len(rows)), "embedding": rows})
 
     return seqs.select("seq_id", "seq").mapInPandas(run, "seq_id string, resi int, embedding array<double>")
