@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.text import distinct_letters, foreign_letters, letters
 from helixframe.schemas import ALPHABET
+from helixframe.storage import scratch
 
 
 def length_summary(seqs: DataFrame) -> DataFrame:
@@ -28,10 +29,11 @@ def box(values: DataFrame, column: str) -> DataFrame:
 def histogram(values: DataFrame, column: str, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
     """(bin, lo, hi, n) over equal widths, the last bin closed; empty bins are listed. Bounds that
     are not given are the smallest and largest value."""
-    x = F.col(column).cast("double")
-    bounds = values.agg((F.lit(low) if low is not None else F.min(x)).cast("double").alias("lo"), (F.lit(high) if high is not None else F.max(x)).cast("double").alias("hi"))
+    # The values are needed twice, for their bounds and for their bins: they are computed once.
+    x, settled = F.col("_x"), scratch(values.select(F.col(column).cast("double").alias("_x")), "histogram")
+    bounds = settled.agg((F.lit(low) if low is not None else F.min(x)).cast("double").alias("lo"), (F.lit(high) if high is not None else F.max(x)).cast("double").alias("hi"))
     place = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((x - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins))).otherwise(1)
-    counted = values.join(F.broadcast(bounds)).filter(x.between(F.col("lo"), F.col("hi"))).groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = settled.join(F.broadcast(bounds)).filter(x.between(F.col("lo"), F.col("hi"))).groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     spine = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     return spine.join(counted, "bin", "left").select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("lo"), (F.col("lo") + F.col("bin") * width).alias("hi"), F.coalesce("n", F.lit(0)).alias("n"))
