@@ -1,15 +1,12 @@
-"""What the corpus operators share: scratch tables in the cluster's shared folder, row access
-to Arrow batches, and a fixed-size membership filter that keeps clean rows out of shuffles."""
+"""What the corpus operators share: row access to Arrow batches, bounded tables of words,
+and a fixed-size membership filter that keeps clean rows out of shuffles."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of the membership filter: 4 MB when broadcast, at any size of the input. A fuller filter
@@ -17,43 +14,19 @@ from pyspark.sql import functions as F
 FILTER_BITS = 1 << 25
 _BUCKET_BITS = 8 * 4096  # what bitmap_construct_agg holds in one value
 
-_written: list[tuple[SparkSession, str]] = []
 
+#: Bounds of an Arrow batch between the JVM and Python: texts are long, and both sides hold a batch.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="helixframe-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
 
-
-def scratch(df: DataFrame, label: str) -> DataFrame:
-    """Writes df once to the shared folder and reads it back: a cut of the lineage that survives
-    lost executors. The files go when the driver's Python ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(schema).parquet(path)
-
-
-def _clean() -> None:
-    while _written:
-        spark, path = _written.pop()
-        try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # noqa: BLE001  the session may be gone at exit
-            return
-
-
-atexit.register(_clean)
+def narrow(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The columns that go to Python, in small batches. The session keeps the batch size, as plans
+    run after this returns."""
+    conf = docs.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs.select(*[c.alias(n) for n, c in columns.items()]) if columns else docs
 
 
 def column_rows(batch: pa.RecordBatch, names: list[str], step: int = 256) -> Iterator[tuple]:
@@ -87,6 +60,18 @@ class Remembered(dict):
         return value
 
 
+_resident: dict = {}
+
+
+def resident(key, build):
+    """What `build` makes, kept for the tasks of this Python worker until another key is asked for:
+    a worker that serves several operators holds the tables of one of them."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = build()
+    return _resident[key]
+
+
 def chunks(rows: Iterator, size: int) -> Iterator[list]:
     held: list = []
     for row in rows:

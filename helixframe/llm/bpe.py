@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import Remembered, column_rows
+from helixframe.llm._common import Remembered, column_rows, narrow, resident
 
-_NONE = 1 << 60
-_BATCH_IDS, _BATCH_ROWS = 1 << 20, 1024
+_ID = 24  # bits of an id
+_ID_MASK = (1 << _ID) - 1
+_NONE = 1 << 40
+_NO_PAIR = _NONE << _ID
+_BATCH_IDS, _BATCH_ROWS = 1 << 19, 1024
 #: White space as Unicode has it; Python's own class also holds the separators 1C to 1F.
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: A word with at most one space before it, white space up to the last before a word, other white space.
@@ -55,10 +58,10 @@ class Merges:
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocab[letter]
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pairs: dict[int, int] = {}  # left << _ID | right: rank << _ID | id of both
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            self.pairs.setdefault(vocab[left] << _ID | vocab[right], rank << _ID | vocab[left + right])
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.added = added
         self.token_bytes = {i: bytes(letters[c] for c in token) for token, i in vocab.items() if token not in added} | {i: t.encode() for t, i in added.items()}
@@ -69,10 +72,8 @@ class SegmentTree:
     rank and the leftmost pair that has it."""
 
     def __init__(self, ranks: list[int]):
-        self.size = size = 1 << max(0, (len(ranks) - 1).bit_length())
-        self.width = size
-        leaves = [r * size + i for i, r in enumerate(ranks)] + [_NONE * size] * (size - len(ranks))
-        low = self.low = [0] * size + leaves
+        size = self.width = 1 << max(0, (len(ranks) - 1).bit_length())
+        low = self.low = [0] * size + [r * size + i for i, r in enumerate(ranks)] + [_NONE * size] * (size - len(ranks))
         while size > 1:
             low[size // 2 : size] = map(min, low[size : 2 * size : 2], low[size + 1 : 2 * size : 2])
             size //= 2
@@ -80,10 +81,10 @@ class SegmentTree:
     def leftmost(self) -> int:
         """The first leaf that holds the least rank; -1 if none is left."""
         least = self.low[1]
-        return -1 if least >= _NONE * self.width else least % self.width
+        return -1 if least >= _NONE * self.width else least & (self.width - 1)
 
     def put(self, leaf: int, rank: int) -> None:
-        low, i = self.low, leaf + self.size
+        low, i = self.low, leaf + self.width
         low[i] = rank * self.width + leaf
         while i > 1:
             a, b = low[i], low[i ^ 1]
@@ -94,54 +95,72 @@ class SegmentTree:
             low[i] = least
 
 
-def merge_word(ids: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The ids left when no adjacent pair merges any more."""
+def merge_word(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """The ids left when no adjacent pair merges any more. pairs: see Merges."""
     n = len(ids)
     if n < 2:
         return ids
-    ids, none = list(ids), (_NONE, 0)
-    tree = SegmentTree([pairs.get(pair, none)[0] for pair in zip(ids, ids[1:])])
+    ids, rank_of = list(ids), pairs.get
+    tree = SegmentTree([rank_of(a << _ID | b, _NO_PAIR) >> _ID for a, b in zip(ids, ids[1:])])
     following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (i := tree.leftmost()) >= 0:
+    low, width = tree.low, tree.width
+    none = _NONE * width
+    while (least := low[1]) < none:
+        i = least & (width - 1)
         j = following[i]
-        ids[i] = pairs[ids[i], ids[j]][1]
+        ids[i] = new = pairs[ids[i] << _ID | ids[j]] & _ID_MASK
         ids[j] = -1
         k = following[i] = following[j]
         if k < n:
-            tree.put(j, _NONE)
             before[k] = i
-            tree.put(i, pairs.get((ids[i], ids[k]), none)[0])
+            changed = [(j, none), (i, (rank_of(new << _ID | ids[k], _NO_PAIR) >> _ID) * width + i)]
         else:
-            tree.put(i, _NONE)
+            changed = [(i, none)]
         if (h := before[i]) >= 0:
-            tree.put(h, pairs.get((ids[h], ids[i]), none)[0])
+            changed.append((h, (rank_of(ids[h] << _ID | new, _NO_PAIR) >> _ID) * width + h))
+        for leaf, value in changed:  # SegmentTree.put, in place
+            at = leaf + width
+            low[at] = value
+            while at > 1:
+                other = low[at ^ 1]
+                if other < value:
+                    value = other
+                at >>= 1
+                if low[at] == value:
+                    break
+                low[at] = value
     return [x for x in ids if x >= 0]
 
 
-class Words(Remembered):
-    """Ids of a word of the pattern, as little-endian bytes."""
-
-    def __init__(self, merges: Merges):
-        super().__init__()
-        self.merges = merges
-
-    def make(self, word: str) -> bytes:
-        start = self.merges.byte_ids
-        return np.array(merge_word([start[b] for b in word.encode("utf-8")], self.merges.pairs), "<i4").tobytes()
-
-
 class Codec(Remembered):
-    """Remembers the ids of chunks: what stands between white space may be several words."""
+    """Remembers the ids of chunks, as little-endian bytes: a chunk is what stands between white
+    space with the space before it, and may be several words of the pattern."""
+
+    entries = 750_000
 
     def __init__(self, file: str):
         super().__init__()
         self.merges = Merges(file)
-        self.words = Words(self.merges)
         added = sorted(self.merges.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self.marks: dict[str, bytes] = {}  # ids of closing marks, of which there are few
+
+    def word(self, word: str) -> bytes:
+        start = self.merges.byte_ids
+        return array("i", merge_word([start[b] for b in word.encode("utf-8")], self.merges.pairs)).tobytes()
 
     def make(self, chunk: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, _WORD.findall(chunk)))
+        core = chunk.rstrip(".,;:!?")
+        if core.removeprefix(" ").isalpha():  # the pattern parts these in two at sight
+            marks = chunk[len(core) :]
+            if not marks:
+                return self.word(core)
+            if (ids := self.marks.get(marks)) is None:
+                ids = self.word(marks)
+                if len(marks) <= 3:
+                    self.marks[marks] = ids
+            return (self.get(core) or self.word(core)) + ids
+        return b"".join(map(self.word, _WORD.findall(chunk)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -153,14 +172,19 @@ class Codec(Remembered):
             parts.append(np.array([self.merges.added[part]], "<i4").tobytes() if i % 2 else b"".join(map(self.__getitem__, _CHUNK.findall(part))))
         return b"".join(parts)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.merges.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: list[int | None]) -> str:
+        """The text of ids; null and unknown ids stand for nothing, as in the library."""
+        known = self.merges.token_bytes
+        try:
+            raw = b"".join(map(known.__getitem__, ids))
+        except KeyError:
+            raw = b"".join(known.get(i, b"") for i in ids)
+        return raw.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def codec_of(file: str) -> Codec:
     """One codec for all tasks of a Python worker."""
-    return Codec(file)
+    return resident(("bpe", file), lambda: Codec(file))
 
 
 def encode(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
@@ -189,8 +213,8 @@ def encode(docs: DataFrame, file: str, id_col: str = "doc_id", text_col: str = "
         if rows:
             yield batch_of(rows)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>" + ", decoded string" * decoded)
+    texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col))
+    return texts.mapInArrow(run, "doc_id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -203,4 +227,4 @@ def decode(encoded: DataFrame, file: str, id_col: str = "doc_id", ids_col: str =
             rows = [(doc_id, codec.decode(ids or [])) for doc_id, ids in column_rows(batch, ["doc_id", "ids"])]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], schema=schema)
 
-    return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, decoded string")
+    return narrow(encoded, doc_id=F.col(id_col).cast("long"), ids=F.col(ids_col)).mapInArrow(run, "doc_id long, decoded string")

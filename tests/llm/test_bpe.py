@@ -58,3 +58,9 @@ def test_query_digests(spark, small):
         assert rows[r.doc_id].n_tokens == len(ids)
         assert rows[r.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert rows[r.doc_id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_unknown_ids_decode_to_nothing(spark):
+    rows = spark.createDataFrame([(1, [39, 99_999_999, None]), (2, None), (3, []), (4, [200])], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.decoded for r in bpe.decode(rows, FILE).collect()}
+    assert got == {1: LIBRARY.decode([39]), 2: "", 3: "", 4: LIBRARY.decode([200])}
