@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import bucket_of, chunks, column_rows, record_batch
+from helixframe.llm._common import bucket_of, chunks, column_rows, narrow, record_batch, resident
 
 UNKNOWN_LANGUAGE = "und"
-#: Bounds of the sample: rows of a language, rows in all, characters of a text that is learned from.
-ROWS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 600, 20_000, 30_000
+#: Bounds of the sample: rows of a language, rows in all, characters of a text that is learned from,
+#: and languages, the largest.
+ROWS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS, LANGUAGES = 600, 20_000, 30_000, 1000
 ROUNDS, SMOOTHING, FOREIGN = 2, 0.05, 1e-7
 MARK = "▁"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -209,15 +210,9 @@ class Scorer:
         return self.model.languages[best], float(share[best] / share.sum())
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer_of(model: Model) -> Scorer:
     """One scorer for all tasks of a Python worker."""
-    if model.token not in _scorers:
-        _scorers.clear()
-        _scorers[model.token] = Scorer(model)
-    return _scorers[model.token]
+    return resident(("language", model.token), lambda: Scorer(model))
 
 
 def train(docs: DataFrame, model_file: str, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS_PER_LANGUAGE, most: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> Model:
@@ -226,8 +221,12 @@ def train(docs: DataFrame, model_file: str, lang_col: str = "lang", id_col: str
     key = F.col(id_col).cast("long")
     able = docs.filter(bucket_of(key) != 0).select(key.alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
     able = able.filter(F.col("_lang").isNotNull() & F.col("_id").isNotNull() & F.length("_text").between(1, most_chars))
+    # A language keeps about twice the rows asked for before they are ranked, whatever its share.
+    sizes = able.groupBy("_lang").agg(F.count(F.lit(1)).alias("_size")).orderBy(F.desc("_size"), "_lang").limit(LANGUAGES)
+    share = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) * F.col("_size") < F.lit(2 * rows) * (1 << 20)
+    thin = able.select("_id", "_lang").join(F.broadcast(sizes), "_lang").filter(share)
     nth = F.row_number().over(W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
-    ids = able.select("_id", "_lang", nth.alias("_nth")).filter(F.col("_nth") <= rows).orderBy("_nth", "_lang").limit(most).select("_id").distinct()
+    ids = thin.select("_id", "_lang", nth.alias("_nth")).filter(F.col("_nth") <= rows).orderBy("_nth", "_lang").limit(most).select("_id").distinct()
     found = able.join(F.broadcast(ids), "_id", "left_semi").toArrow().sort_by([("_id", "ascending"), ("_lang", "ascending"), ("_text", "ascending")])
     return fit(found.column("_text").to_pylist(), found.column("_lang").to_pylist(), model_file)
 
@@ -244,4 +243,4 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 found = scorer.scores([text for _, text in rows])
                 yield record_batch([(doc_id, *x) for (doc_id, _), x in zip(rows, found, strict=True)], schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col)).mapInArrow(run, "doc_id long, lang_pred string, score double")
