@@ -62,7 +62,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).drop("purity")
 
 
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+def _url_sql() -> str:
+    """The template tree in SQL: the same three levels over the same counted ways."""
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    longest = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in longest) + " END"
+    says = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in longest) + " END"
+    shape = lambda x: f"CASE WHEN regexp_matches({x}, '^[0-9a-f]{{16,}}$') THEN '{{x}}' ELSE regexp_replace({x}, '[0-9]+', '{{n}}', 'g') END"
+    third = "substr(p, length(split_part(p, '/', 1)) + length(split_part(p, '/', 2)) + 3)"
+    depth = "length(p) - length(replace(p, '/', ''))"
+    parts = [
+        """rest AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN split_part(split_part(substr(url, instr(url, '://') + 3), '#', 1), '?', 1) ELSE '' END AS r FROM pages)""",
+        """split AS (SELECT page_id, translate(split_part(r, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, substr(r, length(split_part(r, '/', 1)) + 1) AS path FROM rest)""",
+        f"""ruled AS (SELECT page_id, host, path, {rule} AS rule, {says} AS says, substr(path, 2) AS p FROM split)""",
+        f"""shaped AS (SELECT * EXCLUDE p, CASE WHEN {depth} = 0 THEN [{shape('p')}] WHEN {depth} = 1 THEN [{shape("split_part(p, '/', 1)")}, {shape("split_part(p, '/', 2)")}] ELSE [{shape("split_part(p, '/', 1)")}, {shape("split_part(p, '/', 2)")}, {shape(third)}] END AS shapes FROM ruled)""",
+        """ways AS (SELECT host, shapes, count(*) FILTER (says = 'block') AS blocked, count(*) FILTER (says = 'allow') AS allowed FROM shaped GROUP BY ALL)""",
+        f"""w0 AS (SELECT *, '' AS node, (SELECT least((sum(blocked) + 1)::DOUBLE / (sum(allowed) + sum(blocked) + 2), {url_filter.REJECT}) FROM ways)::DOUBLE AS purity FROM ways)""",
+    ]
+    for k in range(1, url_filter.DEPTH + 1):
+        parts += [
+            f"c{k} AS (SELECT host, node, shapes[{k}] AS seg, sum(blocked) AS blocked, sum(allowed) AS allowed FROM w{k - 1} WHERE len(shapes) >= {k} GROUP BY ALL)",
+            f"p{k} AS (SELECT host, node, count(*) AS children, count(*) FILTER (blocked + allowed > 0) AS examined, sum(blocked)::DOUBLE AS ab, sum(blocked + allowed)::DOUBLE AS al FROM c{k} GROUP BY ALL)",
+            f"n{k} AS (SELECT host, node, seg, blocked, allowed, CASE WHEN children > {url_filter.MOST_CHILDREN} THEN '{{any}}' WHEN blocked + allowed > 0 AND examined > 1 AND abs(blocked::DOUBLE / (blocked + allowed) - ab / al) <= {url_filter.Z} * sqrt(ab / al * (1 - ab / al) / (blocked + allowed)) THEN '{{alike}}' ELSE seg END AS name FROM c{k} JOIN p{k} USING (host, node))",
+            f"g{k} AS (SELECT host, node, name, sum(blocked)::DOUBLE AS nb, sum(blocked + allowed)::DOUBLE AS nn FROM n{k} GROUP BY ALL)",
+            f"w{k} AS (SELECT w.host, w.shapes, w.blocked, w.allowed, CASE WHEN n.name IS NULL THEN w.node ELSE w.node || '/' || n.name END AS node, CASE WHEN coalesce(nn, 0) > 0 THEN (nb + {url_filter.PRIOR} * purity) / (nn + {url_filter.PRIOR}) ELSE purity END AS purity FROM w{k - 1} w LEFT JOIN n{k} n ON n.host = w.host AND n.node = w.node AND n.seg = w.shapes[{k}] LEFT JOIN g{k} g ON g.host = n.host AND g.node = n.node AND g.name = n.name)",
+        ]
+    return f"WITH {', '.join(parts)} SELECT page_id, s.host, s.path, s.rule, coalesce(s.says, CASE WHEN purity > {url_filter.REJECT} AND s.host <> '' THEN 'block' ELSE 'allow' END) AS verdict, node AS template FROM shaped s LEFT JOIN w{url_filter.DEPTH} w ON w.host = s.host AND w.shapes = s.shapes"
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where it can express the contract."""
     return {
@@ -91,4 +119,5 @@ def oracle_sql() -> dict[str, str]:
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id) AS r FROM documents)
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
             FROM d WINDOW w AS (PARTITION BY t)""",
+        "op8_url_filter": _url_sql(),
     }
