@@ -27,8 +27,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import chunks, column_rows, record_batch, scratch
+from helixframe.llm._common import chunks, column_rows, narrow, record_batch, resident
 from helixframe.llm.components import connected_components
+from helixframe.storage import scratch
 
 #: Bits that may differ between linked fingerprints; the split in two halves holds for 3.
 RADIUS = 3
@@ -60,6 +61,7 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    resident("simhash", tuple)  # lets go of what other operators kept
     for batch in batches:
         for rows in chunks(column_rows(batch, ["doc_id", "text"]), 4096):
             out = [(doc_id, x - (1 << 64) if (x := fingerprint(text)) >> 63 else x) for doc_id, text in rows]
@@ -68,8 +70,8 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): one row per document, fp as a signed 64-bit number."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(_fingerprints, "doc_id long, fp long")
+    texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col))
+    return texts.mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
 def links(prints: DataFrame) -> DataFrame:

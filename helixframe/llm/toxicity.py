@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from math import exp, log1p
 
@@ -24,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import Remembered, bucket_of, chunks, column_rows, record_batch
+from helixframe.llm._common import Remembered, bucket_of, chunks, column_rows, narrow, record_batch, resident
 
 #: Bounds of the sample: labelled rows, and characters of a text that is learned from.
 SAMPLE_ROWS, SAMPLE_CHARS = 5000, 60_000
-DIMENSIONS, BEGINNINGS, EPOCHS, RATE, DECAY = 1 << 18, (3, 4, 5, 6), 120, 0.1, 0.1
+DIMENSIONS, BEGINNINGS, EPOCHS, RATE, DECAY = 1 << 18, (4, 5, 6), 120, 0.1, 0.3
 #: What a feature must show to weigh: rows that have it, and standard deviations above chance.
 MIN_ROWS, MIN_SIGMA = 3, 3.5
 _SENTENCE = re.compile(r"[^.!?\n]*[^.!?\s][^.!?\n]*")
@@ -54,7 +55,7 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     if not len(y) or y.all() or not y.any():
         return weights, 30.0 if len(y) and y.all() else -30.0
     known: dict[str, int] = {}
-    word_ids, sentence_len, doc_len = [], [], []
+    word_ids, sentence_len, doc_len = array("i"), array("i"), array("i")
     for text in texts:
         n = 0
         for a, b in sentences(text):
@@ -63,13 +64,16 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
             sentence_len.append(len(found))
             n += 1
         doc_len.append(n)
-    words = np.array(word_ids, np.int32)
-    of_sentence = np.repeat(np.arange(len(sentence_len)), sentence_len)
-    of_doc = np.repeat(np.arange(len(y)), doc_len)
-    listed = [features(w) for w in known]
-    feature = np.array([f for fs in listed for f in fs], np.int32)
-    of_word = np.repeat(np.arange(len(listed)), [len(fs) for fs in listed])
-    del listed, word_ids
+    words = np.frombuffer(word_ids, np.int32) if word_ids else np.zeros(0, np.int32)
+    of_sentence = np.repeat(np.arange(len(sentence_len), dtype=np.int32), sentence_len)
+    of_doc = np.repeat(np.arange(len(y), dtype=np.int32), doc_len)
+    listed, listed_len = array("i"), array("i")
+    for w in known:
+        found = features(w)
+        listed.extend(found)
+        listed_len.append(len(found))
+    feature = np.array(listed, np.int32)
+    of_word = np.repeat(np.arange(len(known), dtype=np.int32), listed_len)
     n_words, n_sentences, n_docs = len(known), len(sentence_len), len(y)
     theta, bias = np.zeros(DIMENSIONS), -5.0
     # Only features that documents labelled 1 have clearly more often than chance may weigh anything.
@@ -97,6 +101,8 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
 
 
 class WordWeights(Remembered):
+    entries = 150_000
+
     def __init__(self, weights: np.ndarray):
         super().__init__()
         self.weights = weights
@@ -123,16 +129,10 @@ class Scorer:
         return 1 - exp(sum(log1p(-min(p, 1 - _EPS)) for _, _, p in spans)) if spans else 0.0
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def scorer_of(model: tuple[np.ndarray, float]) -> Scorer:
     """One scorer for all tasks of a Python worker; the key is a hash of the weights."""
     key = zlib.crc32(model[0].tobytes(), zlib.crc32(repr(model[1]).encode()))
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(*model)
-    return _scorers[key]
+    return resident(("toxicity", key), lambda: Scorer(*model))
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, float]:
@@ -157,7 +157,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
             for rows in chunks(column_rows(batch, ["doc_id", "text"]), 4096):
                 yield record_batch([(doc_id, scorer.score(text)) for doc_id, text in rows], schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col)).mapInArrow(run, "doc_id long, score double")
 
 
 def locate(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,16 +172,16 @@ def locate(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.5,
             for rows in chunks(found, 4096):
                 yield record_batch(rows, schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, start long, end long, score double")
+    return narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col)).mapInArrow(run, "doc_id long, start long, end long, score double")
 
 
 def keep_clean(docs: DataFrame, model: tuple[np.ndarray, float], most: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of docs that score under `most`, with all their columns."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(texts):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(held.value)
-        return texts.map(scorer.score)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(text) < most for (text,) in column_rows(batch, [text_col])], pa.bool_()))
 
-    return docs.filter(scores(F.col(f"`{text_col}`")) < most)
+    return narrow(docs).mapInArrow(run, docs.schema)
