@@ -115,6 +115,16 @@ def maybe_in(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
     return joined.withColumn("_maybe", hit).drop("_at", "_slot", "_bits")
 
 
+#: Rows of a narrow side (keys of some dozen bytes) up to which it is broadcast after being counted;
+#: beyond, the join is left to shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(side: DataFrame) -> DataFrame:
+    """side, to be broadcast if it is counted to have BROADCAST_ROWS at most."""
+    return F.broadcast(side) if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else side
+
+
 def keep_rows_not_in(docs: DataFrame, key: Column, dropped: DataFrame, dropped_key: str) -> DataFrame:
     """docs without the rows whose key is in `dropped`, columns and repeated rows as they are.
     Rows that the filter clears pass without a shuffle; only the few others meet the anti-join."""
@@ -122,5 +132,5 @@ def keep_rows_not_in(docs: DataFrame, key: Column, dropped: DataFrame, dropped_k
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), key.alias("_key"))
     marked = maybe_in(packed, F.col("_key"), membership_filter(dropped, F.col(dropped_key)))
     clear = marked.filter(~F.col("_maybe")).select("_row")
-    unclear = marked.filter(F.col("_maybe")).join(dropped.select(F.col(dropped_key).alias("_drop")), F.col("_key") == F.col("_drop"), "left_anti").select("_row")
+    unclear = marked.filter(F.col("_maybe")).join(small_side(dropped.select(F.col(dropped_key).alias("_drop"))), F.col("_key") == F.col("_drop"), "left_anti").select("_row")
     return clear.unionByName(unclear).select(*[F.col("_row").getField(n).alias(n) for n in names])

@@ -24,7 +24,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import maybe_in, membership_filter, scratch
+from helixframe.llm._common import maybe_in, membership_filter, small_side
+from helixframe.storage import scratch
 
 KEY = ["digest", "second", "bytes"]
 
@@ -92,15 +93,18 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of docs that stay, with all their columns. Texts that the filter clears of being
     repeated pass without a shuffle."""
-    _, entries = index(docs, id_col, text_col, keep)
+    runs, entries = index(docs, id_col, text_col, keep)
+    known = small_side(entries.select(*KEY, "keep_id", F.lit(True).alias("_again")))
+    chosen = runs.join(known, KEY).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    repeated = scratch(chosen.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*KEY), "lsm-repeated")
     names = docs.columns
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"), *_keyed(text, sha256_digest, F.xxhash64))
     key = F.struct(*KEY)
     marked = maybe_in(packed, key, membership_filter(entries, key))
     clear = marked.filter(~F.col("_maybe")).select("_row")
-    unclear = marked.filter("_maybe").join(entries.select(*KEY, "keep_id", F.lit(True).alias("_again")), KEY, "left")
-    alone = unclear.filter("_again IS NULL")
-    kept = unclear.filter("_again").filter(F.col("_id").eqNullSafe(F.col("keep_id"))).dropDuplicates(KEY)
-    rows = clear.unionByName(alone.select("_row")).unionByName(kept.select("_row"))
-    return rows.select(*[F.col("_row").getField(n).alias(n) for n in names])
+    unclear = marked.filter("_maybe").join(known, KEY, "left").filter(F.col("_again").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
+    if not repeated.isEmpty():  # an id that occurs twice with the same text: one of its rows stays
+        twice = unclear.join(repeated, KEY, "left_semi").dropDuplicates(KEY)
+        unclear = unclear.join(repeated, KEY, "left_anti").unionByName(twice)
+    return clear.unionByName(unclear.select("_row")).select(*[F.col("_row").getField(n).alias(n) for n in names])

@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, record_batch, scratch
+from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, narrow, record_batch, resident, small_side
+from helixframe.storage import scratch
 
 #: Kinds in the order of a listing; the first three are the base.
 KINDS = ("assign", "access", "hex", "key_block", "bearer", "prefixed")
@@ -78,6 +79,7 @@ def _hashed(spans: list[tuple[int, int, int, str]]) -> list[dict]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    resident("secrets", tuple)  # lets go of what other operators kept
     made = TaskContext.get().partitionId() << 33
     for batch in batches:
         for rows in chunks(column_rows(batch, ["doc_id", "text", "owner"]), 2048):
@@ -99,8 +101,8 @@ def scan(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, id_c
     """One row per document: doc_id, base and spans (arrays of start, rank of kind, end, value,
     ordered), where value is a hash of the secret part; live and copied count the values of few
     and of many owners among the document's spans."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(owner_col).cast("string").alias("owner"))
-    found = scratch(narrow.mapInArrow(_scan, f"row long, doc_id long, owner string, base {_DDL_SPAN}, more {_DDL_SPAN}"), "secrets")
+    texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col), owner=F.col(owner_col).cast("string"))
+    found = scratch(texts.mapInArrow(_scan, f"row long, doc_id long, owner string, base {_DDL_SPAN}, more {_DDL_SPAN}"), "secrets")
     with_any = found.filter("size(base) + size(more) > 0")
     each = with_any.select("row", F.coalesce("doc_id", "row").alias("repository"), F.coalesce("owner", F.lit("")).alias("owner"), F.explode(F.concat("base", "more")).alias("span"))
     counted = ownership(each.select(F.col("span.value").alias("value"), "repository", "owner"))
@@ -154,7 +156,7 @@ def mask_live(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS,
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
     marked = maybe_in(packed, F.col("_id"), membership_filter(live, F.col("doc_id")))
     clear = marked.filter(~F.col("_maybe")).select("_row")
-    hit = marked.filter("_maybe").join(live.withColumnRenamed("doc_id", "_live_id"), F.col("_id") == F.col("_live_id"), "left")
+    hit = marked.filter("_maybe").join(small_side(live.withColumnRenamed("doc_id", "_live_id")), F.col("_id") == F.col("_live_id"), "left")
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series, values: pd.Series) -> pd.Series:
