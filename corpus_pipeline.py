@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import exact_dedup, packing, secrets, simhash, toxicity
-from helixframe.llm._common import keep_rows_not_in, scratch
+from helixframe.llm._common import keep_rows_not_in
+from helixframe.storage import scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 ids, as the packing operator returns them."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=200_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("SimHash near-dedup", drop_near_copies), ("secret scans", mask_secrets), ("packing", pack)]

@@ -34,6 +34,8 @@ from helixframe.llm.bpe import byte_alphabet
 from helixframe.storage import scratch
 
 LENGTH, WINDOWS, MIN_CUT, FAN_IN = 2048, 32, 8, 16
+#: Chunks of text whose ids a Python worker remembers, in each of two generations: about 0.4 KB each.
+REMEMBERED = 800_000
 #: What str.split takes for white space and the tokenizer does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("part", pa.int64()), ("ids", pa.binary())])
@@ -44,12 +46,11 @@ class CoreIds(Remembered):
     """Ids of a chunk without closing marks. A core of letters alone is one word, so its bytes go
     to the tokenizer's merges at once; all others go through the whole tokenizer."""
 
-    entries = 120_000
-
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, entries: int):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.entries = entries
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -76,11 +77,9 @@ class ChunkIds(Remembered):
     and parts letters and digits from marks: a chunk's ids are those of its core and its closing
     marks, and ASCII cores that differ in case share theirs."""
 
-    entries = 300_000
-
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, entries: int):
         super().__init__()
-        self.cores = CoreIds(tokenizer_file)
+        self.entries, self.cores = entries, CoreIds(tokenizer_file, entries // 4)
 
     def make(self, chunk: str) -> bytes:
         core = chunk.rstrip(".,;:!?")
@@ -96,9 +95,9 @@ class ChunkIds(Remembered):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-def chunk_ids(tokenizer_file: str) -> ChunkIds:
+def chunk_ids(tokenizer_file: str, entries: int = REMEMBERED) -> ChunkIds:
     """One table for all tasks of a Python worker."""
-    return resident(("packing", tokenizer_file), lambda: ChunkIds(tokenizer_file))
+    return resident(("packing", tokenizer_file, entries), lambda: ChunkIds(tokenizer_file, entries))
 
 
 class Window:
@@ -185,7 +184,7 @@ def _rows(window: Window, sequence: int | None, part: int, with_ids: bool) -> It
         at += size
 
 
-def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENGTH, windows: int = WINDOWS, min_cut: int = MIN_CUT, fan_in: int = FAN_IN, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LENGTH, windows: int = WINDOWS, min_cut: int = MIN_CUT, fan_in: int = FAN_IN, remembered: int = REMEMBERED, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     ids holds the piece's little-endian 32-bit ids, null unless with_ids. Every id of a document,
@@ -194,7 +193,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = LE
 
     def online(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        known, packer, made = chunk_ids(tokenizer_file), Packer(length, windows, min_cut), 0
+        known, packer, made = chunk_ids(tokenizer_file, remembered), Packer(length, windows, min_cut), 0
 
         def rows() -> Iterator[tuple]:
             nonlocal made
