@@ -5,6 +5,7 @@ this package; `Letters` is a stand-in for tests that maps letters by a fixed rul
 
 from __future__ import annotations
 
+import subprocess
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -62,3 +63,17 @@ def embed(seqs: DataFrame, factory: Callable[[], Translator]) -> DataFrame:
                     yield pd.DataFrame({"seq_id": seq_id, "resi": range(len(rows)), "embedding": rows})
 
     return seqs.select("seq_id", "seq").mapInPandas(run, "seq_id string, resi int, embedding array<double>")
+
+
+def external(seqs: DataFrame, command: list[str], timeout: float = 3600.0) -> DataFrame:
+    """(seq_id, seq) from a program that reads FASTA and writes FASTA: one run per batch, on the
+    executor that holds it. A failed run fails its task, which Spark repeats elsewhere."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            given = "".join(f">{i}\n{s or ''}\n" for i, s in zip(frame["seq_id"], frame["seq"], strict=True))
+            out = subprocess.run(command, input=given, capture_output=True, text=True, timeout=timeout, check=True).stdout
+            records = [r.split("\n", 1) for r in ("\n" + out).split("\n>")[1:]]
+            yield pd.DataFrame({"seq_id": [r[0].split()[0] for r in records], "seq": ["".join(r[1].split()) if len(r) > 1 else "" for r in records]}, dtype=object)
+
+    return seqs.select("seq_id", "seq").mapInPandas(run, "seq_id string, seq string")

@@ -1,5 +1,6 @@
 import json
 import random
+import sys
 import zipfile
 
 import numpy as np
@@ -150,6 +151,12 @@ def test_translation_and_pooling(spark):
     assert [(r.seq_id, list(r.embedding)) for r in pooled] == [("s0", [2.5, 1.0])]
 
 
+def test_external_program(spark):
+    program = [sys.executable, "-c", "import sys; [print(x if x.startswith('>') else x.lower(), end='') for x in sys.stdin]"]
+    got = {r.seq_id: r.seq for r in translate.external(seqs(spark, "ACD", "", "WY"), program).collect()}
+    assert {k.split()[0]: v for k, v in got.items()} == {"s0": "acd", "s1": "", "s2": "wy"}
+
+
 def test_fasta(spark, tmp_path):
     folder = tmp_path / "fasta"
     folder.mkdir()
