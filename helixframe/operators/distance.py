@@ -44,18 +44,20 @@ LAMBDA, KAPPA = 0.625, 0.41
 _HIT = "query string, target string, fident double, alnlen int, mismatch int, gapopen int, qstart int, qend int, tstart int, tend int, evalue double, bits double"
 
 
-def search_all(seqs: DataFrame, k: int = 4, shared: int = 2, evalue: float = 10.0, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1) -> DataFrame:
+def search_all(seqs: DataFrame, k: int = 4, shared: int = 2, evalue: float = 10.0, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1, parts: int = 256) -> DataFrame:
     """Hits of all sequences against all, in the twelve columns of a hit table.
 
     Pairs that share at least `shared` different k-mers are aligned locally with affine gaps; the
     e-value follows Karlin and Altschul over the whole database. Letters score by match and
-    mismatch, as no substitution table is given; results are not those of another search tool."""
+    mismatch, as no substitution table is given; results are not those of another search tool.
+    Pairs are dealt to a stated number of parts: they are few bytes and much work, and would be
+    joined into few tasks by their size."""
     grams = counts(seqs, k).select("seq_id", "kmer")
     pairs = grams.withColumnRenamed("seq_id", "query").join(grams.withColumnRenamed("seq_id", "target"), "kmer").groupBy("query", "target").agg(F.count(F.lit(1)).alias("common")).filter(F.col("common") >= shared).select("query", "target")
     size = seqs.agg(F.sum(F.length("seq")).cast("double").alias("letters"))
     q = seqs.select(F.col("seq_id").alias("query"), F.col("seq").alias("seq_q"))
     t = seqs.select(F.col("seq_id").alias("target"), F.col("seq").alias("seq_t"))
-    ready = pairs.join(q, "query").join(t, "target").join(F.broadcast(size)).repartition("query", "target")
+    ready = pairs.join(q, "query").join(t, "target").join(F.broadcast(size)).repartition(parts, "query", "target")
 
     def run(frames):
         for frame in frames:
