@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import exact_dedup, packing, secrets, simhash, toxicity
-from helixframe.llm._common import keep_rows_not_in
+from helixframe.llm._common import keep_rows_not_in, row_key
 from helixframe.storage import scratch
 
 
@@ -26,10 +26,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked fingerprints, the document with the smallest id stays."""
-    found = simhash.near_duplicates(docs)
-    dropped = scratch(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")), "near-dropped")
-    return keep_rows_not_in(docs, F.col("doc_id"), dropped, "dropped")
+    """Of texts linked by 0.8 or more of their five-word shingles, the document with the smallest id
+    stays; a null id is a row like any other, and stays only if no member has an id."""
+    found = simhash.near_copies(docs)
+    dropped = scratch(found.filter("key <> kept").select(F.col("key").alias("dropped")), "near-dropped")
+    return keep_rows_not_in(docs, row_key(F.col("doc_id"), F.col("text")), dropped, "dropped")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,6 +93,11 @@ def bucket_of(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5, F.lit(1))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What names a row: its id, or for a null id a digest of its text."""
+    return F.coalesce(doc_id.cast("long").cast("string"), F.concat(F.lit("t"), F.sha2(F.coalesce(text, F.lit("")), 256)))
+
+
 def membership_filter(keys: DataFrame, key: Column) -> DataFrame:
     """Rows (slot, bits): a bitmap of FILTER_BITS bits over the keys, with no false negatives."""
     at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))

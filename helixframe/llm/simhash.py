@@ -15,19 +15,27 @@ Cases: null and empty texts have fingerprint zero and link like any other; rows
 their fingerprint and the component of the ids they share it with (null if there are none);
 repeated rows are returned as often as they occur; an empty table gives an empty result; other
 columns are never looked at.
+
+`near_copies` is for corpora: it links texts by the share of their word shingles. A SimHash distance
+gives no bound on that share, so fingerprint links are only its first candidates. The others come
+from a complete filter: shingles are dealt by hash to as many parts as a size class asks for, and
+texts of the wanted similarity differ in fewer parts than a text has, so the first few parts in an
+order that all texts share have one in common. Candidates are verified on the whole shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, floor, log
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import chunks, column_rows, narrow, record_batch, resident
+from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, narrow, record_batch, resident, row_key, small_side
 from helixframe.llm.components import connected_components
 from helixframe.storage import scratch
 
@@ -37,25 +45,33 @@ SHINGLE = 3
 SEED = 42
 _BLOCK = 1 << 15  # shingles whose bits are counted at once
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+#: Words of a shingle and share of common shingles from which texts are near copies.
+WIDTH, SIMILARITY = 5, 0.8
+_PARTED, _LOAD = 64, 2  # from this size of a class on, a part holds so many shingles; below, one
 _COUNTS = 0x55555555  # the low bit of each two-bit segment of a half
 
 
-def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
-    """Unsigned 64-bit SimHash of the word shingles, repeats included; zero without a word."""
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return 0
+def _hashes(words: list[bytes], width: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of more than `width` words, in blocks."""
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return digest(joined, seed)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[: len(words) - width] + 1)).tolist()
     stops = ends[width - 1 :].tolist()
-    total, ones = len(starts), np.zeros(64, np.int64)
-    for low in range(0, total, _BLOCK):
+    for low in range(0, len(starts), _BLOCK):
         part = zip(starts[low : low + _BLOCK], stops[low : low + _BLOCK], strict=True)
-        hashes = np.fromiter((digest(joined[a:b], seed) for a, b in part), np.uint64, min(_BLOCK, total - low))
+        yield np.fromiter((digest(joined[a:b], seed) for a, b in part), np.uint64, min(_BLOCK, len(starts) - low))
+
+
+def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
+    """Unsigned 64-bit SimHash of the word shingles, repeats included; zero without a word."""
+    words = (text or "").encode("utf-8").lower().split()
+    if not words:
+        return 0
+    if len(words) <= width:
+        return xxhash.xxh64_intdigest(b" ".join(words), seed)
+    total, ones = len(words) - width + 1, np.zeros(64, np.int64)
+    for hashes in _hashes(words, width, seed):
         ones += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
@@ -68,6 +84,18 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield record_batch(out, _SCHEMA)
 
 
+def _keyed_prints(width: int):
+    schema = pa.schema([("key", pa.string()), ("fp", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("simhash", tuple)
+        for batch in batches:
+            for rows in chunks(column_rows(batch, ["key", "text"]), 4096):
+                yield record_batch([(key, x - (1 << 64) if (x := fingerprint(text, width)) >> 63 else x) for key, text in rows], schema)
+
+    return run
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): one row per document, fp as a signed 64-bit number."""
     texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col))
@@ -98,3 +126,115 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(firsts, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def shingles(text: str | None, width: int = WIDTH, seed: int = SEED) -> np.ndarray:
+    """Sorted hashes of the different word shingles; a text of fewer words is one, none without a word."""
+    words = (text or "").encode("utf-8").lower().split()
+    if len(words) <= width:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)] if words else [], np.uint64)
+    return np.unique(np.concatenate(list(_hashes(words, width, seed))))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def marks(own: np.ndarray, similarity: float = SIMILARITY) -> list[int]:
+    """Signed 64-bit marks: two shingle sets of this similarity or more share one.
+
+    A set is marked in its size class, and in the next one for the sake of larger partners. Sets of
+    sizes n and m differ in (1 - s) / (1 + s) of n + m shingles at most, hence in as many parts. Parts
+    with many shingles come first, as few texts share them by chance."""
+    n = len(own)
+    if not n:
+        return [0]
+    level, out = floor(log(n) / -log(similarity) + 1e-9), []
+    for c in (level, level + 1):
+        top = ceil(similarity ** -(c + 1)) + 1
+        differ = floor((1 - similarity) / (1 + similarity) * (n + min(n / similarity, top)) + 1e-9)
+        if top < _PARTED:
+            sums, sizes = own, np.ones(n, np.int64)
+        else:
+            at = (own >> np.uint64(11)) % np.uint64(top // _LOAD)
+            order = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) != 0)))
+            sums = np.add.reduceat(_mixed(own[order]), first)
+            sizes = np.diff(np.append(first, n))
+        found = _mixed(sums + np.uint64(c))
+        out.append(found[np.lexsort((found, -sizes))[: differ + 1]])
+    return np.concatenate(out).view(np.int64).tolist()
+
+
+def _marked(similarity: float, width: int):
+    schema = pa.schema([("key", pa.string()), ("marks", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("simhash", tuple)
+        for batch in batches:
+            for rows in chunks(column_rows(batch, ["key", "text"]), 1024):
+                yield record_batch([(key, marks(shingles(text, width), similarity)) for key, text in rows], schema)
+
+    return run
+
+
+def _alike(similarity: float, width: int):
+    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("simhash", tuple)
+        last, own = None, None
+        for batch in batches:
+            out = []
+            for a, b, text_a, text_b in column_rows(batch, ["a", "b", "text_a", "text_b"]):
+                if last != text_a or own is None:
+                    last, own = text_a, shingles(text_a, width)
+                other = shingles(text_b, width)
+                common = len(np.intersect1d(own, other, assume_unique=True))
+                if common >= similarity * (len(own) + len(other) - common) - 1e-9:
+                    out.append((a, b))
+            yield record_batch(out, schema)
+
+    return run
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
+    """(key, kept): the row_key of each row that links join to another, and that of the row of its
+    component with the smallest id, a null id last. Links are all pairs of texts whose sets of
+    `width`-word shingles have at least `similarity` of their union in common."""
+    keyed = narrow(docs, key=row_key(F.col(id_col), F.col(text_col)), text=F.col(text_col))
+    each = keyed.mapInArrow(_marked(similarity, width), "key string, marks array<long>").select("key", F.explode("marks").alias("mark"))
+    bucket = W.partitionBy("mark").orderBy("key")
+    met = each.select("key", "mark", F.first("key").over(bucket).alias("lead"), F.lead("key").over(bucket).alias("next"))
+    shared = scratch(met.filter("key <> lead OR key <> next").drop("next"), "near-shared")
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    prints = scratch(keyed.select(F.col("key"), "text").mapInArrow(_keyed_prints(width), "key string, fp long"), "near-prints")
+    firsts = scratch(prints.groupBy("fp").agg(F.min("key").alias("first")), "near-classes")
+    same = prints.join(firsts, "fp").select(*pair("key", "first"))
+    close = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(*pair("x", "y"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        nodes = scratch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-nodes")
+        maybe = maybe_in(keyed, F.col("key"), membership_filter(nodes, F.col("node"))).filter("_maybe").drop("_maybe")
+        texts = scratch(maybe.join(small_side(nodes), F.col("key") == F.col("node"), "left_semi").dropDuplicates(["key"]), "near-texts")
+        both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+        return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a string, b string"), "near-links")
+
+    # First each bucket's rows with its first one: large groups become one component.
+    tried = scratch(shared.select(*pair("key", "lead")).unionByName(same).unionByName(close).filter("a <> b").distinct(), "near-pairs")
+    edges = verified(tried)
+    roots = scratch(connected_components(edges), "near-roots")
+    # Then all pairs of a bucket whose rows are still of different components.
+    placed = shared.join(roots.withColumnRenamed("node", "key"), "key", "left").select("mark", "key", F.coalesce("root", "key").alias("root"))
+    mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("mark")
+    open_ = scratch(placed.join(mixed, "mark", "left_semi"), "near-open")
+    left, right = open_.select("mark", F.col("key").alias("a"), F.col("root").alias("ra")), open_.select("mark", F.col("key").alias("b"), F.col("root").alias("rb"))
+    rest = left.join(right, "mark").filter("a < b AND ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    more = verified(scratch(rest, "near-rest"))
+    ends = connected_components(edges.unionByName(more)) if not more.isEmpty() else roots
+    number = F.col("node").cast("long")
+    kept = ends.groupBy("root").agg(F.min_by("node", F.struct(number.isNull().alias("none"), number.alias("number"), F.col("node"))).alias("kept"))
+    return ends.join(kept, "root").select(F.col("node").alias("key"), "kept")
