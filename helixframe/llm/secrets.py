@@ -7,7 +7,7 @@ owner-specific and looks live. Further candidates become spans only if they are
 do not overlap a base span. The aggregation first counts by value and owner, so that a value in a
 third of all documents is one row per task and owner before the shuffle.
 
-Cases: null text counts as empty; null ids are carried through; rows with a null owner count for
+Cases: null text counts as empty; null ids are carried through, and their rows masked as any other; rows with a null owner count for
 one nameless owner; repeated rows are scanned as often as they occur, and count as repositories
 only once for the same id; an empty table gives an empty result; other columns are never looked at.
 """
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, narrow, record_batch, resident, small_side
+from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, narrow, record_batch, resident, row_key, small_side
 from helixframe.storage import scratch
 
 #: Kinds in the order of a listing; the first three are the base.
@@ -43,7 +43,7 @@ _FURTHER = (
 )
 _HINTS = ("-----BEGIN", "eyJ", "ghp_", "gho_", "sk-", "sk_live_", "rk_live_", "xox", "glpat-")
 _SPAN = pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("value", pa.string())])
-_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("owner", pa.string()), ("base", pa.list_(_SPAN)), ("more", pa.list_(_SPAN))])
+_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.string()), ("owner", pa.string()), ("base", pa.list_(_SPAN)), ("more", pa.list_(_SPAN))])
 _DDL_SPAN = "array<struct<start: long, rank: int, end: long, value: string>>"
 
 
@@ -82,11 +82,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     resident("secrets", tuple)  # lets go of what other operators kept
     made = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for rows in chunks(column_rows(batch, ["doc_id", "text", "owner"]), 2048):
+        for rows in chunks(column_rows(batch, ["doc_id", "key", "text", "owner"]), 2048):
             out = []
-            for doc_id, text, owner in rows:
+            for doc_id, key, text, owner in rows:
                 base = base_spans(text or "")
-                out.append((made, doc_id, owner, _hashed(base), _hashed(further_spans(text or "", base))))
+                out.append((made, doc_id, key, owner, _hashed(base), _hashed(further_spans(text or "", base))))
                 made += 1
             yield record_batch(out, _SCHEMA)
 
@@ -98,11 +98,11 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, base and spans (arrays of start, rank of kind, end, value,
+    """One row per document: doc_id, key (its row_key), base and spans (arrays of start, rank of kind, end, value,
     ordered), where value is a hash of the secret part; live and copied count the values of few
     and of many owners among the document's spans."""
-    texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col), owner=F.col(owner_col).cast("string"))
-    found = scratch(texts.mapInArrow(_scan, f"row long, doc_id long, owner string, base {_DDL_SPAN}, more {_DDL_SPAN}"), "secrets")
+    texts = narrow(docs, doc_id=F.col(id_col).cast("long"), key=row_key(F.col(id_col), F.col(text_col)), text=F.col(text_col), owner=F.col(owner_col).cast("string"))
+    found = scratch(texts.mapInArrow(_scan, f"row long, doc_id long, key string, owner string, base {_DDL_SPAN}, more {_DDL_SPAN}"), "secrets")
     with_any = found.filter("size(base) + size(more) > 0")
     each = with_any.select("row", F.coalesce("doc_id", "row").alias("repository"), F.coalesce("owner", F.lit("")).alias("owner"), F.explode(F.concat("base", "more")).alias("span"))
     counted = ownership(each.select(F.col("span.value").alias("value"), "repository", "owner"))
@@ -118,6 +118,7 @@ def scan(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, id_c
     none = F.array().cast(_DDL_SPAN)
     return joined.select(
         "doc_id",
+        "key",
         "base",
         F.sort_array(F.concat("base", F.coalesce("added", none))).alias("spans"),
         F.coalesce("live", F.lit(0)).cast("long").alias("live"),
@@ -149,14 +150,15 @@ def mask(text: str | None, live: set[str]) -> str | None:
 def mask_live(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, text_col: str = "text", count_col: str = "n_chars", id_col: str = "doc_id") -> DataFrame:
     """docs with owner-specific credentials masked in the text and its length set anew; widely
     copied examples stay. All rows and columns stay, and only documents with a live value and
-    those that share their filter bits are shuffled, by id."""
+    those that share their filter bits are shuffled, by id or, where that is null, by a digest of
+    the text, which decides the mask."""
     names = docs.columns
     scanned = scan(docs, owner_col, few, id_col, text_col)
-    live = scratch(scanned.filter("size(live_values) > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("live_values"))).alias("live_values")), "secrets-live")
-    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
-    marked = maybe_in(packed, F.col("_id"), membership_filter(live, F.col("doc_id")))
+    live = scratch(scanned.filter("size(live_values) > 0").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("live_values"))).alias("live_values")), "secrets-live")
+    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_key"))
+    marked = maybe_in(packed, F.col("_key"), membership_filter(live, F.col("key")))
     clear = marked.filter(~F.col("_maybe")).select("_row")
-    hit = marked.filter("_maybe").join(small_side(live.withColumnRenamed("doc_id", "_live_id")), F.col("_id") == F.col("_live_id"), "left")
+    hit = marked.filter("_maybe").join(small_side(live.withColumnRenamed("key", "_live_key")), F.col("_key") == F.col("_live_key"), "left")
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series, values: pd.Series) -> pd.Series:

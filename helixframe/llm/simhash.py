@@ -235,6 +235,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = left.join(right, "mark").filter("a < b AND ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(scratch(rest, "near-rest"))
     ends = connected_components(edges.unionByName(more)) if not more.isEmpty() else roots
-    number = F.col("node").cast("long")
+    number = F.col("node").try_cast("long")
     kept = ends.groupBy("root").agg(F.min_by("node", F.struct(number.isNull().alias("none"), number.alias("number"), F.col("node"))).alias("kept"))
     return ends.join(kept, "root").select(F.col("node").alias("key"), "kept")
