@@ -249,7 +249,7 @@ def translate_letters(s, d):
 def tsne_map(s, d):
     _, (scores, _) = _reduced(s, d)
     x = scores.drop(columns="seq_id").to_numpy()
-    y = reduce.tsne(x, steps=250)
+    y = reduce.tsne(x, steps=1000)  # as many as the reference runs
     return s.createDataFrame(pd.DataFrame({"seq_id": scores["seq_id"], "x": y[:, 0], "y": y[:, 1]}))
 
 
