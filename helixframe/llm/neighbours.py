@@ -155,13 +155,16 @@ def search(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vecto
         out_lead, out_id, out_score = [], [], []
         if len(candidates) and len(queries):
             x, ids = np.stack(candidates["vector"].to_list()), candidates["ids"].to_list()
+            norms = np.linalg.norm(x, axis=1).max()
             for low in range(0, len(queries), 256):
                 part = queries.iloc[low : low + 256]
                 q = np.stack(part["vector"].to_list())
                 sims = q @ x.T
-                keep = min(k + 8, len(x))
-                best = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
-                for lead, row, near in zip(part["lead"], q, best, strict=True):
+                keep = min(k + 1, len(x))
+                # All entries within rounding of the last of the k + 1 best: ties are for the exact order.
+                slack = 1e-12 * np.linalg.norm(q, axis=1) * norms
+                floors = np.partition(sims, len(x) - keep, axis=1)[:, len(x) - keep] - slack
+                for lead, row, near in zip(part["lead"], q, (np.flatnonzero(s >= f) for s, f in zip(sims, floors, strict=True)), strict=True):
                     exact = (x[near] * row).sum(axis=1)
                     pairs = sorted((-s, i) for s, at in zip(exact.tolist(), near.tolist(), strict=True) for i in ids[at])[: k + 1]
                     out_lead += [lead] * len(pairs)
