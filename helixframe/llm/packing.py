@@ -55,6 +55,8 @@ class CoreIds(Remembered):
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.merge = self.tokenizer.model.tokenize
+        #: Tokens that the tokenizer takes out of a text before it is lower-cased.
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.letter = {byte: letter for letter, byte in byte_alphabet().items()}
 
     def encode(self, text: str) -> bytes:
@@ -75,17 +77,21 @@ class ChunkIds(Remembered):
     """Ids of a text between white space, as little-endian bytes. The tokenizer drops white space
     and never joins across it, so a text's ids are those of its chunks in a row. It lower-cases,
     and parts letters and digits from marks: a chunk's ids are those of its core and its closing
-    marks, and ASCII cores that differ in case share theirs."""
+    marks, and ASCII cores that differ in case share theirs. Added tokens are told by their case:
+    a chunk that holds one in any case goes to the tokenizer as it is."""
 
     def __init__(self, tokenizer_file: str, entries: int):
         super().__init__()
         self.entries, self.cores = entries, CoreIds(tokenizer_file, entries // 4)
 
     def make(self, chunk: str) -> bytes:
+        low = chunk.lower()
+        if any(token in low for token in self.cores.added):
+            return self.cores.encode(chunk)
         core = chunk.rstrip(".,;:!?")
         if len(core) < len(chunk) and core and core[-1].isalnum() and len(core[-1].lower()) == 1:
             return self.make(core) + self.cores[chunk[len(core) :]]
-        return self.cores[chunk.lower() if chunk.isascii() else chunk]
+        return self.cores[low if chunk.isascii() else chunk]
 
     def of(self, text: str | None) -> bytes:
         if not text:

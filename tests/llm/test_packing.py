@@ -59,3 +59,12 @@ def test_online_windows_stay_bounded_and_merge_fills():
     left = packing.merge(packer.open + [w for w in (packing.Window(),)], 64)
     assert sum(w.fill for w in closed + left) == sum(sizes)
     assert sum(w.fill < 64 for w in left) <= 1
+
+
+def test_any_text():
+    tokenizer, known = Tokenizer.from_file(FILE), packing.ChunkIds(FILE, 1000)
+    rnd = random.Random(11)
+    parts = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOfText|>", "x<|startoftext|>.", "<|STARTOFTEXT|>!?", "<|", "|>", "don't", "It's", "WORD", "word.", "İx", "ß", "Σας", "e\u0301", "12.5", "...", " ", "\n", "\x1c", "漢字"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 6)))
+        assert np.frombuffer(known.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
