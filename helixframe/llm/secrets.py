@@ -2,14 +2,18 @@
 
 Every whole text is scanned for three base kinds, which are always reported, and for further
 candidates of credential shape. Hashes of all candidates are aggregated over the corpus by distinct
-repositories and owners: what many owners have is a widely copied example; what one or few have is
-owner-specific and looks live. Further candidates become spans only if they are owner-specific and
-do not overlap a base span. The aggregation first counts by value and owner, so that a value in a
-third of all documents is one row per task and owner before the shuffle.
-
-Cases: null text counts as empty; null ids are carried through, and their rows masked as any other; rows with a null owner count for
-one nameless owner; repeated rows are scanned as often as they occur, and count as repositories
-only once for the same id; an empty table gives an empty result; other columns are never looked at.
+repositories and owners: what many owners have, or very many repositories of few owners, is a widely
+copied example; what few have in few repositories is owner-specific and looks live. Further
+candidates become spans only if they are owner-specific and do not overlap a base span. The
+aggregation first counts by value, owner and repository, so that a value in a third of all documents
+is a narrow row per document and then one per owner.
+
+A document is a repository: the table names no larger one. Its source is the owner.
+
+Cases: null text counts as empty; null ids are carried through, and their rows masked as any other;
+rows with a null owner count for one nameless owner; repeated rows are scanned as often as they occur,
+and count as repositories only once for the same id; very long texts are scanned whole, in one
+batch each; an empty table gives an empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -31,8 +35,8 @@ from helixframe.storage import scratch
 
 #: Kinds in the order of a listing; the first three are the base.
 KINDS = ("assign", "access", "hex", "key_block", "bearer", "prefixed")
-#: A value that more owners than this have is an example that gets copied.
-FEW_OWNERS = 2
+#: A value that more owners than this have, or more repositories, is an example that gets copied.
+FEW_OWNERS, FEW_REPOSITORIES = 2, 20
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
@@ -97,17 +101,17 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"))
 
 
-def scan(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, few_repositories: int = FEW_REPOSITORIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, key (its row_key), base and spans (arrays of start, rank of kind, end, value,
-    ordered), where value is a hash of the secret part; live and copied count the values of few
-    and of many owners among the document's spans."""
+    ordered), where value is a hash of the secret part; live and copied count the owner-specific
+    and the widely copied values among the document's spans."""
     texts = narrow(docs, doc_id=F.col(id_col).cast("long"), key=row_key(F.col(id_col), F.col(text_col)), text=F.col(text_col), owner=F.col(owner_col).cast("string"))
     found = scratch(texts.mapInArrow(_scan, f"row long, doc_id long, key string, owner string, base {_DDL_SPAN}, more {_DDL_SPAN}"), "secrets")
     with_any = found.filter("size(base) + size(more) > 0")
     each = with_any.select("row", F.coalesce("doc_id", "row").alias("repository"), F.coalesce("owner", F.lit("")).alias("owner"), F.explode(F.concat("base", "more")).alias("span"))
     counted = ownership(each.select(F.col("span.value").alias("value"), "repository", "owner"))
     judged = each.select("row", "span", F.col("span.value").alias("value")).join(counted, "value")
-    own = F.col("owners") <= few
+    own = (F.col("owners") <= few) & (F.col("repositories") <= few_repositories)
     per_row = judged.groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(own & (F.col("span.rank") > 2), F.col("span")))).alias("added"),
         F.count(F.when(own, 1)).alias("live"),
@@ -147,13 +151,12 @@ def mask(text: str | None, live: set[str]) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def mask_live(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, text_col: str = "text", count_col: str = "n_chars", id_col: str = "doc_id") -> DataFrame:
+def mask_live(docs: DataFrame, owner_col: str = "source", few: int = FEW_OWNERS, few_repositories: int = FEW_REPOSITORIES, text_col: str = "text", count_col: str = "n_chars", id_col: str = "doc_id") -> DataFrame:
     """docs with owner-specific credentials masked in the text and its length set anew; widely
     copied examples stay. All rows and columns stay, and only documents with a live value and
-    those that share their filter bits are shuffled, by id or, where that is null, by a digest of
-    the text, which decides the mask."""
+    those that share their filter bits are shuffled, by id and a digest of the text."""
     names = docs.columns
-    scanned = scan(docs, owner_col, few, id_col, text_col)
+    scanned = scan(docs, owner_col, few, few_repositories, id_col, text_col)
     live = scratch(scanned.filter("size(live_values) > 0").groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("live_values"))).alias("live_values")), "secrets-live")
     packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_key"))
     marked = maybe_in(packed, F.col("_key"), membership_filter(live, F.col("key")))

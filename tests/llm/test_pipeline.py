@@ -28,17 +28,18 @@ def test_each_stage(spark, small):
     kept = {i: kept[i] for i in first.values()}
     near = brute_near_duplicates(sorted(kept.items()))
     kept = {i: kept[i] for i, _, component in near if i == component}
-    owners = defaultdict(set)
+    owners, repositories = defaultdict(set), defaultdict(set)
     source = {r.doc_id: r.source for r in docs.collect()}
     found = {i: (base := secrets.base_spans(t or "")) + secrets.further_spans(t or "", base) for i, t in kept.items()}
     for i, spans in found.items():
         for _, _, _, value in spans:
             owners[value].add(source[i])
+            repositories[value].add(i)
     masked = {}
     for i, t in kept.items():
         out, at = [], 0
         for _, k, end, value in sorted(found[i], key=lambda s: s[2] - len(s[3])):
-            if len(owners[value]) <= secrets.FEW_OWNERS and end - len(value) >= at:
+            if len(owners[value]) <= secrets.FEW_OWNERS and len(repositories[value]) <= secrets.FEW_REPOSITORIES and end - len(value) >= at:
                 out += [t[at : end - len(value)], f"[{secrets.KINDS[k]} removed]"]
                 at = end
         masked[i] = "".join([*out, (t or "")[at:]])

@@ -54,6 +54,14 @@ def test_ownership_separates_examples_from_live_ones(corpus):
     assert rows[12] == [(0, 0, 16)]
 
 
+def test_many_repositories_of_one_owner_are_an_example(spark):
+    rows = [(i, "token=pasted0everywhere", "one") for i in range(secrets.FEW_REPOSITORIES + 1)] + [(100 + i, "token=few0places", "one") for i in range(secrets.FEW_REPOSITORIES)]
+    rows += [(100, "token=few0places", "one")] * 3  # a repeated row is no further repository
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {(r.doc_id < 100, r.live, r.copied) for r in secrets.scan(docs).collect()}
+    assert got == {(True, 0, 1), (False, 1, 0)}
+
+
 def test_masking(corpus):
     docs, own, shared = corpus
     masked = secrets.mask_live(docs)
