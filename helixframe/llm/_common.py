@@ -7,8 +7,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from helixframe.storage import scratch
+
 #: Bits of the membership filter: 4 MB when broadcast, at any size of the input. A fuller filter
 #: lets more rows through to the exact join behind it and so costs time, never results.
 FILTER_BITS = 1 << 25
@@ -94,8 +97,26 @@ def bucket_of(doc_id: Column) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """What names a row: its id, or for a null id a digest of its text."""
-    return F.coalesce(doc_id.cast("long").cast("string"), F.concat(F.lit("t"), F.sha2(F.coalesce(text, F.lit("")), 256)))
+    """What names a row: its id and a digest of its text, so that rows that share an id, or have
+    none, are told apart. Rows equal in both are one to every operator that asks for this key."""
+    return F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(":"), F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 24))
+
+
+def key_id(key: Column) -> Column:
+    """The id in a row_key, null where the row has none."""
+    return F.split_part(key, F.lit(":"), F.lit(1)).try_cast("long")
+
+
+def bounded_sample(rows: DataFrame, most_chars: int) -> list[tuple]:
+    """(_text, _label) of rows (_id, _text, _label) that were cut to a bounded number of ids: one row
+    for each id, the smallest, in the order of a hash of the id, for as long as the whole texts
+    together have at most `most_chars` characters. That bounds what comes to the driver."""
+    one = rows.groupBy("_id").agg(F.min(F.struct("_text", "_label")).alias("_row")).select("_id", "_row.*")
+    settled = scratch(one.withColumn("_order", F.xxhash64("_id")), "sample")
+    lengths = settled.select("_id", "_order", F.length("_text").cast("long").alias("_chars"))
+    upto = lengths.withColumn("_upto", F.sum("_chars").over(W.orderBy("_order", "_id"))).filter(F.col("_upto") <= most_chars).select("_id")
+    found = settled.join(F.broadcast(upto), "_id").select("_order", "_id", "_text", "_label").toArrow().sort_by([("_order", "ascending"), ("_id", "ascending")])
+    return list(zip(found.column("_text").to_pylist(), found.column("_label").to_pylist(), strict=True))
 
 
 def membership_filter(keys: DataFrame, key: Column) -> DataFrame:

@@ -13,29 +13,31 @@ large-star and small-star steps, all as DataFrames.
 
 Cases: null and empty texts have fingerprint zero and link like any other; rows with a null id get
 their fingerprint and the component of the ids they share it with (null if there are none);
-repeated rows are returned as often as they occur; an empty table gives an empty result; other
-columns are never looked at.
+repeated rows are returned as often as they occur; very long texts are hashed whole, in blocks of
+shingles; an empty table gives an empty result; other columns are never looked at.
 
 `near_copies` is for corpora: it links texts by the share of their word shingles. A SimHash distance
 gives no bound on that share, so fingerprint links are only its first candidates. The others come
-from a complete filter: shingles are dealt by hash to as many parts as a size class asks for, and
-texts of the wanted similarity differ in fewer parts than a text has, so the first few parts in an
-order that all texts share have one in common. Candidates are verified on the whole shingle sets.
+from a complete filter. All texts put their shingles in one order, the frequent last; two texts of
+the wanted similarity have one of their first few in common, as each differs from the other in
+fewer. A candidate is then held against its parity sketch: a text's shingles are dealt by hash to
+bits, each the parity of what it got, so the bits that differ are never more than the shingles that
+do. What is left, hardly more than the links, is verified on the whole shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, floor, log
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import chunks, column_rows, maybe_in, membership_filter, narrow, record_batch, resident, row_key, small_side
+from helixframe.llm._common import chunks, column_rows, keep_rows_not_in, key_id, maybe_in, membership_filter, narrow, record_batch, resident, row_key, small_side
 from helixframe.llm.components import connected_components
 from helixframe.storage import scratch
 
@@ -47,7 +49,9 @@ _BLOCK = 1 << 15  # shingles whose bits are counted at once
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 #: Words of a shingle and share of common shingles from which texts are near copies.
 WIDTH, SIMILARITY = 5, 0.8
-_PARTED, _LOAD = 64, 2  # from this size of a class on, a part holds so many shingles; below, one
+#: Most frequent shingles that the common order puts last (a broadcast of 16 bytes each), and the
+#: shingles in which a task looks for repeated ones at once. Both cost time only, never links.
+FREQUENT, _LOOK = 1 << 18, 1 << 21
 _COUNTS = 0x55555555  # the low bit of each two-bit segment of a half
 
 
@@ -63,6 +67,13 @@ def _hashes(words: list[bytes], width: int, seed: int) -> Iterator[np.ndarray]:
         yield np.fromiter((digest(joined[a:b], seed) for a, b in part), np.uint64, min(_BLOCK, len(starts) - low))
 
 
+def _majority(blocks: Iterator[np.ndarray], total: int) -> int:
+    ones = np.zeros(64, np.int64)
+    for hashes in blocks:
+        ones += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
     """Unsigned 64-bit SimHash of the word shingles, repeats included; zero without a word."""
     words = (text or "").encode("utf-8").lower().split()
@@ -70,10 +81,7 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
         return 0
     if len(words) <= width:
         return xxhash.xxh64_intdigest(b" ".join(words), seed)
-    total, ones = len(words) - width + 1, np.zeros(64, np.int64)
-    for hashes in _hashes(words, width, seed):
-        ones += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
+    return _majority(_hashes(words, width, seed), len(words) - width + 1)
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,18 +92,6 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield record_batch(out, _SCHEMA)
 
 
-def _keyed_prints(width: int):
-    schema = pa.schema([("key", pa.string()), ("fp", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resident("simhash", tuple)
-        for batch in batches:
-            for rows in chunks(column_rows(batch, ["key", "text"]), 4096):
-                yield record_batch([(key, x - (1 << 64) if (x := fingerprint(text, width)) >> 63 else x) for key, text in rows], schema)
-
-    return run
-
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): one row per document, fp as a signed 64-bit number."""
     texts = narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col))
@@ -128,60 +124,109 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def shingles(text: str | None, width: int = WIDTH, seed: int = SEED) -> np.ndarray:
-    """Sorted hashes of the different word shingles; a text of fewer words is one, none without a word."""
+def all_shingles(text: str | None, width: int = WIDTH, seed: int = SEED) -> np.ndarray:
+    """Hashes of the word shingles, repeats included; a text of fewer words is one, none without a word."""
     words = (text or "").encode("utf-8").lower().split()
     if len(words) <= width:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)] if words else [], np.uint64)
-    return np.unique(np.concatenate(list(_hashes(words, width, seed))))
+    return np.concatenate(list(_hashes(words, width, seed)))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def shingles(text: str | None, width: int = WIDTH, seed: int = SEED) -> np.ndarray:
+    """Sorted hashes of the different word shingles."""
+    return np.unique(all_shingles(text, width, seed))
+
+
+class Order:
+    """The common order of shingles: those that are not known as frequent by their hash, then the
+    frequent by their count."""
 
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        by_hash = np.argsort(hashes)
+        self.hashes, self.counts = hashes[by_hash], counts[by_hash]
 
-def marks(own: np.ndarray, similarity: float = SIMILARITY) -> list[int]:
-    """Signed 64-bit marks: two shingle sets of this similarity or more share one.
+    def first(self, own: np.ndarray, many: int) -> np.ndarray:
+        """The first of sorted different shingles."""
+        ranks = np.zeros(len(own), np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+            ranks = np.where(self.hashes[at] == own, self.counts[at], 0)
+        return own[np.lexsort((own, ranks))[:many]]
 
-    A set is marked in its size class, and in the next one for the sake of larger partners. Sets of
-    sizes n and m differ in (1 - s) / (1 + s) of n + m shingles at most, hence in as many parts. Parts
-    with many shingles come first, as few texts share them by chance."""
+
+def marks(own: np.ndarray, order: Order, similarity: float = SIMILARITY) -> np.ndarray:
+    """Sets of this similarity or more share a mark: they have at least that share of either's
+    shingles in common, so neither's first few can all be missing from the other."""
     n = len(own)
-    if not n:
-        return [0]
-    level, out = floor(log(n) / -log(similarity) + 1e-9), []
-    for c in (level, level + 1):
-        top = ceil(similarity ** -(c + 1)) + 1
-        differ = floor((1 - similarity) / (1 + similarity) * (n + min(n / similarity, top)) + 1e-9)
-        if top < _PARTED:
-            sums, sizes = own, np.ones(n, np.int64)
-        else:
-            at = (own >> np.uint64(11)) % np.uint64(top // _LOAD)
-            order = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) != 0)))
-            sums = np.add.reduceat(_mixed(own[order]), first)
-            sizes = np.diff(np.append(first, n))
-        found = _mixed(sums + np.uint64(c))
-        out.append(found[np.lexsort((found, -sizes))[: differ + 1]])
-    return np.concatenate(out).view(np.int64).tolist()
-
-
-def _marked(similarity: float, width: int):
-    schema = pa.schema([("key", pa.string()), ("marks", pa.list_(pa.int64()))])
+    return order.first(own, n - ceil(similarity * n - 1e-9) + 1) if n else np.zeros(1, np.uint64)
+
+
+def parity_sketch(own: np.ndarray) -> np.ndarray:
+    """A bit for each shingle or up to two, a power of two of words: the parity of the shingles that
+    fall on it. The halves of a sketch, by exclusive or, are the sketch of half the size."""
+    words = 1 << max(0, ceil(len(own) / 64) - 1).bit_length()
+    sums = np.bincount((own % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(sums.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _repeated(width: int):
+    """Shingles that more than one of the texts looked at together has, with how many."""
+    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident("simhash", tuple)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def found() -> pa.RecordBatch:
+            hashes, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            many = counts > 1
+            return pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], schema=schema)
+
         for batch in batches:
-            for rows in chunks(column_rows(batch, ["key", "text"]), 1024):
-                yield record_batch([(key, marks(shingles(text, width), similarity)) for key, text in rows], schema)
+            for (text,) in column_rows(batch, ["text"]):
+                held.append(shingles(text, width))
+                size += len(held[-1])
+                if size >= _LOOK:
+                    yield found()
+                    held, size = [], 0
+        yield found()
+
+    return run
+
+
+def common_order(texts: DataFrame, width: int = WIDTH, most: int = FREQUENT) -> Order:
+    """The order for the texts of a column text: the `most` frequent of what tasks found repeated."""
+    counted = texts.select("text").mapInArrow(_repeated(width), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 2")
+    top = counted.orderBy(F.desc("n"), "hash").limit(most).toArrow()
+    return Order(top.column("hash").to_numpy().view(np.uint64), top.column("n").to_numpy())
+
+
+_SIGNS = "node long, key string, n int, fp long, sketch array<long>, marks array<long>"
+
+
+def _signs(order, similarity: float, width: int):
+    schema = pa.schema([("node", pa.int64()), ("key", pa.string()), ("n", pa.int32()), ("fp", pa.int64()), ("sketch", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        resident("simhash", tuple)
+        node, common = TaskContext.get().partitionId() << 33, order.value
+        for batch in batches:
+            for rows in chunks(column_rows(batch, ["key", "text"]), 512):
+                out = []
+                for key, text in rows:
+                    every = all_shingles(text, width)
+                    own = np.unique(every)
+                    fp = _majority((every[low : low + _BLOCK] for low in range(0, len(every), _BLOCK)), len(every))
+                    out.append((node, key, len(own), fp - (1 << 64) if fp >> 63 else fp, parity_sketch(own), marks(own, common, similarity).view(np.int64)))
+                    node += 1
+                yield record_batch(out, schema)
 
     return run
 
 
 def _alike(similarity: float, width: int):
-    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         resident("simhash", tuple)
@@ -200,41 +245,72 @@ def _alike(similarity: float, width: int):
     return run
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
+def _sketches_allow(similarity: float) -> Column:
+    """Whether sets of n_a and n_b shingles with sketches sketch_a and sketch_b may be as similar."""
+    half = "transform(sequence(1, size({0}) div 2), i -> {0}[i - 1] ^ {0}[i - 1 + size({0}) div 2])"
+    folded = lambda x, y: f"if(size({x}) > size({y}), {half.format(x)}, {x})"
+    differ = f"aggregate(zip_with({folded('sketch_a', 'sketch_b')}, {folded('sketch_b', 'sketch_a')}, (x, y) -> bit_count(x ^ y)), 0, (sum, x) -> sum + x)"
+    return F.expr(f"least(n_a, n_b) >= {similarity} * greatest(n_a, n_b) - 1e-9") & (F.expr(differ) <= (1 - similarity) / (1 + similarity) * (F.col("n_a") + F.col("n_b")) + 1e-9)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, width: int = WIDTH, frequent: int = FREQUENT) -> DataFrame:
     """(key, kept): the row_key of each row that links join to another, and that of the row of its
     component with the smallest id, a null id last. Links are all pairs of texts whose sets of
     `width`-word shingles have at least `similarity` of their union in common."""
     keyed = narrow(docs, key=row_key(F.col(id_col), F.col(text_col)), text=F.col(text_col))
-    each = keyed.mapInArrow(_marked(similarity, width), "key string, marks array<long>").select("key", F.explode("marks").alias("mark"))
-    bucket = W.partitionBy("mark").orderBy("key")
-    met = each.select("key", "mark", F.first("key").over(bucket).alias("lead"), F.lead("key").over(bucket).alias("next"))
-    shared = scratch(met.filter("key <> lead OR key <> next").drop("next"), "near-shared")
+    spark = docs.sparkSession
+    order = spark.sparkContext.broadcast(common_order(keyed, width, frequent))
+    signs = scratch(keyed.mapInArrow(_signs(order, similarity, width), _SIGNS), "near-signs")
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    prints = scratch(keyed.select(F.col("key"), "text").mapInArrow(_keyed_prints(width), "key string, fp long"), "near-prints")
-    firsts = scratch(prints.groupBy("fp").agg(F.min("key").alias("first")), "near-classes")
-    same = prints.join(firsts, "fp").select(*pair("key", "first"))
+    # Rows of one text are linked without a look at it, and one of them stands for all.
+    digest = F.split_part("key", F.lit(":"), F.lit(2))
+    texts = signs.select("node", digest.alias("digest"))
+    again = scratch(texts.groupBy("digest").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("digest", "lead"), "near-again")
+    same = scratch(texts.join(small_side(again), "digest").filter("node <> lead").select(*pair("node", "lead")), "near-same")
+    alone = signs
+    if not same.isEmpty():
+        alone = scratch(keep_rows_not_in(signs, F.col("node"), same.select("b"), "b"), "near-alone")
+
+    each = alone.select("node", "n", F.explode("marks").alias("mark"))
+    leads = scratch(each.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("mark", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "near-leads")
+    maybe = maybe_in(each, F.col("mark"), membership_filter(leads, F.col("mark"))).filter("_maybe").drop("_maybe")
+    shared = scratch(maybe.join(small_side(leads), "mark"), "near-shared")
+
+    prints = alone.select("node", "fp")
+    firsts = scratch(prints.groupBy("fp").agg(F.min("node").alias("first")), "near-classes")
+    alike = prints.join(firsts, "fp").filter("node <> first").select(*pair("node", "first"))
     close = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(*pair("x", "y"))
+    fits = F.expr(f"least(n, lead_n) >= {similarity} * greatest(n, lead_n) - 1e-9")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        nodes = scratch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-nodes")
-        maybe = maybe_in(keyed, F.col("key"), membership_filter(nodes, F.col("node"))).filter("_maybe").drop("_maybe")
-        texts = scratch(maybe.join(small_side(nodes), F.col("key") == F.col("node"), "left_semi").dropDuplicates(["key"]), "near-texts")
-        both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a string, b string"), "near-links")
+        """The links among pairs: first by sketches, then by the whole texts of what these allow."""
+        side = lambda x: signs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+        likely = scratch(pairs.join(side("a"), "a").join(side("b"), "b").filter(_sketches_allow(similarity)).select("a", "b"), "near-likely")
+        nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        keys = scratch(signs.select("node", "key").join(small_side(scratch(nodes, "near-nodes")), "node"), "near-keys")
+        some = maybe_in(keyed, F.col("key"), membership_filter(keys, F.col("key"))).filter("_maybe").drop("_maybe")
+        wanted = scratch(some.dropDuplicates(["key"]).join(small_side(keys), "key").select("node", "text"), "near-texts")
+        both = likely.join(wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a long, b long"), "near-links")
 
     # First each bucket's rows with its first one: large groups become one component.
-    tried = scratch(shared.select(*pair("key", "lead")).unionByName(same).unionByName(close).filter("a <> b").distinct(), "near-pairs")
+    starts = shared.filter(fits).select(*pair("node", "lead")).unionByName(alike).unionByName(close)
+    tried = scratch(starts.filter("a <> b").distinct(), "near-pairs")
     edges = verified(tried)
     roots = scratch(connected_components(edges), "near-roots")
-    # Then all pairs of a bucket whose rows are still of different components.
-    placed = shared.join(roots.withColumnRenamed("node", "key"), "key", "left").select("mark", "key", F.coalesce("root", "key").alias("root"))
+    # Then those of a bucket, alike in size, whose rows are still of different components.
+    level = F.floor(F.log(F.greatest("n", F.lit(1))) / -log(similarity) + 1e-9).cast("int")
+    placed = shared.join(roots, "node", "left").select("mark", "node", "n", level.alias("level"), F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("mark")
     open_ = scratch(placed.join(mixed, "mark", "left_semi"), "near-open")
-    left, right = open_.select("mark", F.col("key").alias("a"), F.col("root").alias("ra")), open_.select("mark", F.col("key").alias("b"), F.col("root").alias("rb"))
-    rest = left.join(right, "mark").filter("a < b AND ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    left = open_.select("mark", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("level").alias("own"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("rx"))
+    right = open_.select("mark", "level", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("ry"))
+    met = left.join(right, ["mark", "level"]).filter((F.col("rx") != F.col("ry")) & ((F.col("own") < F.col("level")) | (F.col("x") < F.col("y"))) & F.expr(f"least(n_x, n_y) >= {similarity} * greatest(n_x, n_y) - 1e-9"))
+    rest = met.select(*pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(scratch(rest, "near-rest"))
-    ends = connected_components(edges.unionByName(more)) if not more.isEmpty() else roots
-    number = F.col("node").try_cast("long")
-    kept = ends.groupBy("root").agg(F.min_by("node", F.struct(number.isNull().alias("none"), number.alias("number"), F.col("node"))).alias("kept"))
-    return ends.join(kept, "root").select(F.col("node").alias("key"), "kept")
+    ends = connected_components(edges.unionByName(more).unionByName(same))
+    named = scratch(ends.join(signs.select("node", "key"), "node"), "near-named")
+    number = key_id(F.col("key"))
+    kept = named.groupBy("root").agg(F.min_by("key", F.struct(number.isNull().alias("none"), number.alias("number"), F.col("key"))).alias("kept"))
+    return named.join(kept, "root").select("key", "kept").distinct()

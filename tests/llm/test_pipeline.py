@@ -6,7 +6,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
-from test_simhash import brute as brute_near_duplicates
+from test_near_copies import brute_dropped
 from tokenizers import Tokenizer
 
 from helixframe.llm import secrets, toxicity
@@ -26,8 +26,7 @@ def test_each_stage(spark, small):
     for i in sorted(kept):
         first.setdefault(kept[i] or "", i)
     kept = {i: kept[i] for i in first.values()}
-    near = brute_near_duplicates(sorted(kept.items()))
-    kept = {i: kept[i] for i, _, component in near if i == component}
+    kept = {i: kept[i] for i in kept.keys() - brute_dropped(kept.items())}
     owners, repositories = defaultdict(set), defaultdict(set)
     source = {r.doc_id: r.source for r in docs.collect()}
     found = {i: (base := secrets.base_spans(t or "")) + secrets.further_spans(t or "", base) for i, t in kept.items()}
@@ -58,3 +57,24 @@ def test_each_stage(spark, small):
         assert zlib.crc32(p.ids) == p.ids_crc32
         pieces[p.doc_id].append(p)
     assert {i: b"".join(p.ids for p in sorted(own, key=lambda p: p.start)) for i, own in pieces.items()} == want
+
+
+def test_odd_rows_pass_every_stage_and_the_run(spark, odd, none, small, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and ids, clashing columns, and an empty table."""
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    for name, docs in (("odd", odd), ("none", none)):
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            after = function(spark, docs, small)
+            assert after.columns == docs.columns, (name, stage)
+            got, given = [(r.doc_id, r.text) for r in after.collect()], [(r.doc_id, r.text) for r in docs.collect()]
+            if stage == "secret scans":
+                assert sorted(str(i) for i, _ in got) == sorted(str(i) for i, _ in given)
+                continue
+            assert set(got) <= set(given)
+            if stage == "exact dedup":
+                assert sorted(t or "" for _, t in got) == sorted({t or "" for _, t in given})
+        folder = tmp_path / name
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        pieces = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {p.doc_id for p in pieces} <= {r.doc_id for r in docs.collect()} and bool(pieces) == (name == "odd")
