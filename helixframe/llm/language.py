@@ -5,13 +5,15 @@ is the sum over all its segmentations into pieces, by the forward algorithm; seg
 cross a word's bounds, so a text's log-likelihood is the sum over its words. Probabilities are
 fitted by expectation-maximisation with the forward-backward algorithm on a bounded sample.
 
-Words are runs of letters, lower-cased, with the vocabulary's word mark in front. A character that
-no piece covers is its own piece at a fixed small probability.
+Words are runs of word characters with at least one letter, lower-cased, with the vocabulary's word
+mark in front. A character that no piece covers is its own piece at a fixed small probability. Words
+of any length are learned from and scored; those over `_LONG` letters one at a time, rescaled.
 
 Cases: texts that are null or have no letter are `und` with score 0; rows without a language are
 not learned from; ties go to the language that sorts first; without anything to learn from, every
-text is `und`; repeated rows are predicted as often as they occur; an empty table gives an empty
-result; other columns are never looked at.
+text is `und`; repeated rows are predicted as often as they occur, and one row of an id (the smallest
+text) is learned from; very long texts are scored whole, some hundred thousand words at a time; an
+empty table gives an empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -29,16 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import bucket_of, chunks, column_rows, narrow, record_batch, resident
+from helixframe.llm._common import bounded_sample, bucket_of, chunks, column_rows, narrow, record_batch, resident
 
 UNKNOWN_LANGUAGE = "und"
-#: Bounds of the sample: rows of a language, rows in all, characters of a text that is learned from,
-#: and languages, the largest.
-ROWS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS, LANGUAGES = 600, 20_000, 30_000, 1000
+#: Bounds of the sample: rows of a language, rows in all, characters of their whole texts together,
+#: and languages, the largest. The model has a row of LANGUAGES numbers at most for each piece.
+ROWS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS, LANGUAGES = 600, 20_000, 24_000_000, 1000
 ROUNDS, SMOOTHING, FOREIGN = 2, 0.05, 1e-7
 MARK = "▁"
 _WORD = re.compile(r"[^\W\d_]+")
-_LONG, _REMEMBERED = 32, 400_000
+_LONG, _AT_ONCE = 32, 200_000
+#: Numbers in the remembered likelihoods of a worker and in a lattice of words, at any number of languages.
+_REMEMBERED, _LATTICE = 1_600_000, 1_400_000
 
 
 @lru_cache(maxsize=2)
@@ -56,10 +60,27 @@ def vocabulary(model_file: str) -> dict[str, int]:
 
 
 def words_of(text: str | None) -> list[str]:
-    found = _WORD.findall((text or "").lower())
-    if len(found) < 4 and not any(map(str.isalpha, "".join(found))):
-        return []
-    return found
+    low = (text or "").lower()
+    found = _WORD.findall(low)
+    return found if low.isascii() else [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
+
+
+def words_at_once(languages: int) -> int:
+    """Words that a lattice may hold."""
+    return max(16, _LATTICE // ((_LONG + 2) * max(1, languages)))
+
+
+def edges_from(marked: str, start: int, known: dict[str, int], foreign: int) -> list[tuple[int, int]]:
+    """(stop, piece) of the pieces that begin at start; a lone foreign one if none covers its letter."""
+    found, covered = [], False
+    for stop in range(start + 1, len(marked) + 1):
+        piece = known.get(marked[start:stop])
+        if piece is None:
+            break
+        if piece >= 0:
+            covered = covered or stop == start + 1
+            found.append((stop, piece))
+    return found if covered else [*found, (start + 1, foreign)]
 
 
 class Lattice:
@@ -72,18 +93,9 @@ class Lattice:
         for k, word in enumerate(words):
             marked = MARK + word
             for start in range(len(marked)):
-                covered = False
-                for stop in range(start + 1, len(marked) + 1):
-                    piece = known.get(marked[start:stop])
-                    if piece is None:
-                        break
-                    if piece >= 0:
-                        covered = covered or stop == start + 1
-                        rows[start, stop].append(k)
-                        ids[start, stop].append(piece)
-                if not covered:
-                    rows[start, start + 1].append(k)
-                    ids[start, start + 1].append(foreign)
+                for stop, piece in edges_from(marked, start, known, foreign):
+                    rows[start, stop].append(k)
+                    ids[start, stop].append(piece)
         self.edges = [(a, b, np.array(rows[a, b]), np.array(ids[a, b])) for a, b in sorted(rows)]
 
     def forward(self, table: np.ndarray) -> np.ndarray:
@@ -111,6 +123,35 @@ class Lattice:
         return out
 
 
+def long_forward(marked: str, known: dict[str, int], table: np.ndarray) -> Iterator[np.ndarray]:
+    """Log of the forward sums at each position, one after the other, rescaled at each."""
+    ahead, scale = {0: np.ones(table.shape[1])}, np.zeros(table.shape[1])
+    for start in range(len(marked) + 1):
+        top = np.maximum(ahead.pop(start), 1e-300)
+        scale = scale + np.log(top)
+        yield scale
+        ahead = {b: v / top for b, v in ahead.items()}
+        if start < len(marked):
+            for stop, piece in edges_from(marked, start, known, len(table) - 1):
+                ahead[stop] = ahead.get(stop, 0) + table[piece]
+
+
+def long_uses(word: str, known: dict[str, int], table: np.ndarray, uses: np.ndarray, weight: np.ndarray) -> None:
+    """Adds the expected uses of pieces by one word of any length. Only the languages that have the
+    word are looked at. The chance that a piece is used is that of its end being a bound of pieces,
+    times the share of the forward sum there that comes through the piece."""
+    has = np.flatnonzero(weight)
+    marked, own = MARK + word, table[:, has]
+    sums = list(long_forward(marked, known, own))
+    bound = [np.zeros(len(has)) for _ in sums]
+    bound[-1] = weight[has].astype(float)
+    for start in range(len(marked) - 1, -1, -1):
+        for stop, piece in edges_from(marked, start, known, len(table) - 1):
+            used = own[piece] * np.exp(sums[start] - sums[stop]) * bound[stop]
+            uses[piece, has] += used
+            bound[start] = bound[start] + used
+
+
 class Model:
     """Languages and the table of piece probabilities, the last row for foreign characters."""
 
@@ -124,16 +165,20 @@ def fit(texts: list[str], languages: list[str], model_file: str, rounds: int = R
     names = sorted(set(languages))
     counts: list[Counter] = [Counter() for _ in names]
     for text, language in zip(texts, languages, strict=True):
-        counts[names.index(language)].update(w for w in words_of(text) if len(w) <= _LONG)
+        counts[names.index(language)].update(words_of(text))
     table = np.full((pieces + 1, len(names)), 1 / pieces)
     table[-1] = FOREIGN
     words = sorted(set().union(*counts)) if counts else []
+    short, long = [w for w in words if len(w) <= _LONG], [w for w in words if len(w) > _LONG]
+    step = words_at_once(len(names))
     for _ in range(rounds if words else 0):
         uses = np.full_like(table, SMOOTHING)
-        for low in range(0, len(words), 10_000):
-            part = words[low : low + 10_000]
+        for low in range(0, len(short), step):
+            part = short[low : low + step]
             weight = np.array([[c[w] for c in counts] for w in part], float)
             uses += Lattice(part, known, pieces).expected(table, weight)
+        for word in long:
+            long_uses(word, known, table, uses, np.array([c[word] for c in counts], float))
         uses = uses[:-1]
         table = np.vstack([uses / uses.sum(axis=0), np.full((1, len(names)), FOREIGN)])
     return Model(names, table, model_file)
@@ -149,66 +194,64 @@ class Scorer:
 
     def long_word(self, word: str) -> np.ndarray:
         """The forward algorithm over one word, rescaled at each position."""
-        marked, table, known = MARK + word, self.model.table, self.known
-        reach = max(map(len, known))
-        alpha, scale = {0: np.ones(table.shape[1])}, np.zeros(table.shape[1])
-        for start in range(len(marked)):
-            here = alpha.pop(start)
-            top = np.maximum(here, 1e-300)
-            scale += np.log(top)
-            alpha = {b: v / top for b, v in alpha.items()}
-            covered = False
-            for stop in range(start + 1, min(len(marked), start + reach) + 1):
-                piece = known.get(marked[start:stop])
-                if piece is None:
-                    break
-                if piece >= 0:
-                    covered = covered or stop == start + 1
-                    alpha[stop] = alpha.get(stop, 0) + table[piece]
-            if not covered:
-                alpha[start + 1] = alpha.get(start + 1, 0) + table[-1]
-        return scale + np.log(np.maximum(alpha[len(marked)], 1e-300))
+        for last in long_forward(MARK + word, self.known, self.model.table):
+            pass
+        return last
 
     def learn(self, words: set[str]) -> None:
-        todo = sorted(words)
-        if not todo:
-            return
-        if len(self.index) + len(todo) > _REMEMBERED:
-            self.index.clear()
+        todo, step = sorted(words), words_at_once(self.values.shape[1])
         low, high = len(self.index), len(self.index) + len(todo)
         if high > len(self.values):
             grown = np.zeros((max(high, 2 * len(self.values)), self.values.shape[1]))
             grown[:low] = self.values[:low]
             self.values = grown
-        self.values[low:high] = np.log(np.maximum(Lattice(todo, self.known, len(self.model.table) - 1).likelihood(self.model.table), 1e-300))
+        for at in range(0, len(todo), step):
+            part = todo[at : at + step]
+            self.values[low + at : low + at + len(part)] = np.log(np.maximum(Lattice(part, self.known, len(self.model.table) - 1).likelihood(self.model.table), 1e-300))
         self.index.update(zip(todo, range(low, high), strict=True))
 
-    def scores(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        split = [words_of(t) for t in texts]
-        self.learn_batch(split)
-        return [self.decide(words) for words in split]
-
     def learn_batch(self, split: list[list[str]]) -> None:
-        seen = set().union(*split)
-        short = {w for w in seen if len(w) <= _LONG}
+        """Looks up the short words of texts that have _AT_ONCE words at most."""
+        short = {w for w in set().union(*split) if len(w) <= _LONG}
         new = short - self.index.keys()
-        if len(self.index) + len(new) > _REMEMBERED:
+        if len(self.index) + len(new) > max(len(short), _REMEMBERED // max(1, self.values.shape[1])):
             self.index.clear()
             new = short
         self.learn(new)
 
-    def decide(self, words: list[str]) -> tuple[str, float]:
-        if not words or not self.model.languages:
-            return UNKNOWN_LANGUAGE, 0.0
+    def total(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood of words whose short ones are looked up."""
         short = [w for w in words if len(w) <= _LONG]
-        total = self.values[np.fromiter(map(self.index.__getitem__, short), np.int64, len(short))].sum(axis=0)
-        for word in words:
-            if len(word) > _LONG:
-                total = total + self.long_word(word)
+        out = self.values[np.fromiter(map(self.index.__getitem__, short), np.int64, len(short))].sum(axis=0)
+        return sum((self.long_word(w) for w in words if len(w) > _LONG), out) if len(short) < len(words) else out
+
+    def decide(self, total: np.ndarray) -> tuple[str, float]:
         share = np.exp(total - total.max())
         best = int(np.argmax(total))
         return self.model.languages[best], float(share[best] / share.sum())
 
+    def scores(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out: list[tuple[str, float]] = [(UNKNOWN_LANGUAGE, 0.0)] * len(texts)
+        split = [(i, words) for i, text in enumerate(texts) if self.model.languages and (words := words_of(text))]
+        while split:
+            here, size = [], 0
+            while split and (not here or size + len(split[-1][1]) <= _AT_ONCE):
+                here.append(split.pop())
+                size += len(here[-1][1])
+            if size <= _AT_ONCE:
+                self.learn_batch([words for _, words in here])
+                for i, words in here:
+                    out[i] = self.decide(self.total(words))
+            else:  # one very long text
+                i, words = here[0]
+                whole = np.zeros(self.values.shape[1])
+                for low in range(0, len(words), _AT_ONCE):
+                    part = words[low : low + _AT_ONCE]
+                    self.learn_batch([part])
+                    whole = whole + self.total(part)
+                out[i] = self.decide(whole)
+        return out
+
 
 def scorer_of(model: Model) -> Scorer:
     """One scorer for all tasks of a Python worker."""
@@ -216,19 +259,20 @@ def scorer_of(model: Model) -> Scorer:
 
 
 def train(docs: DataFrame, model_file: str, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS_PER_LANGUAGE, most: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> Model:
-    """Fits on at most `rows` rows of each language that are not held out, `most` in all, the first
-    by a hash of the id. The ids are broadcast; the rows' texts come to the driver."""
+    """Fits on at most `rows` ids of each language that are not held out, `most` in all, the first by
+    a hash of the id, for as long as their texts have at most `most_chars` characters together. The
+    ids are broadcast, and one text of each comes to the driver."""
     key = F.col(id_col).cast("long")
     able = docs.filter(bucket_of(key) != 0).select(key.alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
-    able = able.filter(F.col("_lang").isNotNull() & F.col("_id").isNotNull() & F.length("_text").between(1, most_chars))
+    able = able.filter(F.col("_lang").isNotNull() & F.col("_id").isNotNull() & (F.length("_text") > 0))
     # A language keeps about twice the rows asked for before they are ranked, whatever its share.
     sizes = able.groupBy("_lang").agg(F.count(F.lit(1)).alias("_size")).orderBy(F.desc("_size"), "_lang").limit(LANGUAGES)
     share = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) * F.col("_size") < F.lit(2 * rows) * (1 << 20)
     thin = able.select("_id", "_lang").join(F.broadcast(sizes), "_lang").filter(share)
     nth = F.row_number().over(W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
     ids = thin.select("_id", "_lang", nth.alias("_nth")).filter(F.col("_nth") <= rows).orderBy("_nth", "_lang").limit(most).select("_id").distinct()
-    found = able.join(F.broadcast(ids), "_id", "left_semi").toArrow().sort_by([("_id", "ascending"), ("_lang", "ascending"), ("_text", "ascending")])
-    return fit(found.column("_text").to_pylist(), found.column("_lang").to_pylist(), model_file)
+    found = bounded_sample(able.join(F.broadcast(ids), "_id", "left_semi").withColumnRenamed("_lang", "_label"), most_chars)
+    return fit([text for text, _ in found], [language for _, language in found], model_file)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -52,7 +52,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (bucket_of(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", (bucket_of(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_start", "worst_end", "worst_score")
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ locate what is offensive.
 
 Cases: null and empty texts have no sentence and score 0; null labels are no labels; if the sample
 lacks one of the labels, all weights are zero and every score is 0 (or 1, if all labels are 1 and
-the text has a sentence); repeated rows are scored as often as they occur; empty tables give an empty
-result; other columns are never looked at.
+the text has a sentence); repeated rows are scored as often as they occur, and one row of an id (the
+smallest text) is learned from; very long texts are scored whole, sentence by sentence; empty tables
+give an empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import Remembered, bucket_of, chunks, column_rows, narrow, record_batch, resident
+from helixframe.llm._common import Remembered, bounded_sample, bucket_of, chunks, column_rows, narrow, record_batch, resident
 
-#: Bounds of the sample: labelled rows, and characters of a text that is learned from.
-SAMPLE_ROWS, SAMPLE_CHARS = 5000, 60_000
+#: Bounds of the sample: labelled rows, and characters of their whole texts together.
+SAMPLE_ROWS, SAMPLE_CHARS = 5000, 24_000_000
 DIMENSIONS, BEGINNINGS, EPOCHS, RATE, DECAY = 1 << 18, (4, 5, 6), 120, 0.1, 0.3
 #: What a feature must show to weigh: rows that have it, and standard deviations above chance.
 MIN_ROWS, MIN_SIGMA = 3, 3.5
@@ -100,6 +101,11 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
     return theta.astype(np.float32), float(bias)
 
 
+def noisy_or(spans: list[tuple[int, int, float]]) -> float:
+    """The chance that at least one of the scored spans is offensive."""
+    return 1 - exp(sum(log1p(-min(p, 1 - _EPS)) for _, _, p in spans)) if spans else 0.0
+
+
 class WordWeights(Remembered):
     entries = 150_000
 
@@ -125,8 +131,7 @@ class Scorer:
         return [(a, b, self.sentence(_WORD.findall(text[a:b].lower()))) for a, b in sentences(text)]
 
     def score(self, text: str | None) -> float:
-        spans = self.located(text)
-        return 1 - exp(sum(log1p(-min(p, 1 - _EPS)) for _, _, p in spans)) if spans else 0.0
+        return noisy_or(self.located(text))
 
 
 def scorer_of(model: tuple[np.ndarray, float]) -> Scorer:
@@ -136,28 +141,31 @@ def scorer_of(model: tuple[np.ndarray, float]) -> Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, float]:
-    """Fits on at most `rows` labelled rows that are not held out, the first by a hash of the id.
-    Those ids (a bounded number) are broadcast, and the rows' texts come to the driver."""
+    """Fits on at most `rows` labelled ids that are not held out, the first by a hash of the id, for
+    as long as their texts have at most `most_chars` characters together. The ids are broadcast, and
+    one text of each comes to the driver."""
     key = F.col(id_col).cast("long")
     marked = labels.select(key.alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id IS NOT NULL AND _label IN (0, 1)").filter(bucket_of(F.col("_id")) != 0)
     sample = marked.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(key.alias("_id"), F.col(text_col).alias("_text")).filter(F.length("_text").between(1, most_chars))
-    found = texts.join(F.broadcast(sample), "_id").select("_id", "_text", "_label").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending")])
-    return fit(found.column("_text").to_pylist(), found.column("_label").to_pylist())
+    texts = docs.select(key.alias("_id"), F.col(text_col).alias("_text")).filter(F.length("_text") > 0)
+    found = bounded_sample(texts.join(F.broadcast(sample), "_id"), most_chars)
+    return fit([text for text, _ in found], [label for _, label in found])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score), one row per document."""
+    """(doc_id, score, worst_start, worst_end, worst_score), one row per document: the last three tell
+    the sentence that scores most (the first of equals), null without a sentence."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("worst_start", pa.int64()), ("worst_end", pa.int64()), ("worst_score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(held.value)
         for batch in batches:
             for rows in chunks(column_rows(batch, ["doc_id", "text"]), 4096):
-                yield record_batch([(doc_id, scorer.score(text)) for doc_id, text in rows], schema)
+                found = [(doc_id, scorer.located(text)) for doc_id, text in rows]
+                yield record_batch([(doc_id, noisy_or(spans), *max(spans, key=lambda s: s[2], default=(None,) * 3)) for doc_id, spans in found], schema)
 
-    return narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col)).mapInArrow(run, "doc_id long, score double")
+    return narrow(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col)).mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long, worst_score double")
 
 
 def locate(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,5 +1,7 @@
 """Toxicity and language: held-out accuracy, and the forward algorithm against all segmentations."""
 
+import math
+import re
 import zlib
 
 import numpy as np
@@ -7,6 +9,7 @@ import public_tokenizers
 import pytest
 
 from helixframe.llm import language, queries, toxicity
+from helixframe.llm._common import bounded_sample
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -87,6 +90,58 @@ def test_long_words_agree():
         scorer.learn_batch([[word]])
         assert np.allclose(scorer.values[scorer.index[word]], scorer.long_word(word))
     assert np.isfinite(scorer.long_word("x" * 5000)).all()
+    known, table = language.vocabulary(PIECES), model.table
+    for word in ("hello", "strassenbahn"):
+        weight, uses = np.array([2.0, 0.0]), np.zeros_like(table)
+        language.long_uses(word, known, table, uses, weight)
+        assert np.allclose(uses, language.Lattice([word], known, len(table) - 1).expected(table, weight[None, :]))
+
+
+def test_languages_without_spaces_are_learned():
+    a, b = "abcdefghij" * 5, "jihgfedcba" * 5
+    model = language.fit([a, b] * 4, ["xx", "yy"] * 4, PIECES)
+    assert [x for x, _ in language.Scorer(model).scores([a + a, b + b])] == ["xx", "yy"]
+
+
+@pytest.mark.parametrize("text", ["½ ¼", "½ ¼ ¾ ⅓ ⅔", "² ³ ¹ ² ³ ¹", "1 2 3 4 5", "_ _ _ _ _", "… — ! ?"])
+def test_without_a_letter_undetermined(text):
+    model = language.fit(["hallo welt strasse", "hello world street"], ["de", "en"], PIECES)
+    assert language.Scorer(model).scores([text, None, "", text + " a"])[:3] == [("und", 0.0)] * 3
+    assert language.Scorer(model).scores([text + " hello"])[0][0] == "en"
+
+
+def test_slices_of_a_very_long_text_add_up(monkeypatch):
+    model = language.fit(["hallo welt strasse", "hello world street"], ["de", "en"], PIECES)
+    texts = ["hello wide world of streets " * 9, "hallo weite welt " * 7, "", "a hello"]
+    want = language.Scorer(model).scores(texts)
+    monkeypatch.setattr(language, "_AT_ONCE", 5)
+    got = language.Scorer(model).scores(texts)
+    assert [x for x, _ in got] == [x for x, _ in want] and np.allclose([p for _, p in got], [p for _, p in want])
+
+
+def test_samples_are_bounded_and_whole(spark):
+    rows = [(i, "word " * 50, 0) for i in range(60)] + [(7, "word " * 50, 0)] * 300 + [(100, "long " * 40_000, 1)]
+    docs = spark.createDataFrame(rows, "_id long, _text string, _label int")
+    found = bounded_sample(docs, 10**7)
+    assert len(found) == 61 and max(len(t) for t, _ in found) == 200_000
+    assert sum(len(t) for t, _ in bounded_sample(docs, 5000)) <= 5000
+
+
+def test_score_by_plain_arithmetic(spark, tiny_model):
+    weights, bias = tiny_model
+    text = "The sea is blue. You LOSER of losers! It rains. Ein Satz ohne Ende"
+    chance, at, places = 1.0, 0, []
+    for sentence in re.split("([.!?])", text)[::2]:
+        z = bias
+        for word in re.findall("[a-z]+", sentence.lower()):
+            z += sum(float(weights[zlib.crc32(m.encode()) % len(weights)]) for m in {word + "$"} | {word[:n] for n in (4, 5, 6) if len(word) >= n})
+        p = 1 / (1 + math.exp(-max(-30, min(30, z))))
+        places.append((p, at, at + len(sentence)))
+        chance *= 1 - min(p, 1 - 1e-12)
+        at += len(sentence) + 1
+    row = toxicity.score(spark.createDataFrame([(1, text)], "doc_id long, text string"), tiny_model).first()
+    worst = max(places)
+    assert row.score == pytest.approx(1 - chance) and row.worst_score == pytest.approx(worst[0]) and (row.worst_start, row.worst_end) == worst[1:]
 
 
 @pytest.mark.parametrize("which", ["odd", "none"])
