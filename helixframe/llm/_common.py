@@ -4,6 +4,7 @@ and a fixed-size membership filter that keeps clean rows out of shuffles."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from helixframe.storage import scratch
 
-#: Bits of the membership filter: 4 MB when broadcast, at any size of the input. A fuller filter
-#: lets more rows through to the exact join behind it and so costs time, never results.
-FILTER_BITS = 1 << 25
+#: Bits of a membership filter for each key, and its bounds: 32 MB when broadcast, at any size of the
+#: input. A fuller filter lets more rows through to the exact join behind it: time, never results.
+KEY_BITS, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 28
 _BUCKET_BITS = 8 * 4096  # what bitmap_construct_agg holds in one value
 
 
@@ -119,22 +120,30 @@ def bounded_sample(rows: DataFrame, most_chars: int) -> list[tuple]:
     return list(zip(found.column("_text").to_pylist(), found.column("_label").to_pylist(), strict=True))
 
 
-def membership_filter(keys: DataFrame, key: Column) -> DataFrame:
-    """Rows (slot, bits): a bitmap of FILTER_BITS bits over the keys, with no false negatives."""
-    at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    return (
+class Filter(NamedTuple):
+    """A bitmap as rows (slot, bits) and the number of its bits."""
+
+    bitmap: DataFrame
+    size: int
+
+
+def membership_filter(keys: DataFrame, key: Column) -> Filter:
+    """A bitmap over the keys, with no false negatives; its size follows the count of the keys."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (KEY_BITS * keys.count()).bit_length()))
+    at = F.pmod(F.xxhash64(key), F.lit(size))
+    return Filter(
         keys.select(F.floor(at / _BUCKET_BITS).cast("long").alias("slot"), F.pmod(at, F.lit(_BUCKET_BITS)).alias("bit"))
         .groupBy("slot")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .agg(F.bitmap_construct_agg("bit").alias("bits")),
+        size,
     )
 
 
-def maybe_in(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
+def maybe_in(rows: DataFrame, key: Column, known: Filter) -> DataFrame:
     """rows with a boolean `_maybe`: false means that the key is surely not in the filter."""
-    at = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    marked = rows.withColumn("_at", at)
+    marked = rows.withColumn("_at", F.pmod(F.xxhash64(key), F.lit(known.size)))
     slot = F.floor(F.col("_at") / _BUCKET_BITS).cast("long")
-    joined = marked.join(F.broadcast(bitmap.withColumnRenamed("slot", "_slot").withColumnRenamed("bits", "_bits")), slot == F.col("_slot"), "left")
+    joined = marked.join(F.broadcast(known.bitmap.withColumnRenamed("slot", "_slot").withColumnRenamed("bits", "_bits")), slot == F.col("_slot"), "left")
     bit = F.pmod(F.col("_at"), F.lit(_BUCKET_BITS))
     byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.coalesce(byte.bitwiseAND(F.expr(f"shiftleft(1, cast(pmod(_at, {_BUCKET_BITS}) % 8 as int))")) != 0, F.lit(False))

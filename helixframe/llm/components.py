@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.storage import scratch
+from helixframe.storage import release, scratch
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,10 @@ def connected_components(edges: DataFrame, most: int = 60) -> DataFrame:
     shared folder. Steps end when the edges are stars, checked by count and an order-free hash."""
     now, seen = scratch(edges.select("a", "b").distinct(), "components"), None
     for _ in range(most):
-        now = scratch(_small_star(scratch(_large_star(now), "components")), "components")
+        large = scratch(_large_star(now), "components")
+        after = scratch(_small_star(large), "components")
+        release(now, large)
+        now = after
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

@@ -41,6 +41,52 @@ def test_weak_digests_are_told_apart_by_bytes(odd):
     assert sorted(r.group_size for r in weak) == sizes and sum(r.kept for r in weak) == len(groups(odd))
 
 
+WEAK = {"digest": lambda t: F.lit("same"), "second": lambda t: F.lit(1)}
+
+
+def test_weak_digests_lose_no_row(spark):
+    docs = spark.createDataFrame(list(enumerate(["aa", "aa", "bb", "bb", "cc"], 1)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in exact_dedup.deduplicate(docs, **WEAK).collect()) == [1, 3, 5]
+    assert sorted(r.doc_id for r in exact_dedup.deduplicate(docs, keep="largest", **WEAK).collect()) == [2, 4, 5]
+
+
+@pytest.mark.parametrize("settings", [{}, {"memtable_rows": 1}, {"memtable_rows": 2}, WEAK])
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_a_second_table_enters_the_index(spark, odd, settings, keep):
+    more = spark.createDataFrame([(-1, "a"), (50, "new"), (51, "new"), (-2, None), (3, ""), (None, "no id"), (60, "plain words here"), (61, "plain words here")], "doc_id long, text string").repartition(5)
+    index = exact_dedup.Index(spark, keep=keep, **settings)
+    index.add(odd)
+    first = {(r.doc_id, r.kept) for r in index.classify().collect()}
+    assert sum(k for _, k in first) == len(groups(odd))
+    index.add(more)
+    rows = [(r.doc_id, r.text or "") for r in odd.select("doc_id", "text").unionByName(more).collect()]
+    best = {}
+    for text in {t for _, t in rows}:
+        ids = [i for i, t in rows if t == text and i is not None]
+        best[text] = (min if keep == "smallest" else max)(ids, default=None)
+    got = index.classify().collect()
+    assert len(got) == len(rows) and sorted(str(r.doc_id) for r in got if r.kept) == sorted(map(str, best.values()))
+    sizes = [sum(t == text for _, t in rows) for _, text in rows]
+    assert sorted(r.group_size for r in got) == sorted(sizes)
+    staying = [(r.doc_id, r.text or "") for r in index.deduplicate().collect()]
+    assert sorted(staying, key=str) == sorted(((r.doc_id, r.text) for r in index.sources[-1].docs.fillna("").collect() if best[r.text] == r.doc_id and (r.doc_id, r.text) not in ([(None, "no id"), (3, "")] if keep == "smallest" else [])), key=str)
+
+
+def test_runs_are_bounded_sorted_and_merged_without_an_exchange(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 1700).alias("text")).repartition(11)
+    index = exact_dedup.index(docs, memtable_rows=60)
+    assert len(index.runs()) > 1 and len(index.levels) > 2
+    for run in index.runs():
+        for rows in spark.table(run.name).select("digest").rdd.glom().collect():
+            assert rows == sorted(rows)
+    tables = [spark.table(r.name) for r in index.runs()]
+    merged = index.merge(*tables[:2])
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    entries = index.entries().collect()
+    assert len(entries) == len({r.digest for r in entries}) == 1700 and sum(r.rows for r in entries) == 3000
+    assert index.hits().count() == 1300
+
+
 def test_deduplicate_keeps_whole_rows(odd):
     kept = exact_dedup.deduplicate(odd)
     assert kept.columns == odd.columns
