@@ -84,32 +84,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-def _url_sql() -> str:
-    """The template tree in SQL: the same three levels over the same counted ways."""
+def _url_sql(splits: int = 4) -> str:
+    """The contract in SQL, the template tree for hosts that are split at `splits` levels at most."""
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     longest = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in longest) + " END"
     says = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in longest) + " END"
-    shape = lambda x: f"CASE WHEN regexp_matches({x}, '^[0-9a-f]{{16,}}$') THEN '{{x}}' ELSE regexp_replace({x}, '[0-9]+', '{{n}}', 'g') END"
-    third = "substr(p, length(split_part(p, '/', 1)) + length(split_part(p, '/', 2)) + 3)"
-    depth = "length(p) - length(replace(p, '/', ''))"
+    prior = url_filter.PRIOR
     parts = [
         """rest AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN split_part(split_part(substr(url, instr(url, '://') + 3), '#', 1), '?', 1) ELSE '' END AS r FROM pages)""",
         """split AS (SELECT page_id, translate(split_part(r, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, substr(r, length(split_part(r, '/', 1)) + 1) AS path FROM rest)""",
-        f"""ruled AS (SELECT page_id, host, path, {rule} AS rule, {says} AS says, substr(path, 2) AS p FROM split)""",
-        f"""shaped AS (SELECT * EXCLUDE p, CASE WHEN {depth} = 0 THEN [{shape('p')}] WHEN {depth} = 1 THEN [{shape("split_part(p, '/', 1)")}, {shape("split_part(p, '/', 2)")}] ELSE [{shape("split_part(p, '/', 1)")}, {shape("split_part(p, '/', 2)")}, {shape(third)}] END AS shapes FROM ruled)""",
-        """ways AS (SELECT host, shapes, count(*) FILTER (says = 'block') AS blocked, count(*) FILTER (says = 'allow') AS allowed FROM shaped GROUP BY ALL)""",
-        f"""w0 AS (SELECT *, '' AS node, (SELECT least((sum(blocked) + 1)::DOUBLE / (sum(allowed) + sum(blocked) + 2), {url_filter.REJECT}) FROM ways)::DOUBLE AS purity FROM ways)""",
+        f"""ruled AS (SELECT page_id, host, path, {rule} AS rule, {says} AS says, [CASE WHEN regexp_matches(x, '^[0-9a-f]{{16,}}$') THEN '{{x}}' ELSE regexp_replace(x, '[0-9]+', '{{n}}', 'g') END FOR x IN string_split(substr(path, 2), '/')] AS shapes FROM split)""",
+        """ways AS (SELECT host, shapes, count(DISTINCT path) AS paths, count(DISTINCT path) FILTER (says = 'block') AS b, count(DISTINCT path) FILTER (says = 'allow') AS a FROM ruled WHERE host <> '' GROUP BY ALL)""",
+        f"""w0 AS (SELECT *, '' AS node, 0 AS pos, (sum(b) OVER h + {prior / 2}::DOUBLE) / (sum(b + a) OVER h + {prior}::DOUBLE) AS purity, sum(b) OVER h > 0 AND sum(a) OVER h > 0 AS mixed FROM ways WINDOW h AS (PARTITION BY host) QUALIFY sum(b + a) OVER h > 0)""",
     ]
-    for k in range(1, url_filter.DEPTH + 1):
+    for k in range(splits):
         parts += [
-            f"c{k} AS (SELECT host, node, shapes[{k}] AS seg, sum(blocked) AS blocked, sum(allowed) AS allowed FROM w{k - 1} WHERE len(shapes) >= {k} GROUP BY ALL)",
-            f"p{k} AS (SELECT host, node, count(*) AS children, count(*) FILTER (blocked + allowed > 0) AS examined, sum(blocked)::DOUBLE AS ab, sum(blocked + allowed)::DOUBLE AS al FROM c{k} GROUP BY ALL)",
-            f"n{k} AS (SELECT host, node, seg, blocked, allowed, CASE WHEN children > {url_filter.MOST_CHILDREN} THEN '{{any}}' WHEN blocked + allowed > 0 AND examined > 1 AND abs(blocked::DOUBLE / (blocked + allowed) - ab / al) <= {url_filter.Z} * sqrt(ab / al * (1 - ab / al) / (blocked + allowed)) THEN '{{alike}}' ELSE seg END AS name FROM c{k} JOIN p{k} USING (host, node))",
-            f"g{k} AS (SELECT host, node, name, sum(blocked)::DOUBLE AS nb, sum(blocked + allowed)::DOUBLE AS nn FROM n{k} GROUP BY ALL)",
-            f"w{k} AS (SELECT w.host, w.shapes, w.blocked, w.allowed, CASE WHEN n.name IS NULL THEN w.node ELSE w.node || '/' || n.name END AS node, CASE WHEN coalesce(nn, 0) > 0 THEN (nb + {url_filter.PRIOR} * purity) / (nn + {url_filter.PRIOR}) ELSE purity END AS purity FROM w{k - 1} w LEFT JOIN n{k} n ON n.host = w.host AND n.node = w.node AND n.seg = w.shapes[{k}] LEFT JOIN g{k} g ON g.host = n.host AND g.node = n.node AND g.name = n.name)",
+            f"x{k} AS (SELECT host, node, i FROM w{k} CROSS JOIN range(0, 64) t(i) WHERE mixed AND pos < len(shapes) GROUP BY ALL HAVING min(len(shapes) - pos) >= i AND count(DISTINCT shapes[pos + 1 : pos + i]) = 1)",
+            f"o{k} AS (SELECT w.*, pos + shared AS cut FROM w{k} w JOIN (SELECT host, node, max(i) AS shared FROM x{k} GROUP BY ALL) x USING (host, node) WHERE mixed AND pos < len(shapes))",
+            f"s{k} AS (SELECT *, CASE WHEN cut < len(shapes) THEN '/' || shapes[cut + 1] ELSE '' END AS seg FROM o{k})",
+            f"c{k} AS (SELECT host, node, seg, sum(paths) AS paths, sum(b) AS b, sum(a) AS a FROM s{k} GROUP BY ALL)",
+            f"n{k} AS (SELECT host, node, seg, CASE WHEN seg = '' THEN '' WHEN paths = 1 THEN '/{{any}}' WHEN a + b > 0 AND count(*) FILTER (a + b > 0) OVER p > 1 AND abs(b::DOUBLE / (a + b) - sum(b) OVER p / sum(a + b) OVER p) <= {url_filter.Z} * sqrt(sum(b) OVER p / sum(a + b) OVER p * (1 - sum(b) OVER p / sum(a + b) OVER p) / (a + b)) THEN '/{{alike}}' ELSE seg END AS name FROM c{k} WINDOW p AS (PARTITION BY host, node))",
+            f"w{k + 1} AS (SELECT host, shapes, paths, b, a, node || coalesce('/' || nullif(array_to_string(shapes[pos + 1 : cut], '/'), ''), CASE WHEN cut > pos THEN '/' ELSE '' END) || name AS node, least(cut + 1, len(shapes)) AS pos, CASE WHEN sum(b + a) OVER g > 0 THEN (sum(b) OVER g + {prior} * purity) / (sum(b + a) OVER g + {prior}) ELSE purity END AS purity, sum(b) OVER g > 0 AND sum(a) OVER g > 0 AS mixed FROM s{k} JOIN n{k} USING (host, node, seg) WINDOW g AS (PARTITION BY host, node, name))",
         ]
-    return f"WITH {', '.join(parts)} SELECT page_id, s.host, s.path, s.rule, coalesce(s.says, CASE WHEN purity > {url_filter.REJECT} AND s.host <> '' THEN 'block' ELSE 'allow' END) AS verdict, node AS template FROM shaped s LEFT JOIN w{url_filter.DEPTH} w ON w.host = s.host AND w.shapes = s.shapes"
+    ends = " UNION ALL ".join(f"SELECT host, shapes, node, pos, purity FROM w{k}" + ("" if k == splits else " WHERE NOT (mixed AND pos < len(shapes))") for k in range(splits + 1))
+    return f"WITH {', '.join(parts)}, ends AS ({ends}) SELECT page_id, r.host, r.path, rule, coalesce(says, CASE WHEN purity >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, coalesce(node || CASE WHEN pos < len(r.shapes) THEN '/{{rest}}' ELSE '' END, '/{{rest}}') AS template FROM ruled r LEFT JOIN ends e ON e.host = r.host AND e.shapes = r.shapes"
 
 
 def oracle_sql() -> dict[str, str]:
