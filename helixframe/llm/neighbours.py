@@ -3,33 +3,40 @@
 On a bounded sample a neighbour graph is built and cut into balanced parts (spectral bisection with
 median splits, so parts differ by one vector at most). A small softmax classifier learns the parts
 of a vector's neighbours. It puts every vector of the table into its most probable part and routes
-a query to its several most probable parts, whose vectors are then compared exactly.
+a query to its several most probable parts, whose vectors are then compared exactly. The number of
+parts grows with the square root of the table as far as the sample can tell parts apart; how many
+are probed is measured: as few as find `RECALL` of the neighbours of sampled vectors that the
+classifier was not fitted on.
 
 Equal vectors are one entry with their smallest k + 1 ids: no list of k neighbours can hold more of
-them. Parts are compared in blocks of bounded size; a large part is as many blocks as it needs.
-
-Cases: rows whose vector is null, zero or of another length than most of the sample's, or holds a
-null or non-finite number, take no part, nor do rows with a null id; repeated rows (same id, same
-vector) count once; ties go to the smaller id; with few vectors all are compared; an empty table
-gives an empty result; other columns are never looked at.
+them. A part is as many blocks as its size asks for. Each vector goes to one block; the queries, the
+smaller side, go to all blocks of their parts and stream past the block that a task holds.
+
+Cases: rows whose vector is null or zero, or holds a null or non-finite number, take no part, nor do
+rows with a null id; vectors of several lengths are searched apart, as an inner product asks for one
+length, and all but the most frequent length without an index; repeated rows (same id, same vector)
+count once; ties go to the smaller id; with few vectors all are compared; an empty table gives an
+empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from helixframe.llm._common import small_side
 from helixframe.storage import scratch
 
-#: Bound of the sample that the index is fitted on.
-SAMPLE_ROWS = 4096
-PARTS, PROBES, GRAPH_NEIGHBOURS = 32, 24, 16
-CANDIDATE_BLOCK, QUERY_BLOCK = 8192, 2048
+#: Bound of the sample that the index is fitted on, and its share that only measures the recall.
+SAMPLE_ROWS, MEASURED = 4096, 8
+#: Sampled vectors that a part needs, neighbours in the graph, and the recall that probes must reach.
+PART_ROWS, GRAPH_NEIGHBOURS, RECALL = 32, 16, 0.96
+CANDIDATE_BLOCK, QUERY_BLOCK = 32768, 256
 _STEPS, _RATE = 300, 0.5
 
 
@@ -51,9 +58,10 @@ def balanced_parts(graph: np.ndarray, parts: int) -> np.ndarray:
         if count == 1 or len(nodes) < 2:
             label[nodes] = first
             return
-        sub = graph[np.ix_(nodes, nodes)].astype(np.float64)
-        degree = np.maximum(sub.sum(axis=1), 1e-9)
-        scaled = sub / np.sqrt(np.outer(degree, degree))
+        scaled = graph[np.ix_(nodes, nodes)]
+        degree = np.maximum(scaled.sum(axis=1, dtype=np.float64), 1e-9)
+        scaled *= (1 / np.sqrt(degree)).astype(np.float32)[:, None]
+        scaled *= (1 / np.sqrt(degree)).astype(np.float32)[None, :]
         steady = np.sqrt(degree) / np.linalg.norm(np.sqrt(degree))
         v = np.random.default_rng(first + count).standard_normal(len(nodes))
         for _ in range(60):
@@ -84,10 +92,10 @@ class Router:
         return np.argsort(-self.logits(x), axis=1, kind="stable")[:, :most]
 
 
-def fit(x: np.ndarray, parts: int = PARTS, k: int = GRAPH_NEIGHBOURS) -> Router:
+def fit(x: np.ndarray, parts: int, k: int = GRAPH_NEIGHBOURS) -> Router:
     """Learns the share of each part among a vector's neighbours and itself."""
     width = x.shape[1]
-    parts = max(1, min(parts, len(x) // 16))
+    parts = max(1, min(parts, len(x) // PART_ROWS))
     if parts == 1:
         return Router(np.zeros((width + 1, 1)), width)
     graph = neighbour_graph(x, k)
@@ -106,77 +114,136 @@ def fit(x: np.ndarray, parts: int = PARTS, k: int = GRAPH_NEIGHBOURS) -> Router:
     return Router(weights, width)
 
 
-def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector) of rows that take part, vectors in double precision."""
-    bad = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    clean = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
-    return clean.filter(~bad & F.exists("vector", lambda v: v != 0))
+def probes_for(router: Router, known: np.ndarray, unseen: np.ndarray, k: int, recall: float) -> int:
+    """The fewest probes that find this share of the k nearest known vectors of the unseen ones."""
+    parts = router.weights.shape[1]
+    if parts == 1 or not len(unseen):
+        return parts
+    home = router.order(known, 1)[:, 0]
+    route = np.argsort(router.order(unseen, parts), axis=1)  # the place of each part on a vector's route
+    sims = unseen @ known.T
+    near = np.argpartition(-sims, min(k, len(known)) - 1, axis=1)[:, :k]
+    places = np.sort(np.take_along_axis(route, home[near], axis=1), axis=None)
+    return int(places[min(len(places), int(np.ceil(recall * len(places)))) - 1]) + 1
 
 
-def search(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", parts: int = PARTS, probes: int = PROBES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(vec_id, vector, h, g) of rows that take part, vectors in double precision; h and g are two
+    hashes that stand for the vector."""
+    bad = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    clean = rows.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
+    # -0.0 and 0.0 are one number
+    plain = clean.filter(~bad & F.exists("vector", lambda v: v != 0)).withColumn("vector", F.transform("vector", lambda v: v + F.lit(0.0)))
+    return plain.withColumns({"h": F.xxhash64("vector"), "g": F.xxhash64(F.lit(1), "vector")})
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _routed(held, most: int, names: list[str]):
+    """The named columns with parts: the most probable ones of a vector, or for a length without an
+    index the part that stands for the length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        router = held.value
+        for batch in batches:
+            vectors = batch.column("vector")
+            lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+            parts = [[-int(n)] for n in lengths]
+            own = np.flatnonzero(lengths == router.width)
+            if len(own):
+                for i, route in zip(own.tolist(), router.order(_matrix(vectors.take(pa.array(own))), most).tolist(), strict=True):
+                    parts[i] = route
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(parts, pa.list_(pa.int32()))], names=[*names, "parts"])
+
+    return run
+
+
+def _best(x: np.ndarray, first: np.ndarray, ids: list[list[int]], q: np.ndarray, keep: int) -> Iterator[list[tuple[float, int]]]:
+    """For each query the `keep` best (-score, id) among a block's vectors."""
+    sims, most = q @ x.T, min(keep, len(x))
+    # All within rounding of the last of the best: ties are for the exact order.
+    slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    floors = np.partition(sims, len(x) - most, axis=1)[:, len(x) - most] - slack
+    for row, s, floor in zip(q, sims, floors, strict=True):
+        near = np.flatnonzero(s >= floor)
+        exact = (x[near] * row).sum(axis=1)
+        # Of equal scores, the entries with the smallest first ids hold the smallest ids.
+        at = np.lexsort((first[near], -exact))[:keep]
+        yield sorted((-score, i) for score, e in zip(exact[at].tolist(), near[at].tolist(), strict=True) for i in ids[e])[:keep]
+
+
+def _compared(keep: int):
+    schema = pa.schema([("lead", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, x = None, [], None
+        first = ids = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(n).to_numpy() for n in ("part", "cb", "query")])
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for low, high in zip(bounds, bounds[1:], strict=False):
+                part = batch.slice(low, high - low)
+                if (here := tuple(keys[low, :2])) != block:
+                    block, held, x = here, [], None
+                if not keys[low, 2]:
+                    held.append((_matrix(part.column("vector")), part.column("ids").to_pylist()))
+                    continue
+                if x is None:
+                    x = np.concatenate([v for v, _ in held])
+                    ids = [i for _, own in held for i in own]
+                    first, held = np.array([i[0] for i in ids]), []
+                for at in range(0, part.num_rows, QUERY_BLOCK):
+                    some = part.slice(at, QUERY_BLOCK)
+                    leads, out = some.column("lead").to_pylist(), []
+                    for lead, best in zip(leads, _best(x, first, ids, _matrix(some.column("vector")), keep), strict=True):
+                        out += [(lead, i, -score) for score, i in best]
+                    columns = list(zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return run
+
+
+def search(rows: DataFrame, is_query: Callable[[Column], Column], k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", parts: int | None = None, probes: int | None = None, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that is_query (a function of the id column)
-    marks, its k nearest other rows by inner product."""
-    vectors = usable(rows, id_col, vector_col)
-    first = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
-    if first.empty:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lengths = first["vector"].map(len)
-    width = int(lengths.mode().iloc[0])
-    router = fit(np.stack(first["vector"][lengths == width].to_list()), parts)
-    count = router.weights.shape[1]
-    held = rows.sparkSession.sparkContext.broadcast(router)
-    distinct = vectors.filter(F.size("vector") == width).distinct()
-    nth = F.row_number().over(W.partitionBy("vector").orderBy("vec_id"))
-    entries = distinct.withColumn("nth", nth).filter(F.col("nth") <= k + 1).groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-
-    def route(most: int):
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                if len(frame):
-                    frame["parts"] = list(held.value.order(np.stack(frame["vector"].to_list()), most).astype(np.int32))
-                    yield frame
-
-        return run
-
-    indexed = scratch(entries.mapInPandas(route(1), "vector array<double>, ids array<long>, parts array<int>").select("vector", "ids", F.col("parts")[0].alias("part")), "ann-index")
-    asked = distinct.filter(is_query(F.col("vec_id"))).select("vec_id", "vector")
-    asking = asked.groupBy("vector").agg(F.min("vec_id").alias("lead"))
-    routed = scratch(asking.mapInPandas(route(min(probes, count)), "vector array<double>, lead long, parts array<int>").select("lead", "vector", F.explode("parts").alias("part")), "ann-queries")
-    sizes = {r["part"]: (r["c"], r["q"]) for r in indexed.groupBy("part").agg(F.count(F.lit(1)).alias("c")).join(routed.groupBy("part").agg(F.count(F.lit(1)).alias("q")), "part").collect()}
-    blocks = {p: (-(-c // CANDIDATE_BLOCK), -(-q // QUERY_BLOCK)) for p, (c, q) in sizes.items()}
-    if not blocks:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    table = rows.sparkSession.createDataFrame([(p, c, q) for p, (c, q) in blocks.items()], "part int, c_blocks int, q_blocks int")  # a row per part
-    lanes = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = indexed.join(F.broadcast(table), "part").select("vector", "ids", "part", F.pmod(F.xxhash64("vector"), F.col("c_blocks")).cast("int").alias("cb"), lanes("q_blocks").alias("qb"))
-    right = routed.join(F.broadcast(table), "part").select("vector", "lead", "part", F.pmod(F.xxhash64("vector"), F.col("q_blocks")).cast("int").alias("qb"), lanes("c_blocks").alias("cb"))
-
-    def compare(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out_lead, out_id, out_score = [], [], []
-        if len(candidates) and len(queries):
-            x, ids = np.stack(candidates["vector"].to_list()), candidates["ids"].to_list()
-            norms = np.linalg.norm(x, axis=1).max()
-            for low in range(0, len(queries), 256):
-                part = queries.iloc[low : low + 256]
-                q = np.stack(part["vector"].to_list())
-                sims = q @ x.T
-                keep = min(k + 1, len(x))
-                # All entries within rounding of the last of the k + 1 best: ties are for the exact order.
-                slack = 1e-12 * np.linalg.norm(q, axis=1) * norms
-                floors = np.partition(sims, len(x) - keep, axis=1)[:, len(x) - keep] - slack
-                for lead, row, near in zip(part["lead"], q, (np.flatnonzero(s >= f) for s, f in zip(sims, floors, strict=True)), strict=True):
-                    exact = (x[near] * row).sum(axis=1)
-                    pairs = sorted((-s, i) for s, at in zip(exact.tolist(), near.tolist(), strict=True) for i in ids[at])[: k + 1]
-                    out_lead += [lead] * len(pairs)
-                    out_id += [i for _, i in pairs]
-                    out_score += [-s for s, _ in pairs]
-        return pd.DataFrame({"lead": np.array(out_lead, np.int64), "vec_id": np.array(out_id, np.int64), "score": np.array(out_score, float)})
-
-    keys = ["part", "cb", "qb"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "lead long, vec_id long, score double")
+    marks, its k nearest other rows by inner product. parts and probes follow the table and the
+    wanted recall unless they are given."""
+    spark = rows.sparkSession
+    vectors = scratch(usable(rows, id_col, vector_col), "ann-vectors")
+    ids = vectors.select("h", "g", "vec_id").distinct()
+    nth = F.row_number().over(W.partitionBy("h", "g").orderBy("vec_id"))
+    least = ids.withColumn("nth", nth).filter(F.col("nth") <= k + 1).groupBy("h", "g").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    entries = scratch(vectors.groupBy("h", "g").agg(F.first("vector").alias("vector")).join(least, ["h", "g"]), "ann-entries")
+    count = entries.count()
+    sample = entries.orderBy("h", "g").limit(sample_rows).select("vector").toArrow().column("vector").to_pylist()
+    widths = np.array([len(v) for v in sample] or [1])
+    width = int(np.bincount(widths).argmax())
+    x = np.array([v for v in sample if len(v) == width], float).reshape(-1, width)
+    known, unseen = x[len(x) // MEASURED :], x[: len(x) // MEASURED]
+    router = fit(known, parts or max(1, int(count**0.5))) if len(x) else Router(np.zeros((width + 1, 1)), width)
+    probes = min(probes or probes_for(router, known, unseen, k, recall), router.weights.shape[1])
+    held = spark.sparkContext.broadcast(router)
+
+    names = ["h", "g", "vector", "ids"]
+    ddl = "h long, g long, vector array<double>, ids array<long>, parts array<int>"
+    indexed = scratch(entries.select(*names).mapInArrow(_routed(held, 1, names), ddl).withColumn("part", F.col("parts")[0]).drop("parts"), "ann-index")
+    asked = scratch(ids.filter(is_query(F.col("vec_id"))), "ann-asked")
+    leads = scratch(asked.groupBy("h", "g").agg(F.min("vec_id").alias("lead")), "ann-leads")
+    asking = entries.join(small_side(leads), ["h", "g"]).select("lead", "vector")
+    routed = asking.mapInArrow(_routed(held, probes, ["lead", "vector"]), "lead long, vector array<double>, parts array<int>").select("lead", "vector", F.explode("parts").alias("part"))
+    sizes = scratch(indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK).cast("int").alias("blocks")), "ann-sizes")
+    left = indexed.join(small_side(sizes), "part").select("part", F.pmod(F.col("h"), F.col("blocks")).cast("int").alias("cb"), F.lit(0).alias("query"), "vector", "ids", F.lit(None).cast("long").alias("lead"))
+    right = routed.join(small_side(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("cb"), F.lit(1).alias("query"), "vector", F.lit(None).cast("array<long>").alias("ids"), "lead")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // CANDIDATE_BLOCK))
+    met = left.unionByName(right).repartition(tasks, "part", "cb").sortWithinPartitions("part", "cb", "query").mapInArrow(_compared(k + 1), "lead long, vec_id long, score double")
+
     order = [F.desc("score"), F.asc("vec_id")]
     best = met.withColumn("nth", F.row_number().over(W.partitionBy("lead").orderBy(*order))).filter(F.col("nth") <= k + 1)
-    leads = asked.join(asking.withColumnRenamed("vector", "v"), F.col("vector") == F.col("v")).select(F.col("vec_id").alias("query_id"), "lead")
-    answers = leads.join(best.select("lead", "vec_id", "score"), "lead").filter("query_id <> vec_id")
+    queries = asked.join(leads, ["h", "g"]).select(F.col("vec_id").alias("query_id"), "lead")
+    answers = queries.join(best.select("lead", "vec_id", "score"), "lead").filter("query_id <> vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order)))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
