@@ -3,6 +3,8 @@ and a fixed-size membership filter that keeps clean rows out of shuffles."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,7 +17,7 @@ from helixframe.storage import scratch
 
 #: Bits of a membership filter for each key, and its bounds: 32 MB when broadcast, at any size of the
 #: input. A fuller filter lets more rows through to the exact join behind it: time, never results.
-KEY_BITS, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 28
+KEY_BITS, LEAST_BITS, MOST_BITS = 32, 1 << 20, 1 << 28
 _BUCKET_BITS = 8 * 4096  # what bitmap_construct_agg holds in one value
 
 
@@ -69,9 +71,14 @@ _resident: dict = {}
 
 def resident(key, build):
     """What `build` makes, kept for the tasks of this Python worker until another key is asked for:
-    a worker that serves several operators holds the tables of one of them."""
+    a worker that serves several operators holds the tables of one of them, and gives the memory of
+    the others back to the system."""
     if key not in _resident:
         _resident.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+            trim(0)
         _resident[key] = build()
     return _resident[key]
 

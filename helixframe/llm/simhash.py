@@ -174,7 +174,7 @@ def _repeated(width: int):
     schema = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resident("simhash", tuple)
+        resident("simhash-order", tuple)
         held: list[np.ndarray] = []
         size = 0
 
@@ -273,7 +273,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         alone = scratch(keep_rows_not_in(signs, F.col("node"), same.select("b"), "b"), "near-alone")
 
     each = alone.select("node", "n", F.explode("marks").alias("mark"))
-    leads = scratch(each.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("mark", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")), "near-leads")
+    leads = scratch(each.groupBy("mark").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last").select("mark", "lead"), "near-leads")
     maybe = maybe_in(each, F.col("mark"), membership_filter(leads, F.col("mark"))).filter("_maybe").drop("_maybe")
     shared = scratch(maybe.join(small_side(leads), "mark"), "near-shared")
 
@@ -281,7 +281,6 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     firsts = scratch(prints.groupBy("fp").agg(F.min("node").alias("first")), "near-classes")
     alike = prints.join(firsts, "fp").filter("node <> first").select(*pair("node", "first"))
     close = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(*pair("x", "y"))
-    fits = F.expr(f"least(n, lead_n) >= {similarity} * greatest(n, lead_n) - 1e-9")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among pairs: first by sketches, then by the whole texts of what these allow."""
@@ -295,7 +294,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a long, b long"), "near-links")
 
     # First each bucket's rows with its first one: large groups become one component.
-    starts = shared.filter(fits).select(*pair("node", "lead")).unionByName(alike).unionByName(close)
+    starts = shared.select(*pair("node", "lead")).unionByName(alike).unionByName(close)
     tried = scratch(starts.filter("a <> b").distinct(), "near-pairs")
     edges = verified(tried)
     roots = scratch(connected_components(edges), "near-roots")
