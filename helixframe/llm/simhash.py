@@ -52,6 +52,8 @@ WIDTH, SIMILARITY = 5, 0.8
 #: Most frequent shingles that the common order puts last (a broadcast of 16 bytes each), and the
 #: shingles in which a task looks for repeated ones at once. Both cost time only, never links.
 FREQUENT, _LOOK = 1 << 18, 1 << 21
+#: Turns in which the rows of a bucket are held against one of them, before all of different components are.
+STARS = 2
 _COUNTS = 0x55555555  # the low bit of each two-bit segment of a half
 
 
@@ -162,9 +164,9 @@ def marks(own: np.ndarray, order: Order, similarity: float = SIMILARITY) -> np.n
 
 
 def parity_sketch(own: np.ndarray) -> np.ndarray:
-    """A bit for each shingle or up to two, a power of two of words: the parity of the shingles that
+    """Two to four bits for each shingle, a power of two of words: each the parity of the shingles that
     fall on it. The halves of a sketch, by exclusive or, are the sketch of half the size."""
-    words = 1 << max(0, ceil(len(own) / 64) - 1).bit_length()
+    words = 1 << max(0, ceil(len(own) / 32) - 1).bit_length()
     sums = np.bincount((own % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(sums.astype(np.uint8), bitorder="little").view("<i8")
 
@@ -275,11 +277,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     each = alone.select("node", "n", F.explode("marks").alias("mark"))
     leads = scratch(each.groupBy("mark").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last").select("mark", "lead"), "near-leads")
     maybe = maybe_in(each, F.col("mark"), membership_filter(leads, F.col("mark"))).filter("_maybe").drop("_maybe")
-    shared = scratch(maybe.join(small_side(leads), "mark"), "near-shared")
+    met = scratch(maybe.join(small_side(leads), "mark"), "near-met")
+    # Many marks have the same rows, as those of one passage: one of them stands for all.
+    alike = [F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))), F.min("node"), F.max("node"), F.count(F.lit(1))]
+    sets = met.groupBy("mark").agg(*[x.alias(f"set{i}") for i, x in enumerate(alike)]).groupBy(*[f"set{i}" for i in range(len(alike))]).agg(F.min("mark").alias("mark")).select("mark")
+    shared = scratch(met.join(small_side(scratch(sets, "near-sets")), "mark", "left_semi"), "near-shared")
 
     prints = alone.select("node", "fp")
     firsts = scratch(prints.groupBy("fp").agg(F.min("node").alias("first")), "near-classes")
-    alike = prints.join(firsts, "fp").filter("node <> first").select(*pair("node", "first"))
+    twins = prints.join(firsts, "fp").filter("node <> first").select(*pair("node", "first"))
     close = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(*pair("x", "y"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -294,19 +300,35 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a long, b long"), "near-links")
 
     # First each bucket's rows with its first one: large groups become one component.
-    starts = shared.select(*pair("node", "lead")).unionByName(alike).unionByName(close)
-    tried = scratch(starts.filter("a <> b").distinct(), "near-pairs")
+    tried = scratch(shared.select(*pair("node", "lead")).unionByName(twins).unionByName(close).filter("a <> b").distinct(), "near-pairs")
     edges = verified(tried)
-    roots = scratch(connected_components(edges), "near-roots")
-    # Then those of a bucket, alike in size, whose rows are still of different components.
+
+    def apart() -> DataFrame:
+        """The rows of buckets that hold rows of different components, with these."""
+        placed = shared.join(connected_components(edges), "node", "left").select("mark", "node", "n", F.coalesce("root", "node").alias("root"))
+        mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("mark")
+        return scratch(placed.join(mixed, "mark", "left_semi"), "near-open")
+
+    # Then with others in turn, the same for all buckets that hold them.
+    for turn in range(STARS):
+        open_ = apart()
+        leads = open_.groupBy("mark").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "root")).alias("lead"))
+        pairs = open_.join(leads, "mark").filter(F.col("root") != F.col("lead.root")).select(*pair(F.col("node"), F.col("lead.node"))).distinct()
+        new = scratch(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        tried, edges = tried.unionByName(new), edges.unionByName(verified(new))
+
+    # Last all of a bucket, alike in size and sketch, whose rows are still of different components.
     level = F.floor(F.log(F.greatest("n", F.lit(1))) / -log(similarity) + 1e-9).cast("int")
-    placed = shared.join(roots, "node", "left").select("mark", "node", "n", level.alias("level"), F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("mark")
-    open_ = scratch(placed.join(mixed, "mark", "left_semi"), "near-open")
-    left = open_.select("mark", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("level").alias("own"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("rx"))
-    right = open_.select("mark", "level", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("ry"))
-    met = left.join(right, ["mark", "level"]).filter((F.col("rx") != F.col("ry")) & ((F.col("own") < F.col("level")) | (F.col("x") < F.col("y"))) & F.expr(f"least(n_x, n_y) >= {similarity} * greatest(n_x, n_y) - 1e-9"))
-    rest = met.select(*pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
+    last = apart()
+    of_row = last.groupBy("node").agg(F.collect_set("mark").alias("marks")).join(signs.select("node", "sketch"), "node")
+    open_ = scratch(last.join(of_row, "node").withColumn("level", level), "near-open")
+    columns = lambda x: [F.col("node").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in ("n", "root", "sketch", "marks"))]
+    left = open_.select("mark", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("level").alias("own"), *columns("a"))
+    right = open_.select("mark", "level", *columns("b"))
+    once = (F.col("own") < right["level"]) | (F.col("a") < F.col("b"))
+    here = F.array_min(F.array_intersect("marks_a", "marks_b")) == left["mark"]  # a pair is told in one bucket only
+    other = (left["mark"] == right["mark"]) & (left["level"] == right["level"]) & (F.col("root_a") != F.col("root_b")) & once & _sketches_allow(similarity) & here
+    rest = left.join(right, other).select(*pair("a", "b")).join(tried, ["a", "b"], "left_anti")
     more = verified(scratch(rest, "near-rest"))
     ends = connected_components(edges.unionByName(more).unionByName(same))
     named = scratch(ends.join(signs.select("node", "key"), "node"), "near-named")
