@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from helixframe import session, sinks
 from helixframe.functions.text import letters
 from helixframe.operators import composition, hits, workqueue
-from helixframe.sources import tables, text
+from helixframe.sources import remote, tables, text
+from helixframe.storage import scratch
 
 
 class Results:
@@ -91,7 +92,7 @@ def remove_done(spark: SparkSession, chunks: str, done: str, out: str | None) ->
     files, completed = text.chunk_directory(spark, chunks), text.completed(spark, done)
     if out:
         kept = workqueue.remove_completed(files, completed)
-        kept.select(F.regexp_replace("file", r"\.txt$", "").alias("chunk"), F.col("accession").alias("value")).repartition("chunk").write.partitionBy("chunk").text(out)
+        sinks.write_files(kept.select("file", "pos", F.col("accession").alias("value")), out, "pos")
     return workqueue.removal_report(files, completed).orderBy("file")
 
 
@@ -103,6 +104,27 @@ def rechunk(spark: SparkSession, chunks: str, size: int, out: str) -> DataFrame:
     return assigned.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).orderBy("chunk")
 
 
+def fetch_accessions(spark: SparkSession, url: str, limit: str, out: str) -> DataFrame:
+    """The accessions of a report service, page after page, as one file in the order of the pages."""
+
+    class Pages(remote.ReportPages):
+        fetch = staticmethod(remote.page_fetch(url))
+
+    spark.dataSource.register(Pages)
+    found = spark.read.format(Pages.name()).option("limit", limit).load()
+    sinks.write_files(found.select(F.lit("accessions.txt").alias("file"), "page", "pos", F.col("accession").alias("value")), out, "page", "pos")
+    return text.accessions(spark, f"{out}/accessions.txt").agg(F.count(F.lit(1)).alias("n"))
+
+
+def download(spark: SparkSession, source: str, url: str, out: str, kind: str = "package", with_key: bool = False) -> DataFrame:
+    """Fetches what a list of accessions lacks in a folder: a file each, and the report of all calls."""
+    suffix, decode = {"package": (".faa", remote.package_entry), "fasta": (".faa", remote.plain_text), "structure": (".pdb", remote.plain_text)}[kind]
+    wanted, there = text.accessions(spark, source), text.available_accessions(spark, out, suffix)
+    got = scratch(remote.download(wanted, there, remote.http_fetch(url), with_key, decode=decode), "downloads")
+    sinks.write_files(got.filter("content IS NOT NULL").select(F.concat("accession", F.lit(suffix)).alias("file"), F.col("content").alias("value")), out)
+    return got.select("accession", F.col("content").isNotNull().alias("written"), "error").orderBy("accession")
+
+
 def validate(results: Results) -> dict[str, DataFrame]:
     seqs = results.structures()
     return {"pairs": composition.validate_pairs(results.residues(), seqs), "dominant": composition.dominant_letter(seqs), "bad": composition.bad_letters(seqs)}
@@ -141,6 +163,16 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("chunks")
     p.add_argument("done")
     p.add_argument("--output-dir", help="left out: a dry run")
+    p = sub.add_parser("fetch-accessions")
+    p.add_argument("url")
+    p.add_argument("--limit", default="all")
+    p.add_argument("--output-dir", required=True)
+    p = sub.add_parser("download")
+    p.add_argument("file")
+    p.add_argument("url", help="with {} where an accession goes")
+    p.add_argument("--kind", choices=("package", "fasta", "structure"), default="package")
+    p.add_argument("--with-key", action="store_true")
+    p.add_argument("--output-dir", required=True)
     p = sub.add_parser("rechunk")
     p.add_argument("chunks")
     p.add_argument("--chunk-size", type=int, default=20)
@@ -171,6 +203,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         shown = split(spark, a.file, a.n, a.output_dir)
     elif a.command == "chunk-remaining":
         shown = chunk_remaining(spark, a.genomes_dir, a.results_dir, a.chunk_size, a.output_dir)
+    elif a.command == "fetch-accessions":
+        shown = fetch_accessions(spark, a.url, a.limit, a.output_dir)
+    elif a.command == "download":
+        shown = download(spark, a.file, a.url, a.output_dir, a.kind, a.with_key)
     elif a.command == "remove-done":
         shown = remove_done(spark, a.chunks, a.done, a.output_dir)
     else:

@@ -57,7 +57,40 @@ def global_alignment(a: str, b: str, match: int = MATCH, mismatch: int = MISMATC
     return "".join(reversed(left)), "".join(reversed(right))
 
 
-def local_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1) -> dict | None:
+def letter_scores(letter: int, y: np.ndarray, match: int, mismatch: int, table: dict[str, dict[str, int]] | None) -> np.ndarray:
+    """Scores of a letter against others: by a substitution table where it has both, else by match."""
+    plain = np.where(y == letter, match, mismatch)
+    for other, score in (table or {}).get(chr(letter), {}).items():
+        plain[y == ord(other)] = score
+    return plain
+
+
+def local_scores(a: str, others: list[str], match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1, table: dict[str, dict[str, int]] | None = None) -> np.ndarray:
+    """Scores of the best local alignments of one sequence with many, all at once in two rows of
+    memory each. Shorter ones are filled up with a letter that only costs."""
+    widest = max(map(len, others), default=0)
+    if not a or not widest:
+        return np.zeros(len(others), np.int64)
+    y = np.zeros((len(others), widest), np.uint32)
+    for row, b in zip(y, others, strict=True):
+        row[: len(b)] = codes(b)
+    known: dict[int, np.ndarray] = {}
+    low, shift = -(1 << 28), np.arange(widest + 1, dtype=np.int32) * gap_extend
+    h, e = np.zeros((len(others), widest + 1), np.int32), np.full((len(others), widest), low, np.int32)
+    core, best = np.zeros_like(h), np.zeros(len(others), np.int32)
+    for c in codes(a).tolist():
+        if c not in known:
+            known[c] = np.where(y == 0, low, letter_scores(c, y, match, mismatch, table)).astype(np.int32)
+        np.maximum(h[:, 1:] - gap_open, e - gap_extend, out=e)
+        np.maximum(h[:, :-1] + known[c], e, out=core[:, 1:])
+        np.maximum(core[:, 1:], 0, out=core[:, 1:])
+        np.maximum(best, core.max(axis=1), out=best)  # a gap along the row never makes the best
+        run = np.maximum.accumulate(core + shift, axis=1)
+        h[:, 1:] = np.maximum(core[:, 1:], run[:, :-1] - shift[1:] - (gap_open - gap_extend))
+    return best.astype(np.int64)
+
+
+def local_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1, table: dict[str, dict[str, int]] | None = None) -> dict | None:
     """Best local alignment with affine gaps: score, identities, spans (from 1), gaps opened.
 
     A row needs the gap along itself; it is a running maximum over scores shifted by the extension
@@ -74,7 +107,7 @@ def local_alignment(a: str, b: str, match: int = 2, mismatch: int = -1, gap_open
     for i, c in enumerate(x, 1):
         opened, longer = h - gap_open, e - gap_extend
         e = np.maximum(opened, longer)
-        pair = h[:-1] + np.where(y == c, match, mismatch)
+        pair = h[:-1] + letter_scores(int(c), y, match, mismatch, table)
         core = np.concatenate(([0], np.maximum(np.maximum(pair, e[1:]), 0)))
         run = np.maximum.accumulate(core + shift)
         f = np.concatenate(([low], run[:-1] - gap_open - shift[1:] + gap_extend))

@@ -8,13 +8,6 @@ from __future__ import annotations
 import numpy as np
 
 
-def square(condensed: dict[tuple[int, int], float], n: int) -> np.ndarray:
-    d = np.zeros((n, n))
-    for (i, j), x in condensed.items():
-        d[i, j] = d[j, i] = x
-    return d
-
-
 def linkage(distances: np.ndarray, method: str = "average") -> np.ndarray:
     """Merges for 'average', 'weighted' or 'ward' (on plain distances), by Lance and Williams."""
     d = np.array(distances, float)
@@ -84,6 +77,6 @@ def splits(merges: np.ndarray, n: int) -> set[tuple[int, ...]]:
     return {tuple(sorted(s)) for s in sides if 1 < len(s) < n - 1}
 
 
-def last_merges(merges: np.ndarray, p: int) -> list[tuple[int, int, float, int]]:
+def last_merges(merges: np.ndarray, p: int = 30) -> list[tuple[int, int, float, int]]:
     """What a dendrogram cut to its last p merges shows."""
     return [(int(a), int(b), float(d), int(s)) for a, b, d, s in merges[-p:]]

@@ -55,9 +55,15 @@ def global_composition(seqs: DataFrame) -> DataFrame:
     return rows.withColumn("pct", F.when(F.sum("n").over(W.partitionBy()) > 0, F.lit(100.0) * F.col("n") / F.sum("n").over(W.partitionBy())))
 
 
+def _own_letters() -> Column:
+    """(ch, n) of the different letters of a sequence: a row of the corpus gives some dozen, not one
+    for each of its letters."""
+    return F.transform(F.array_distinct(letters(F.col("seq"))), lambda ch: F.struct(ch.alias("ch"), (F.length("seq") - F.length(F.replace(F.col("seq"), ch, F.lit("")))).cast("long").alias("n")))
+
+
 def letter_usage(seqs: DataFrame) -> DataFrame:
     """(ch, n, pct) of all letters that occur."""
-    rows = seqs.select(F.explode(letters(F.col("seq"))).alias("ch")).groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
+    rows = seqs.select(F.explode(_own_letters()).alias("c")).groupBy(F.col("c.ch").alias("ch")).agg(F.sum("c.n").alias("n"))
     return rows.withColumn("pct", F.lit(100.0) * F.col("n") / F.sum("n").over(W.partitionBy()))
 
 
@@ -66,23 +72,20 @@ def composition_matrix(seqs: DataFrame) -> DataFrame:
     return seqs.select("seq_id", *[(_of_letter(c) / F.nullif(F.length("seq"), F.lit(0))).alias(f"f_{c}") for c in ALPHABET])
 
 
-def _plogp(p: Column) -> Column:
-    return F.when(p > 0, p * F.log2(p)).otherwise(0.0)
-
-
 def entropy(seqs: DataFrame) -> DataFrame:
-    """(seq_id, entropy): letters outside the alphabet count in the total, not in the sum."""
+    """(seq_id, entropy): letters outside the alphabet count in the total, not in the sum. Each letter
+    is counted once; the counts are folded."""
     n = F.nullif(F.length("seq"), F.lit(0))
-    total = sum((_plogp(_of_letter(c) / n) for c in ALPHABET[1:]), _plogp(_of_letter(ALPHABET[0]) / n))
-    return seqs.select("seq_id", F.when(n.isNotNull(), F.abs(total)).alias("entropy"))
+    parts = F.transform(F.array(*[_of_letter(c) for c in ALPHABET]), lambda k: F.when(k > 0, k / n * F.log2(k / n)).otherwise(0.0))
+    return seqs.select("seq_id", F.when(n.isNotNull(), F.abs(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x))).alias("entropy"))
 
 
 def entropy_all_letters(seqs: DataFrame) -> DataFrame:
-    """(seq_id, entropy) over all letters; an empty sequence has 0."""
-    counts = seqs.select("seq_id", F.explode(letters(F.col("seq"))).alias("ch")).groupBy("seq_id", "ch").agg(F.count(F.lit(1)).alias("n"))
-    n = F.sum("n")
-    sums = counts.groupBy("seq_id").agg(F.abs(F.log2(n) - F.sum(F.col("n") * F.log2("n")) / n).alias("entropy"))
-    return seqs.select("seq_id").distinct().join(sums, "seq_id", "left").select("seq_id", F.coalesce("entropy", F.lit(0.0)).alias("entropy"))
+    """(seq_id, entropy) over all letters of each row; an empty sequence has 0."""
+    n = F.length("seq")
+    parts = F.transform(_own_letters(), lambda c: c["n"] * F.log2(c["n"]))
+    total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
+    return seqs.select("seq_id", F.when(n > 0, F.abs(F.log2(F.nullif(n, F.lit(0))) - total / n)).otherwise(0.0).alias("entropy"))
 
 
 def entropy_summary(entropies: DataFrame) -> DataFrame:

@@ -18,11 +18,6 @@ def nw_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([align.global_score(x, y) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-@F.pandas_udf(T.DoubleType())
-def nw_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([align.distance(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 @F.pandas_udf(T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())]))
 def nw_alignment(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([align.global_alignment(x, y) for x, y in zip(a, b, strict=True)], columns=["a", "b"])
@@ -44,32 +39,46 @@ LAMBDA, KAPPA = 0.625, 0.41
 _HIT = "query string, target string, fident double, alnlen int, mismatch int, gapopen int, qstart int, qend int, tstart int, tend int, evalue double, bits double"
 
 
-def search_all(seqs: DataFrame, k: int = 4, shared: int = 2, evalue: float = 10.0, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1, parts: int = 256) -> DataFrame:
+def search_all(seqs: DataFrame, k: int = 4, shared: int = 2, evalue: float = 10.0, match: int = 2, mismatch: int = -1, gap_open: int = 10, gap_extend: int = 1, table: dict[str, dict[str, int]] | None = None, parts: int = 64, cells: int = 1 << 20) -> DataFrame:
     """Hits of all sequences against all, in the twelve columns of a hit table.
 
-    Pairs that share at least `shared` different k-mers are aligned locally with affine gaps; the
-    e-value follows Karlin and Altschul over the whole database. Letters score by match and
-    mismatch, as no substitution table is given; results are not those of another search tool.
-    Pairs are dealt to a stated number of parts: they are few bytes and much work, and would be
-    joined into few tasks by their size."""
+    Pairs that share at least `shared` different k-mers are scored locally with affine gaps, a query
+    against many targets at once in two rows of memory; those whose e-value (Karlin and Altschul, over
+    the whole database) passes are aligned in full. Letters score by a substitution table if one is
+    given, else by match and mismatch; results are not those of another search tool. Queries are dealt
+    to a stated number of parts: they are few bytes and much work, and would be joined into few tasks
+    by their size."""
     grams = counts(seqs, k).select("seq_id", "kmer")
     pairs = grams.withColumnRenamed("seq_id", "query").join(grams.withColumnRenamed("seq_id", "target"), "kmer").groupBy("query", "target").agg(F.count(F.lit(1)).alias("common")).filter(F.col("common") >= shared).select("query", "target")
     size = seqs.agg(F.sum(F.length("seq")).cast("double").alias("letters"))
     q = seqs.select(F.col("seq_id").alias("query"), F.col("seq").alias("seq_q"))
     t = seqs.select(F.col("seq_id").alias("target"), F.col("seq").alias("seq_t"))
-    ready = pairs.join(q, "query").join(t, "target").join(F.broadcast(size)).repartition(parts, "query", "target")
+    # Targets of a query lie together by length, so that little is filled up.
+    ready = pairs.join(q, "query").join(t, "target").join(F.broadcast(size)).repartition(parts, "query").sortWithinPartitions("query", F.length("seq_t"), "target")
+    rule = (match, mismatch, gap_open, gap_extend, table)
+
+    def batches(rows):
+        held, widest = [], 0
+        for row in rows:
+            if held and (row.query != held[0].query or (len(held) + 1) * max(widest, len(row.seq_t)) > cells):
+                yield held
+                held, widest = [], 0
+            held.append(row)
+            widest = max(widest, len(row.seq_t))
+        if held:
+            yield held
 
     def run(frames):
         for frame in frames:
             rows = []
-            for query, target, a, b, total in frame[["query", "target", "seq_q", "seq_t", "letters"]].itertuples(index=False):
-                hit = align.local_alignment(a, b, match, mismatch, gap_open, gap_extend)
-                if hit is None:
-                    continue
-                bits = (LAMBDA * hit["score"] - log(KAPPA)) / log(2)
-                chance = len(a) * total * 2.0**-bits
-                if chance <= evalue:
-                    rows.append((query, target, hit["identities"] / hit["alnlen"], hit["alnlen"], hit["mismatch"], hit["gapopen"], hit["qstart"], hit["qend"], hit["tstart"], hit["tend"], chance, bits))
+            for held in batches(frame.itertuples(index=False)):
+                a = held[0].seq_q
+                for row, score in zip(held, align.local_scores(a, [r.seq_t for r in held], *rule).tolist(), strict=True):
+                    bits = (LAMBDA * score - log(KAPPA)) / log(2)
+                    chance = len(a) * row.letters * 2.0**-bits
+                    if score and chance <= evalue:
+                        hit = align.local_alignment(a, row.seq_t, *rule)
+                        rows.append((row.query, row.target, hit["identities"] / hit["alnlen"], hit["alnlen"], hit["mismatch"], hit["gapopen"], hit["qstart"], hit["qend"], hit["tstart"], hit["tend"], chance, bits))
             yield pd.DataFrame(rows, columns=["query", "target", "fident", "alnlen", "mismatch", "gapopen", "qstart", "qend", "tstart", "tend", "evalue", "bits"])
 
     return ready.mapInPandas(run, _HIT)

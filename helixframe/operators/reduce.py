@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.kernels import linkage
+from helixframe.schemas import LAST_MERGES
 
 
 def _eigen(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,12 +40,24 @@ def scree(shares: DataFrame) -> DataFrame:
     return shares.withColumn("cumulative", F.sum("share").over(W.orderBy("pc").rowsBetween(W.unboundedPreceding, 0)))
 
 
-def ward_clusters(scores: pd.DataFrame, clusters: int = 8) -> pd.DataFrame:
-    """(seq_id, cluster) of the component scores."""
+def _merges(scores: pd.DataFrame, method: str) -> np.ndarray:
     x = scores.drop(columns="seq_id").to_numpy(float)
     squares = (x**2).sum(axis=1)
-    d = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0))
-    return pd.DataFrame({"seq_id": scores["seq_id"], "cluster": linkage.cut(linkage.linkage(d, "ward"), len(x), clusters)})
+    return linkage.linkage(np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0)), method)
+
+
+def ward_clusters(scores: pd.DataFrame, clusters: int = 8, method: str = "ward") -> pd.DataFrame:
+    """(seq_id, cluster) of the component scores, by Ward's or by average linkage."""
+    return pd.DataFrame({"seq_id": scores["seq_id"], "cluster": linkage.cut(_merges(scores, method), len(scores), clusters)})
+
+
+def last_merges(scores: pd.DataFrame, method: str = "ward", most: int = LAST_MERGES) -> pd.DataFrame:
+    """(step, left, right, distance, size): the last merges of a clustering of the component scores,
+    as a cut dendrogram shows them."""
+    rows = linkage.last_merges(_merges(scores, method), most)
+    out = pd.DataFrame(rows, columns=["left", "right", "distance", "size"])
+    out.insert(0, "step", range(max(0, len(scores) - 1 - len(rows)), max(0, len(scores) - 1)))
+    return out
 
 
 def cluster_summary(members: DataFrame, seqs: DataFrame, entropies: DataFrame) -> DataFrame:

@@ -10,15 +10,17 @@ from helixframe.functions.text import percent_bucket
 from helixframe.storage import scratch
 
 
-def numbered(rows: DataFrame, *order: str, blocks: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, *order: str, block_rows: int = 200_000) -> DataFrame:
     """rows with nth, counted from 0 in an order. Ranges of the keys are numbered on their own and
-    shifted by the counts before them, so no single task sorts everything. The ranges are written
-    out: their bounds come from a sample, and both passes must see the same ones."""
+    shifted by the counts before them, so no single task sorts everything; there are as many as the
+    counted rows ask for. The ranges are written out at once: their bounds come from a sample, and
+    both passes must see the same ones."""
+    blocks = max(1, -(-rows.count() // block_rows))
     ranged = scratch(rows.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     first = counts.select("_block", F.coalesce(F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
     inside = F.row_number().over(W.partitionBy("_block").orderBy(*order)) - 1
-    # first has a row per block, `blocks` at most
+    # first has a row per block, some hundred bytes for each `block_rows` rows
     return ranged.withColumn("_inside", inside).join(F.broadcast(first), "_block").withColumn("nth", F.col("_first") + F.col("_inside")).drop("_block", "_first", "_inside")
 
 

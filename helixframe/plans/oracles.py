@@ -93,7 +93,7 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "seq_lookup": f"WITH {_SEQS}, {_STRUCTURES} SELECT s.seq_id, md5(s.seq) AS structure, md5(coalesce(a.seq, '(not found in combined AA FASTA)')) AS aa, length(a.seq) AS aa_len, length(s.seq) AS structure_len FROM structures s LEFT JOIN seqs a USING (seq_id) WHERE s.seq_id = 'S0'",
         "seq_fuzzy_lookup": f"WITH {_SEQS} SELECT pos, seq_id FROM seqs WHERE contains(seq_id, '7') ORDER BY pos, seq_id LIMIT 10",
         "seq_sample": f"WITH {_SEQS}, {_SAMPLE.format(n=200)} SELECT seq_id, pos, length(seq) AS len FROM sampled",
-        "aa_normalise": "SELECT doc_id, md5(regexp_replace(upper(replace(coalesce(text, ''), 'ß', '')), '[UZOB]', 'X', 'g')) AS normalised FROM documents",
+        "aa_normalise": "SELECT doc_id, md5(regexp_replace(upper(replace(coalesce(text, ''), 'ß', 'SS')), '[UZOB]', 'X', 'g')) AS normalised FROM documents",
         "aa_prompt": f"WITH {_SEQS} SELECT seq_id, md5('<AA2fold> ' || array_to_string(string_split(seq, ''), ' ')) AS prompt, md5(lower(replace(seq, ' ', ''))) AS decoded, CASE WHEN seq <> '' THEN '<AA2fold>' ELSE '<fold2AA>' END AS tag, substr(seq_id, 1, 15) AS label FROM seqs",
         "uniprot_extract": "SELECT * FROM (VALUES ('sp|P12345|NAME', 'P12345'), ('tr|A0A024R161|X', 'A0A024R161'), ('AF-P12345-F1', 'P12345'), ('P12345', 'P12345'), ('WP_004995605.1', NULL), ('', NULL)) t(name, accession)",
         "kmer_counts": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')} SELECT kmer, sum(n)::BIGINT AS n, count(*) AS seqs FROM grams GROUP BY kmer",
@@ -120,6 +120,11 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "rest_pages_limit": "SELECT page, pos, accession FROM (SELECT o_orderkey // 100 AS page, CAST(o_orderkey % 100 AS INTEGER) AS pos, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS accession FROM orders) WHERE accession IS NOT NULL ORDER BY page, pos LIMIT 250",
         "meta_explode": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1",
         "embedding_mean_pool": "SELECT label, i AS pos, round(avg(CAST(embedding[i + 1] AS DOUBLE)), 6) AS mean FROM (SELECT label, embedding, unnest(range(0, 64)) AS i FROM embeddings) GROUP BY label, i",
+        "translate_letters": f"WITH {_SEQS} SELECT seq_id, md5(translate(seq, '{ALPHABET}', '{ALPHABET[1:] + ALPHABET[0]}')) AS translated FROM seqs",
+        "tree_fitch": f"""WITH RECURSIVE {_MSA}, leaf AS (SELECT col, dense_rank() OVER (ORDER BY row) - 1 AS i, 1::BIGINT << CAST(instr('{ALPHABET}-', ch) - 1 AS INTEGER) AS mask FROM cells),
+            fold AS (SELECT col, i, mask, 0::BIGINT AS changes FROM leaf WHERE i = 0
+                UNION ALL SELECT f.col, l.i, CASE WHEN f.mask & l.mask <> 0 THEN f.mask & l.mask ELSE f.mask | l.mask END, f.changes + CASE WHEN f.mask & l.mask = 0 THEN 1 ELSE 0 END FROM fold f JOIN leaf l ON l.col = f.col AND l.i = f.i + 1)
+            SELECT CAST(col AS BIGINT) AS site, changes FROM fold WHERE i = (SELECT max(i) FROM leaf)""",
         "msa_simple_pad": f"WITH {_MSA} SELECT seq_id, row, aligned FROM msa",
         "msa_column_entropy": f"WITH {columns} SELECT col, round(h, 6) AS h FROM prof",
         "msa_gap_fraction": f"WITH {columns} SELECT col, round(gap_frac, 6) AS gap_frac FROM prof",

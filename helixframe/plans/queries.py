@@ -71,8 +71,7 @@ def seq_sample(s, d):
 
 
 def aa_normalise(s, d):
-    whole = F.replace(F.coalesce("text", F.lit("")), F.lit("ß"), F.lit(""))  # whose upper case differs by engine
-    return adapters.table(s, d, "documents").select("doc_id", F.md5(text.normalise_residues(whole)).alias("normalised"))
+    return adapters.table(s, d, "documents").select("doc_id", F.md5(text.normalise_residues(F.coalesce("text", F.lit("")))).alias("normalised"))
 
 
 def aa_prompt(s, d):
@@ -88,7 +87,7 @@ def uniprot_extract(s, d):
 
 
 def kmer_counts(s, d):
-    return kmers.counts(adapters.sequences(s, d)).groupBy("kmer").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("seqs"))
+    return kmers.totals(adapters.sequences(s, d))
 
 
 def kmer_features(s, d):
@@ -236,6 +235,16 @@ def ward_clusters(s, d):
     return s.createDataFrame(reduce.ward_clusters(_reduced(s, d)[1][0], CLUSTERS))
 
 
+def average_clusters(s, d):
+    return s.createDataFrame(reduce.ward_clusters(_reduced(s, d)[1][0], CLUSTERS, "average"))
+
+
+def dendrogram_last_merges(s, d):
+    scores = _reduced(s, d)[1][0]
+    frames = [reduce.last_merges(scores, method).assign(method=method) for method in ("ward", "average")]
+    return _rounded(s.createDataFrame(pd.concat(frames)), "distance")
+
+
 def cluster_summary(s, d):
     seqs, (scores, _) = _reduced(s, d)
     summary = reduce.cluster_summary(s.createDataFrame(reduce.ward_clusters(scores, CLUSTERS)), seqs, composition.entropy(seqs))
@@ -257,7 +266,7 @@ def tsne_map(s, d):
 _BLOCK = ("block", "start", "end")
 _LONG = {
     "seq_lookup": ("aa_len", "structure_len"), "seq_sample": ("len",), "seq_validate": ("len", "other_len"), "embedding_mean_pool": ("pos",), "msa_block_table": _BLOCK, "msa_blocks": _BLOCK,
-    "msa_residue_scores": ("col",), "seq_length_stats": ("min_len", "max_len"), "seq_length_boxplot": ("whisker_low", "whisker_high"),
+    "msa_residue_scores": ("col",), "tree_fitch": ("site", "changes"), "seq_length_stats": ("min_len", "max_len"), "seq_length_boxplot": ("whisker_low", "whisker_high"),
     "msa_column_entropy": ("col",), "msa_gap_fraction": ("col",), "msa_kl": ("col",), "msa_smooth": ("col",), "msa_consensus": ("col",),
 }
 
@@ -271,7 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         hits_similar_topk, hits_query_status, hits_evalue_hist, hits_export_fasta, seq_bad_chars, seq_lookup, seq_sample, aa_normalise, aa_prompt, uniprot_extract,
         kmer_counts, kmer_features, kmer_jsd, dist_evalue, dist_nw, nw_alignments, jukes_cantor, search_all_vs_all, chunk_fixed, chunk_overall, chunk_progress_runs,
         sweep_settings, benchmark_rates, genomes_by_residues, rest_pages_limit, meta_explode, embedding_mean_pool, msa_block_table, msa_residue_scores, viewer_bins,
-        tree_rf, tree_fitch, pca_scree, ward_clusters, cluster_summary, translate_letters, tsne_map,
+        tree_rf, tree_fitch, pca_scree, ward_clusters, average_clusters, dendrogram_last_merges, cluster_summary, translate_letters, tsne_map,
     )
     seqs, h, family = adapters.sequences, adapters.hits, adapters.family
     short = {
@@ -322,6 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "msa_progressive": lambda s, d: trees.align_family(family(s, d)),
         "tree_nj": lambda s, d: trees.newick(family(s, d), "nj"),
         "tree_upgma": lambda s, d: trees.newick(family(s, d), "average"),
+        "tree_wpgma": lambda s, d: trees.newick(family(s, d), "weighted"),
         "tree_merges": lambda s, d: _rounded(trees.merge_table(family(s, d)), "distance"),
         "tree_loglik": lambda s, d: _rounded(trees.tree_scores(family(s, d)), "log_likelihood"),
     }

@@ -14,8 +14,10 @@ ENTROPY_THRESHOLD = 1.0
 MIN_BLOCK_LENGTH = 5
 MAX_GAP_FRACTION = 0.5
 CLUSTERS = 8
-SAMPLE = {"composition": 200, "distance": 50, "alignment": 30, "reduction": 2000}
+LAST_MERGES = 30
+SAMPLE = {"composition": 200, "distance": 50, "reduction": 2000}
 
+#: The columns of the files that are read and written.
 HITS = "query string, target string, fident double, alnlen int, mismatch int, gapopen int, qstart int, qend int, tstart int, tend int, evalue double, bits double"
 METADATA = "accession_file string, assemblies_requested array<string>, assemblies_downloaded array<string>, num_sequences long, three_di_fasta string, search_results string, _corrupt string"
 REPORT_PAGE = "reports array<struct<accession: string>>, next_page_token string"

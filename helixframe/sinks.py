@@ -32,9 +32,25 @@ def write_metadata(runs: DataFrame, folder: str) -> None:
     runs.write.json(folder)
 
 
+def write_files(lines: DataFrame, folder: str, *order: str) -> None:
+    """(file, value) as one plain file for each name, lines in an order. Tasks write a folder for each
+    name; then the one file of each is moved up, a step on names alone."""
+    spark = lines.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    files, target, work = path(folder).getFileSystem(conf), folder.rstrip("/"), f"{folder.rstrip('/')}/_writing"
+    ordered = lines.select("file", "value", *(F.col(c).alias(f"_{i}") for i, c in enumerate(order))).repartition("file").sortWithinPartitions("file", *(f"_{i}" for i in range(len(order))))
+    ordered.select("file", "value").write.partitionBy("file").text(work)
+    for found in files.globStatus(path(work, "file=*", "part-*")):
+        name = jvm.java.net.URLDecoder.decode(found.getPath().getParent().getName(), "UTF-8").split("=", 1)[1]
+        if not files.rename(found.getPath(), path(target, name)):
+            raise OSError(f"{target}/{name} cannot be written")
+    files.delete(path(work), True)
+
+
 def write_chunks(assigned: DataFrame, folder: str) -> None:
-    """(chunk, accession) as one folder per chunk."""
-    assigned.select(F.format_string("chunk_%02d", "chunk").alias("chunk"), F.col("accession").alias("value")).repartition("chunk").sortWithinPartitions("chunk", "value").write.partitionBy("chunk").text(folder)
+    """(chunk, nth, accession) as chunk_01.txt and on, a line each, in the order of nth."""
+    write_files(assigned.select(F.format_string("chunk_%02d.txt", F.col("chunk") + 1).alias("file"), "nth", F.col("accession").alias("value")), folder, "nth")
 
 
 def write_index(accessions: DataFrame, folder: str) -> None:

@@ -9,6 +9,9 @@ from __future__ import annotations
 import io
 import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -31,23 +34,87 @@ def package_entry(content: bytes | None, suffix: str = "protein.faa") -> str | N
         return None
 
 
-def download(wanted: DataFrame, existing: DataFrame, fetch: Fetch, with_key: bool = False, lanes: int = 1) -> DataFrame:
-    """(accession, content) of wanted accessions that do not exist yet. Each lane keeps the delay;
-    content is null where the package could not be had."""
+def package_entries(content: bytes | None, suffix: str = "protein.faa") -> list[tuple[str, str]]:
+    """(folder, text) of all entries that end with a suffix, the folder being the one they lie in."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content or b"")) as package:
+            return [(n.split("/")[-2] if "/" in n else "", package.read(n).decode("utf-8")) for n in package.namelist() if n.endswith(suffix)]
+    except zipfile.BadZipFile:
+        return []
+
+
+def plain_text(content: bytes | None) -> str | None:
+    """A text body, such as FASTA or a structure file; None for none."""
+    return content.decode("utf-8") if content else None
+
+
+def http_fetch(url: str, timeout: float = 60.0) -> Fetch:
+    """A fetch by GET; `{}` in the address becomes the quoted request. What the service does not have is None."""
+
+    def fetch(request: str) -> bytes | None:
+        try:
+            with urllib.request.urlopen(url.replace("{}", urllib.parse.quote(request, safe=",")), timeout=timeout) as body:
+                return body.read()
+        except urllib.error.HTTPError as error:
+            if error.code in (404, 410):
+                return None
+            raise
+
+    return fetch
+
+
+def page_fetch(url: str, timeout: float = 60.0) -> Callable[[str | None], bytes]:
+    """A fetch of report pages by GET, the token of a page as page_token."""
+
+    def fetch(token: str | None) -> bytes:
+        more = "" if token is None else ("&" if "?" in url else "?") + urllib.parse.urlencode({"page_token": token})
+        with urllib.request.urlopen(url + more, timeout=timeout) as body:
+            return body.read()
+
+    return fetch
+
+
+def _paced(requests, fetch: Fetch, pause: float) -> Iterator[tuple[bytes | None, str | None]]:
+    """Bodies and errors of calls that keep a pause between them; an error ends its call alone."""
+    last = float("-inf")
+    for request in requests:
+        time.sleep(max(0.0, last + pause - time.monotonic()))
+        last = time.monotonic()
+        try:
+            yield fetch(request), None
+        except Exception as error:  # noqa: BLE001  whatever a service does, the other calls go on
+            yield None, f"{type(error).__name__}: {error}"
+
+
+def download(wanted: DataFrame, existing: DataFrame, fetch: Fetch, with_key: bool = False, lanes: int = 1, decode: Callable[[bytes | None], str | None] = package_entry) -> DataFrame:
+    """(accession, content, error) of wanted accessions that do not exist yet. Each lane keeps the
+    delay; content is null where there is none or the call failed, which its error tells."""
     pause = (DELAY_WITH_KEY if with_key else DELAY) * lanes
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = 0.0
         for frame in frames:
-            out = []
-            for accession in frame["accession"]:
-                time.sleep(max(0.0, last + pause - time.monotonic()))
-                last = time.monotonic()
-                out.append(package_entry(fetch(accession)))
-            yield pd.DataFrame({"accession": frame["accession"], "content": out})
+            got = [(decode(body), error) for body, error in _paced(frame["accession"], fetch, pause)]
+            yield pd.DataFrame({"accession": frame["accession"], "content": [c for c, _ in got], "error": [e for _, e in got]}, dtype=object)
 
     missing = wanted.select("accession").distinct().join(existing.select("accession"), "accession", "left_anti")
-    return missing.repartition(lanes).mapInPandas(run, "accession string, content string")
+    return missing.repartition(lanes).mapInPandas(run, "accession string, content string, error string")
+
+
+def bulk_download(batches: DataFrame, fetch: Fetch, suffix: str = "protein.faa", with_key: bool = False) -> DataFrame:
+    """(chunk, accession, content, error) of batches (chunk, accessions): one call each for a package
+    of many accessions, a row for each entry. A call that fails or brings nothing is one row with its
+    error, and the next goes on."""
+    pause = DELAY_WITH_KEY if with_key else DELAY
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for chunk, (body, error) in zip(frame["chunk"], _paced(frame["accessions"], fetch, pause), strict=True):
+                found = package_entries(body, suffix)
+                rows += [(chunk, name, text, None) for name, text in found] or [(chunk, None, None, error or "no entry")]
+            yield pd.DataFrame(rows, columns=["chunk", "accession", "content", "error"], dtype=object)
+
+    return batches.select("chunk", "accessions").repartition(1).mapInPandas(run, "chunk long, accession string, content string, error string")
 
 
 def local_packages(spark: SparkSession, folder: str) -> DataFrame:

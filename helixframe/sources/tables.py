@@ -13,11 +13,11 @@ def hit_table(spark: SparkSession, paths) -> DataFrame:
     return spark.read.schema(schemas.HITS).csv(paths, sep="\t")
 
 
-def run_metadata(spark: SparkSession, base: str, folder: str = "task_*", depth: int = 3) -> DataFrame:
+def run_metadata(spark: SparkSession, base: str, folder: str = "task_*", depth: int = 3, strict: bool = False) -> DataFrame:
     """Metadata of runs up to a depth of folders, with the path; unreadable files have a null
-    assemblies_downloaded and their text in _corrupt."""
+    assemblies_downloaded and their text in _corrupt, or fail the job if strict."""
     pattern = "{" + ",".join("*/" * n + folder for n in range(depth)) + "}"
-    reader = spark.read.schema(schemas.METADATA).option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    reader = spark.read.schema(schemas.METADATA).option("multiLine", "true").option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
     return reader.json(f"{base}/{pattern}/metadata.json").select("*", F.col("_metadata.file_path").alias("path"))
 
 

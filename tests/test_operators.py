@@ -1,6 +1,9 @@
+import http.server
+import io
 import json
 import random
 import sys
+import threading
 import zipfile
 
 import numpy as np
@@ -94,7 +97,7 @@ def test_alignment_columns(spark):
     frame = seqs(spark, "ACDEF", "ACEF", "AAA")
     rows = {(r.id_i, r.id_j): r for r in distance.alignment_distances(frame, 2).collect()}
     assert rows["s0", "s1"].score == 2 and rows["s0", "s1"].distance == pytest.approx(0.6)
-    assert frame.crossJoin(frame.select(F.col("seq").alias("o"))).select(distance.nw_alignment("seq", "o").alias("x"), distance.nw_distance("seq", "o").alias("d")).filter("d = 0").count() == 3
+    assert frame.crossJoin(frame.select(F.col("seq").alias("o"))).select(distance.nw_alignment("seq", "o").alias("x"), distance.nw_score("seq", "o").alias("d"), F.length("seq").alias("n")).filter("d = n").count() == 3
 
 
 def test_search_finds_relatives(spark):
@@ -203,7 +206,103 @@ def test_work_queue_commands(spark, queue, capsys):
     for a in ("GCF_1", "GCF_7", "GCF_8"):
         (genomes / f"{a}.faa").write_text(">x\nA\n")
     cli.main(["chunk-remaining", "--genomes-dir", str(genomes), "--results-dir", str(queue / "runs"), "--chunk-size", "1", "--output-dir", str(queue / "rest")], spark)
-    assert sorted(p.name for p in (queue / "rest").iterdir() if p.is_dir()) == ["chunk=chunk_00", "chunk=chunk_01"]
+    assert {p.name: p.read_text() for p in (queue / "rest").iterdir() if p.suffix == ".txt"} == {"chunk_01.txt": "GCF_7\n", "chunk_02.txt": "GCF_8\n"}
+
+
+def chunk_texts(folder):
+    return {p.name: p.read_text().split() for p in folder.iterdir() if p.suffix == ".txt"}
+
+
+def test_chunk_files_keep_their_order_and_are_read_back(spark, queue):
+    (queue / "all.txt").write_text("Z9\nB2\nA1\nQ7\nC3\nM4\n")
+    cli.split(spark, str(queue / "all.txt"), 3, str(queue / "s"))
+    assert chunk_texts(queue / "s") == {"chunk_01.txt": ["Z9", "B2"], "chunk_02.txt": ["A1", "Q7"], "chunk_03.txt": ["C3", "M4"]}
+    read = sources.chunk_directory(spark, str(queue / "s")).orderBy("file_number", "pos").collect()
+    assert [(r.file, r.file_number, r.accession) for r in read] == [(f"chunk_0{i}.txt", i, a) for i, own in enumerate((["Z9", "B2"], ["A1", "Q7"], ["C3", "M4"]), 1) for a in own]
+    (queue / "d.txt").write_text("A1\nQ7\nM4\n")
+    cli.remove_done(spark, str(queue / "s"), str(queue / "d.txt"), str(queue / "l"))
+    assert chunk_texts(queue / "l") == {"chunk_01.txt": ["Z9", "B2"], "chunk_03.txt": ["C3"]}
+    cli.rechunk(spark, str(queue / "l"), 2, str(queue / "r"))
+    assert chunk_texts(queue / "r") == {"chunk_01.txt": ["Z9", "B2"], "chunk_02.txt": ["C3"]}
+    report = cli.progress(spark, str(queue / "r"), str(queue / "d.txt"))
+    assert report["overall"].first().asDict() == {"done": 0, "remaining": 3, "total": 3, "pct": 0.0, "full": 0, "partly": 0, "not_started": 2}
+
+
+@pytest.fixture()
+def service():
+    """A local service: packages, texts, pages, errors."""
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            path, _, query = self.path.partition("?")
+            code, body = 404, b""
+            if path == "/pages":
+                token = query.rpartition("page_token=")[2]
+                code, body = 200, json.dumps({"reports": [{"accession": f"GCF_{token or 0}{i}"} for i in range(2)], "next_page_token": {"": "1", "1": "2"}.get(token)}).encode()
+            elif path.startswith("/zip/"):
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w") as z:
+                    for a in path[5:].split(","):
+                        z.writestr(f"data/{a}/protein.faa", f">{a}\nMK\n")
+                code, body = (500, b"") if "BAD" in path else (200, held.getvalue())
+            elif path.startswith("/text/"):
+                code, body = (200, f"ATOM {path[6:]}".encode()) if "NONE" not in path else (404, b"")
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_downloads(spark, service, tmp_path, capsys):
+    (tmp_path / "list.txt").write_text("GCF_1\nBAD\nGCF_2\n")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "GCF_2.faa").write_text(">there\nA\n")
+    got = cli.download(spark, str(tmp_path / "list.txt"), f"{service}/zip/{{}}", str(tmp_path / "out"), with_key=True).collect()
+    assert [(r.accession, r.written) for r in got] == [("BAD", False), ("GCF_1", True)] and "500" in got[0].error and got[1].error is None
+    assert (tmp_path / "out" / "GCF_1.faa").read_text() == ">GCF_1\nMK\n\n" and (tmp_path / "out" / "GCF_2.faa").read_text() == ">there\nA\n"
+    (tmp_path / "p").mkdir()
+    (tmp_path / "ids.txt").write_text("1ABC\nNONE\n")
+    cli.main(["download", str(tmp_path / "ids.txt"), f"{service}/text/{{}}", "--kind", "structure", "--with-key", "--output-dir", str(tmp_path / "p")], spark)
+    assert (tmp_path / "p" / "1ABC.pdb").read_text() == "ATOM 1ABC\n" and not (tmp_path / "p" / "NONE.pdb").exists()
+    cli.main(["fetch-accessions", f"{service}/pages", "--limit", "5", "--output-dir", str(tmp_path / "f")], spark)
+    assert (tmp_path / "f" / "accessions.txt").read_text().split() == ["GCF_00", "GCF_01", "GCF_10", "GCF_11", "GCF_20"]
+    batches = spark.createDataFrame([(0, "GCF_1,GCF_3"), (1, "BAD"), (2, "GCF_4")], "chunk long, accessions string")
+    rows = sorted(((r.chunk, r.accession, r.content) for r in remote.bulk_download(batches, remote.http_fetch(f"{service}/zip/{{}}"), with_key=True).collect()), key=str)
+    assert rows == [(0, "GCF_1", ">GCF_1\nMK\n"), (0, "GCF_3", ">GCF_3\nMK\n"), (1, None, None), (2, "GCF_4", ">GCF_4\nMK\n")]
+
+
+def test_strict_metadata(spark, queue):
+    with pytest.raises(Exception, match="(?i)malformed|failfast|parse"):
+        tables.run_metadata(spark, str(queue / "runs"), strict=True).collect()
+
+
+def test_searching_many_at_once_scores_as_one_by_one(spark):
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("ACDEFGHIKL") for _ in range(n))
+    table = {"A": {"A": 4, "C": 1}, "C": {"A": 1, "C": 9}, "D": {"D": 6, "E": 2}}
+    base = word(60)
+    others = [word(rnd.randrange(0, 90)) for _ in range(40)] + [base[10:50], base[:20] + word(15) + base[20:], ""]
+    for rule in ({}, {"match": 3, "mismatch": -2, "gap_open": 4, "gap_extend": 2}, {"table": table, "gap_open": 6}):
+        want = [(align.local_alignment(base, b, **rule) or {"score": 0})["score"] for b in others]
+        assert align.local_scores(base, others, **rule).tolist() == want
+
+
+def test_clusters_and_last_merges_of_components(spark):
+    import pandas as pd
+
+    scores = pd.DataFrame({"seq_id": [f"s{i}" for i in range(6)], "pc1": [0.0, 0.1, 0.2, 9.0, 9.1, 20.0]})
+    for method, sizes in (("ward", [3, 6]), ("average", [5, 6])):
+        assert reduce.ward_clusters(scores, 3, method)["cluster"].tolist() == [1, 1, 1, 2, 2, 3]
+        last = reduce.last_merges(scores, method, 2)
+        assert last["step"].tolist() == [3, 4] and last["size"].tolist() == sizes
+    assert reduce.last_merges(scores, "average", 2)["distance"].round(6).tolist() == [8.95, 16.32]
 
 
 def test_results_commands(spark, tmp_path, capsys):
@@ -227,7 +326,7 @@ def test_remote_sources(spark, tmp_path):
     content = (tmp_path / "a.zip").read_bytes()
     wanted = spark.createDataFrame([("A",), ("B",), ("C",), ("A",)], "accession string")
     got = remote.download(wanted, spark.createDataFrame([("C",)], "accession string"), lambda a: content if a == "A" else None, with_key=True)
-    assert sorted((r.accession, r.content) for r in got.collect()) == [("A", ">p\nMK\n"), ("B", None)]
+    assert sorted((r.accession, r.content, r.error) for r in got.collect()) == [("A", ">p\nMK\n", None), ("B", None, None)]
 
     class Pages(remote.ReportPages):
         fetch = staticmethod(lambda token: {"reports": [{"accession": f"{token}-{i}"} for i in range(3)] + [{}], "next_page_token": {None: "t", "t": "u", "u": None}[token]})
