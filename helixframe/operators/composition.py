@@ -73,11 +73,12 @@ def composition_matrix(seqs: DataFrame) -> DataFrame:
 
 
 def entropy(seqs: DataFrame) -> DataFrame:
-    """(seq_id, entropy): letters outside the alphabet count in the total, not in the sum. Each letter
-    is counted once; the counts are folded."""
-    n = F.nullif(F.length("seq"), F.lit(0))
-    parts = F.transform(F.array(*[_of_letter(c) for c in ALPHABET]), lambda k: F.when(k > 0, k / n * F.log2(k / n)).otherwise(0.0))
-    return seqs.select("seq_id", F.when(n.isNotNull(), F.abs(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x))).alias("entropy"))
+    """(seq_id, entropy): letters outside the alphabet count in the total, not in the sum. The counts
+    are columns of their own, so that each letter is counted once for the terms it is in."""
+    counted = seqs.select("seq_id", F.nullif(F.length("seq"), F.lit(0)).alias("_length"), *[_of_letter(c).alias(f"_{c}") for c in ALPHABET])
+    share = {c: F.col(f"_{c}") / F.col("_length") for c in ALPHABET}
+    total = sum((F.when(F.col(f"_{c}") > 0, p * F.log2(p)).otherwise(0.0) for c, p in share.items()), F.lit(0.0))
+    return counted.select("seq_id", F.when(F.col("_length").isNotNull(), F.abs(total)).alias("entropy"))
 
 
 def entropy_all_letters(seqs: DataFrame) -> DataFrame:
