@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm._common import chunks, column_rows, keep_rows_not_in, key_id, maybe_in, membership_filter, narrow, record_batch, resident, row_key, small_side
 from helixframe.llm.components import connected_components
-from helixframe.storage import scratch
+from helixframe.storage import release, scratch
 
 #: Bits that may differ between linked fingerprints; the split in two halves holds for 3.
 RADIUS = 3
@@ -54,6 +54,8 @@ WIDTH, SIMILARITY = 5, 0.8
 FREQUENT, _LOOK = 1 << 18, 1 << 21
 #: Turns in which the rows of a bucket are held against one of them, before all of different components are.
 STARS = 2
+#: Rows of a bucket up to which its pairs are told wherever they meet; in larger ones each in one bucket.
+FEW_ROWS = 16
 _COUNTS = 0x55555555  # the low bit of each two-bit segment of a half
 
 
@@ -282,6 +284,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alike = [F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))), F.min("node"), F.max("node"), F.count(F.lit(1))]
     sets = met.groupBy("mark").agg(*[x.alias(f"set{i}") for i, x in enumerate(alike)]).groupBy(*[f"set{i}" for i in range(len(alike))]).agg(F.min("mark").alias("mark")).select("mark")
     shared = scratch(met.join(small_side(scratch(sets, "near-sets")), "mark", "left_semi"), "near-shared")
+    release(leads, met)
 
     prints = alone.select("node", "fp")
     firsts = scratch(prints.groupBy("fp").agg(F.min("node").alias("first")), "near-classes")
@@ -293,11 +296,14 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         side = lambda x: signs.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
         likely = scratch(pairs.join(side("a"), "a").join(side("b"), "b").filter(_sketches_allow(similarity)).select("a", "b"), "near-likely")
         nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        keys = scratch(signs.select("node", "key").join(small_side(scratch(nodes, "near-nodes")), "node"), "near-keys")
+        settled = scratch(nodes, "near-nodes")
+        keys = scratch(signs.select("node", "key").join(small_side(settled), "node"), "near-keys")
         some = maybe_in(keyed, F.col("key"), membership_filter(keys, F.col("key"))).filter("_maybe").drop("_maybe")
         wanted = scratch(some.dropDuplicates(["key"]).join(small_side(keys), "key").select("node", "text"), "near-texts")
         both = likely.join(wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        return scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a long, b long"), "near-links")
+        found = scratch(both.select("a", "b", "text_a", "text_b").mapInArrow(_alike(similarity, width), "a long, b long"), "near-links")
+        release(likely, settled, keys, wanted)
+        return found
 
     # First each bucket's rows with its first one: large groups become one component.
     tried = scratch(shared.select(*pair("node", "lead")).unionByName(twins).unionByName(close).filter("a <> b").distinct(), "near-pairs")
@@ -306,8 +312,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def apart() -> DataFrame:
         """The rows of buckets that hold rows of different components, with these."""
         placed = shared.join(connected_components(edges), "node", "left").select("mark", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("mark")
-        return scratch(placed.join(mixed, "mark", "left_semi"), "near-open")
+        mixed = placed.groupBy("mark").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("rows")).filter("low <> high").select("mark", "rows")
+        return scratch(placed.join(mixed, "mark"), "near-open")
 
     # Then with others in turn, the same for all buckets that hold them.
     for turn in range(STARS):
@@ -315,20 +321,27 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         leads = open_.groupBy("mark").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "root")).alias("lead"))
         pairs = open_.join(leads, "mark").filter(F.col("root") != F.col("lead.root")).select(*pair(F.col("node"), F.col("lead.node"))).distinct()
         new = scratch(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+        release(open_)
         tried, edges = tried.unionByName(new), edges.unionByName(verified(new))
 
-    # Last all of a bucket, alike in size and sketch, whose rows are still of different components.
+    # Last all of a bucket, alike in size, whose rows are still of different components; of a large
+    # bucket, those that sketches allow, each pair in the first of the large buckets that it shares.
     level = F.floor(F.log(F.greatest("n", F.lit(1))) / -log(similarity) + 1e-9).cast("int")
-    last = apart()
-    of_row = last.groupBy("node").agg(F.collect_set("mark").alias("marks")).join(signs.select("node", "sketch"), "node")
-    open_ = scratch(last.join(of_row, "node").withColumn("level", level), "near-open")
-    columns = lambda x: [F.col("node").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in ("n", "root", "sketch", "marks"))]
-    left = open_.select("mark", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("level").alias("own"), *columns("a"))
-    right = open_.select("mark", "level", *columns("b"))
-    once = (F.col("own") < right["level"]) | (F.col("a") < F.col("b"))
-    here = F.array_min(F.array_intersect("marks_a", "marks_b")) == left["mark"]  # a pair is told in one bucket only
-    other = (left["mark"] == right["mark"]) & (left["level"] == right["level"]) & (F.col("root_a") != F.col("root_b")) & once & _sketches_allow(similarity) & here
-    rest = left.join(right, other).select(*pair("a", "b")).join(tried, ["a", "b"], "left_anti")
+    last = apart().withColumn("level", level)
+
+    def met_in(rows: DataFrame, more: list[str], also: Column) -> DataFrame:
+        columns = lambda x: [F.col("node").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in ("n", "root", *more))]
+        left = rows.select("mark", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("level").alias("own"), *columns("a"))
+        right = rows.select(F.col("mark").alias("there"), F.col("level").alias("level_b"), *columns("b"))
+        once = (F.col("own") < F.col("level_b")) | (F.col("a") < F.col("b"))
+        sizes = F.expr(f"least(n_a, n_b) >= {similarity} * greatest(n_a, n_b) - 1e-9")
+        return left.join(right, (F.col("mark") == F.col("there")) & (F.col("level") == F.col("level_b")) & (F.col("root_a") != F.col("root_b")) & once & sizes & also).select(*pair("a", "b"))
+
+    large = last.filter(F.col("rows") > FEW_ROWS)
+    of_row = large.groupBy("node").agg(F.collect_set("mark").alias("marks")).join(signs.select("node", "sketch"), "node")
+    here = F.array_min(F.array_intersect("marks_a", "marks_b")) == F.col("mark")
+    told = met_in(last.filter(F.col("rows") <= FEW_ROWS), [], F.lit(True)).unionByName(met_in(large.join(of_row, "node"), ["sketch", "marks"], _sketches_allow(similarity) & here))
+    rest = told.distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(scratch(rest, "near-rest"))
     ends = connected_components(edges.unionByName(more).unionByName(same))
     named = scratch(ends.join(signs.select("node", "key"), "node"), "near-named")
