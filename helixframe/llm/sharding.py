@@ -2,8 +2,9 @@
 without a ring table; appending a shard moves only the rows that go to it.
 
 Slots number the rows of a shard from 0 without gaps. No shard is ever in one task: a shard is cut
-into blocks by a second hash of the key, the blocks' counts give each its first slot, and rows are
-numbered inside their block. The number of blocks follows the row count.
+into blocks by a salt that is written with each row, so rows that repeat one key, or have none, are
+spread as well; the blocks' counts give each its first slot, and rows are numbered inside their
+block. The number of blocks follows the row count.
 
 Cases: a null key is a key like any other and goes to one shard; null and empty texts have the size
 of the overhead alone; repeated rows share a shard and get slots of their own; an empty table gives
@@ -62,14 +63,15 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
             F.crc32(body).alias("text_crc32"),
             jump_column(key, shards).alias("shard"),
             jump_column(key, shards + 1).alias("grown_shard"),
+            F.monotonically_increasing_id().alias("salt"),
         ),
         "shards",
     )
     blocks = max(1, placed.count() // (shards * ROWS_PER_BLOCK))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(blocks)))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("salt"), F.lit(blocks)))
     counts = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("rows"))
     first = counts.select("shard", "block", (F.sum("rows").over(W.partitionBy("shard").orderBy("block")) - F.col("rows")).alias("first"))
-    inside = F.row_number().over(W.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")) - 1
+    inside = F.row_number().over(W.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size", "salt")) - 1
     return placed.withColumn("inside", inside).join(first, ["shard", "block"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("inside")).cast("long").alias("slot"), "grown_shard"
     )

@@ -50,3 +50,15 @@ def test_growth_moves_the_needed_share():
     now, grown = sharding.jump(keys, 40), sharding.jump(keys, 41)
     assert set(grown[now != grown]) == {40} and 0.02 < (now != grown).mean() < 0.03
     assert np.bincount(now).max() < 1.2 * 1000
+
+
+def test_one_key_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_BLOCK", 2)
+    rows = [(None if i % 2 else 7, f"text {i % 3}", i) for i in range(400)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, block long").repartition(4), 5).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert len(got) == 400 and len({r.shard for r in got if r.doc_id is None}) == 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter((r.doc_id, r.text_crc32) for r in got) == Counter((d, zlib.crc32(t.encode())) for d, t, _ in rows)
