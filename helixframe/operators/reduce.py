@@ -75,7 +75,11 @@ def mean_pool(vectors: DataFrame, *by: str, column: str = "embedding") -> DataFr
 
 
 def tsne(x: np.ndarray, perplexity: float = 30.0, steps: int = 500, seed: int = 0) -> np.ndarray:
-    """Two-dimensional stochastic neighbour embedding of a bounded sample, exact gradients."""
+    """Two-dimensional stochastic neighbour embedding of a bounded sample, exact gradients.
+
+    Each coordinate has a gain that grows while its gradient keeps its direction and shrinks when it
+    turns, and no point moves further in a step than a part of the map's extent: small samples, whose
+    forces are large, settle instead of swinging."""
     n = len(x)
     if n < 3:
         return np.zeros((n, 2))
@@ -95,14 +99,17 @@ def tsne(x: np.ndarray, perplexity: float = 30.0, steps: int = 500, seed: int =
         p[i, np.arange(n) != i] = e / e.sum()
     p = np.maximum((p + p.T) / (2 * n), 1e-12)
     y = np.random.default_rng(seed).normal(0, 1e-4, (n, 2))
-    speed, rate = np.zeros_like(y), max(n / 12, 50)
+    speed, gains, rate = np.zeros_like(y), np.ones_like(y), max(n / 12, 10)
     for step in range(steps):
         s = (y**2).sum(axis=1)
         w = 1 / (1 + np.maximum(s[:, None] + s[None, :] - 2 * y @ y.T, 0))
         np.fill_diagonal(w, 0)
         force = ((12 if step < 100 else 1) * p - np.maximum(w / w.sum(), 1e-12)) * w
         grad = 4 * (force.sum(axis=1)[:, None] * y - force @ y)
-        speed = (0.5 if step < 100 else 0.8) * speed - rate * grad
+        gains = np.maximum(np.where((grad > 0) == (speed > 0), gains * 0.8, gains + 0.2), 0.01)
+        speed = (0.5 if step < 100 else 0.8) * speed - rate * gains * grad
+        furthest = 0.1 * max(np.abs(y).max(), 1.0)
+        speed *= np.minimum(1, furthest / np.maximum(np.linalg.norm(speed, axis=1, keepdims=True), 1e-300))
         y = y + speed
         y -= y.mean(axis=0)
     return y
