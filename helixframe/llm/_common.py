@@ -10,10 +10,9 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.storage import scratch
+from helixframe.storage import release, scratch
 
 #: Bits of a membership filter for each key, and its bounds: 32 MB when broadcast, at any size of the
 #: input. A fuller filter lets more rows through to the exact join behind it: time, never results.
@@ -117,13 +116,19 @@ def key_id(key: Column) -> Column:
 
 def bounded_sample(rows: DataFrame, most_chars: int) -> list[tuple]:
     """(_text, _label) of rows (_id, _text, _label) that were cut to a bounded number of ids: one row
-    for each id, the smallest, in the order of a hash of the id, for as long as the whole texts
-    together have at most `most_chars` characters. That bounds what comes to the driver."""
+    for each id, the smallest, in the order of a hash of the id. The whole texts together have at most
+    `most_chars` characters, which bounds what comes to the driver: a text that does not fit any more
+    is left out, and those behind it that do are taken."""
     one = rows.groupBy("_id").agg(F.min(F.struct("_text", "_label")).alias("_row")).select("_id", "_row.*")
     settled = scratch(one.withColumn("_order", F.xxhash64("_id")), "sample")
-    lengths = settled.select("_id", "_order", F.length("_text").cast("long").alias("_chars"))
-    upto = lengths.withColumn("_upto", F.sum("_chars").over(W.orderBy("_order", "_id"))).filter(F.col("_upto") <= most_chars).select("_id")
+    fits, left = [], most_chars
+    for found, chars in settled.select("_id", F.length("_text").cast("long")).orderBy("_order", "_id").collect():  # as few as the ids
+        if chars <= left:
+            fits.append(found)
+            left -= chars
+    upto = settled.sparkSession.createDataFrame([(i,) for i in fits], "_id long")
     found = settled.join(F.broadcast(upto), "_id").select("_order", "_id", "_text", "_label").toArrow().sort_by([("_order", "ascending"), ("_id", "ascending")])
+    release(settled)
     return list(zip(found.column("_text").to_pylist(), found.column("_label").to_pylist(), strict=True))
 
 

@@ -260,8 +260,8 @@ def scorer_of(model: Model) -> Scorer:
 
 def train(docs: DataFrame, model_file: str, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS_PER_LANGUAGE, most: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> Model:
     """Fits on at most `rows` ids of each language that are not held out, `most` in all, the first by
-    a hash of the id, for as long as their texts have at most `most_chars` characters together. The
-    ids are broadcast, and one text of each comes to the driver."""
+    a hash of the id, whose texts have at most `most_chars` characters together; a text that does not
+    fit into what is left is passed over. The ids are broadcast, and one text of each comes to the driver."""
     key = F.col(id_col).cast("long")
     able = docs.filter(bucket_of(key) != 0).select(key.alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
     able = able.filter(F.col("_lang").isNotNull() & F.col("_id").isNotNull() & (F.length("_text") > 0))

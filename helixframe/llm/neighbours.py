@@ -15,7 +15,8 @@ smaller side, go to all blocks of their parts and stream past the block that a t
 Cases: rows whose vector is null or zero, or holds a null or non-finite number, take no part, nor do
 rows with a null id; vectors of several lengths are searched apart, as an inner product asks for one
 length, and all but the most frequent length without an index; repeated rows (same id, same vector)
-count once; ties go to the smaller id; with few vectors all are compared; an empty table gives an
+count once; an id with several vectors is a row for each of them, no row of a query's id is among its
+neighbours, and a query id with several vectors has a list for each; ties go to the smaller id; with few vectors all are compared; an empty table gives an
 empty result; other columns are never looked at.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.llm._common import small_side
+from helixframe.llm._common import record_batch, small_side
 from helixframe.storage import scratch
 
 #: Bound of the sample that the index is fitted on, and its share that only measures the recall.
@@ -161,26 +162,34 @@ def _routed(held, most: int, names: list[str]):
     return run
 
 
-def _best(x: np.ndarray, first: np.ndarray, ids: list[list[int]], q: np.ndarray, keep: int) -> Iterator[list[tuple[float, int]]]:
-    """For each query the `keep` best (-score, id) among a block's vectors."""
+def _best(x: np.ndarray, first: np.ndarray, alone: np.ndarray, ids: list[list[int]], q: np.ndarray, own: list, keep: int) -> Iterator[list[tuple[float, int]]]:
+    """For each query the `keep` best (-score, id) among a block's vectors, without the query's own
+    id if it is told."""
     sims, most = q @ x.T, min(keep, len(x))
+    for row, mine in zip(sims, own, strict=True):
+        if mine is not None:
+            row[alone & (first == mine)] = -np.inf  # entries of no other id
     # All within rounding of the last of the best: ties are for the exact order.
     slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
     floors = np.partition(sims, len(x) - most, axis=1)[:, len(x) - most] - slack
-    for row, s, floor in zip(q, sims, floors, strict=True):
-        near = np.flatnonzero(s >= floor)
+    for row, s, floor, mine in zip(q, sims, floors, own, strict=True):
+        near = np.flatnonzero((s >= floor) & (s > -np.inf))
         exact = (x[near] * row).sum(axis=1)
         # Of equal scores, the entries with the smallest first ids hold the smallest ids.
         at = np.lexsort((first[near], -exact))[:keep]
-        yield sorted((-score, i) for score, e in zip(exact[at].tolist(), near[at].tolist(), strict=True) for i in ids[e])[:keep]
+        yield sorted((-score, i) for score, e in zip(exact[at].tolist(), near[at].tolist(), strict=True) for i in ids[e] if i != mine)[:keep]
+
+
+#: What names a query: the two hashes of its vector, and its id if that is to be left out while comparing.
+QUERY = ("qh", "qg", "own")
 
 
 def _compared(keep: int):
-    schema = pa.schema([("lead", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("qh", pa.int64()), ("qg", pa.int64()), ("own", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, x = None, [], None
-        first = ids = None
+        first = alone = ids = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -196,14 +205,13 @@ def _compared(keep: int):
                 if x is None:
                     x = np.concatenate([v for v, _ in held])
                     ids = [i for _, own in held for i in own]
-                    first, held = np.array([i[0] for i in ids]), []
+                    first, alone, held = np.array([i[0] for i in ids]), np.array([len(i) == 1 for i in ids]), []
                 for at in range(0, part.num_rows, QUERY_BLOCK):
                     some = part.slice(at, QUERY_BLOCK)
-                    leads, out = some.column("lead").to_pylist(), []
-                    for lead, best in zip(leads, _best(x, first, ids, _matrix(some.column("vector")), keep), strict=True):
-                        out += [(lead, i, -score) for score, i in best]
-                    columns = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                    names, out = list(zip(*(some.column(n).to_pylist() for n in QUERY), strict=True)), []
+                    for name, best in zip(names, _best(x, first, alone, ids, _matrix(some.column("vector")), [n[2] for n in names], keep), strict=True):
+                        out += [(*name, i, -score) for score, i in best]
+                    yield record_batch(out, schema)
 
     return run
 
@@ -231,19 +239,25 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], k: int = 20, i
     names = ["h", "g", "vector", "ids"]
     ddl = "h long, g long, vector array<double>, ids array<long>, parts array<int>"
     indexed = scratch(entries.select(*names).mapInArrow(_routed(held, 1, names), ddl).withColumn("part", F.col("parts")[0]).drop("parts"), "ann-index")
-    asked = scratch(ids.filter(is_query(F.col("vec_id"))), "ann-asked")
-    leads = scratch(asked.groupBy("h", "g").agg(F.min("vec_id").alias("lead")), "ann-leads")
-    asking = entries.join(small_side(leads), ["h", "g"]).select("lead", "vector")
-    routed = asking.mapInArrow(_routed(held, probes, ["lead", "vector"]), "lead long, vector array<double>, parts array<int>").select("lead", "vector", F.explode("parts").alias("part"))
+    # Equal vectors ask once. Ids with several vectors ask for themselves, as their other vectors must
+    # not take the places of neighbours.
+    rows = ids.filter(is_query(F.col("vec_id")))
+    several = rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("vec_id", F.col("vec_id").alias("own"))
+    asked = scratch(rows.join(several, "vec_id", "left").select("h", "g", "vec_id", "own"), "ann-asked")
+    names = scratch(asked.select("h", "g", "own").distinct(), "ann-names")
+    asking = entries.join(small_side(names), ["h", "g"]).select(F.col("h").alias("qh"), F.col("g").alias("qg"), "own", "vector")
+    routed = asking.mapInArrow(_routed(held, probes, [*QUERY, "vector"]), "qh long, qg long, own long, vector array<double>, parts array<int>").select(*QUERY, "vector", F.explode("parts").alias("part"))
     sizes = scratch(indexed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CANDIDATE_BLOCK).cast("int").alias("blocks")), "ann-sizes")
-    left = indexed.join(small_side(sizes), "part").select("part", F.pmod(F.col("h"), F.col("blocks")).cast("int").alias("cb"), F.lit(0).alias("query"), "vector", "ids", F.lit(None).cast("long").alias("lead"))
-    right = routed.join(small_side(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("cb"), F.lit(1).alias("query"), "vector", F.lit(None).cast("array<long>").alias("ids"), "lead")
+    none = F.lit(None).cast("long")
+    left = indexed.join(small_side(sizes), "part").select("part", F.pmod(F.col("h"), F.col("blocks")).cast("int").alias("cb"), F.lit(0).alias("query"), "vector", "ids", *[none.alias(n) for n in QUERY])
+    right = routed.join(small_side(sizes), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("cb"), F.lit(1).alias("query"), "vector", F.lit(None).cast("array<long>").alias("ids"), *QUERY)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // CANDIDATE_BLOCK))
-    met = left.unionByName(right).repartition(tasks, "part", "cb").sortWithinPartitions("part", "cb", "query").mapInArrow(_compared(k + 1), "lead long, vec_id long, score double")
+    met = left.unionByName(right).repartition(tasks, "part", "cb").sortWithinPartitions("part", "cb", "query").mapInArrow(_compared(k + 1), "qh long, qg long, own long, vec_id long, score double")
 
     order = [F.desc("score"), F.asc("vec_id")]
-    best = met.withColumn("nth", F.row_number().over(W.partitionBy("lead").orderBy(*order))).filter(F.col("nth") <= k + 1)
-    queries = asked.join(leads, ["h", "g"]).select(F.col("vec_id").alias("query_id"), "lead")
-    answers = queries.join(best.select("lead", "vec_id", "score"), "lead").filter("query_id <> vec_id")
-    ranked = answers.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order)))
+    best = met.withColumn("nth", F.row_number().over(W.partitionBy(*QUERY).orderBy(*order))).filter(F.col("nth") <= k + 1)
+    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("h").alias("h_q"), F.col("g").alias("g_q"), F.col("own").alias("own_q"))
+    same = (F.col("qh") == F.col("h_q")) & (F.col("qg") == F.col("g_q")) & F.col("own").eqNullSafe(F.col("own_q"))
+    answers = queries.join(best.select(*QUERY, "vec_id", "score"), same).filter("query_id <> vec_id")
+    ranked = answers.withColumn("rank", F.row_number().over(W.partitionBy("query_id", "h_q", "g_q").orderBy(*order)))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from math import log2
@@ -40,11 +41,9 @@ FEW_OWNERS, FEW_REPOSITORIES = 2, 20
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_FURTHER = (
-    ("key_block", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]*PRIVATE KEY-----"), 0),
-    ("bearer", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII), 0),
-    ("prefixed", re.compile(r"(?<![A-Za-z0-9])(?:ghp_|gho_|sk-|sk_live_|rk_live_|xox[bp]-|glpat-)[A-Za-z0-9_-]{16,}", re.ASCII), 0),
-)
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}-----END [A-Z ]*PRIVATE KEY-----")
+_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:ghp_|gho_|sk-|sk_live_|rk_live_|xox[bp]-|glpat-)[A-Za-z0-9_-]{16,}", re.ASCII)
+_RUN = re.compile(r"[A-Za-z0-9_-]*", re.ASCII)
 _HINTS = ("-----BEGIN", "eyJ", "ghp_", "gho_", "sk-", "sk_live_", "rk_live_", "xox", "glpat-")
 _SPAN = pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("value", pa.string())])
 _SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.string()), ("owner", pa.string()), ("base", pa.list_(_SPAN)), ("more", pa.list_(_SPAN))])
@@ -65,16 +64,46 @@ def entropy(value: str) -> float:
     return -sum(n / len(value) * log2(n / len(value)) for n in Counter(value).values())
 
 
+def bearer_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of `eyJ` and two more runs behind dots, each of eight characters or more. A run is looked
+    at from its first `eyJ` only, as later ones have less before the dot, so that each character is read
+    a few times at most, however long the run."""
+    at = text.find("eyJ")
+    while at >= 0:
+        stops = [_RUN.match(text, at).end()]
+        for _ in range(2):
+            if text[stops[-1] : stops[-1] + 1] == ".":
+                stops.append(_RUN.match(text, stops[-1] + 1).end())
+        whole = len(stops) == 3 and stops[0] - at >= 11 and all(b - a > 8 for a, b in zip(stops, stops[1:], strict=False))
+        if whole:
+            yield at, stops[-1]
+        at = text.find("eyJ", stops[-1] if whole else stops[0])
+
+
+def merged(spans: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans, ordered by start, cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, b, _ in spans:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def further_spans(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Candidates of the further kinds that overlap no base span."""
     if not any(h in text for h in _HINTS):
         return []
+    starts, ends = merged(taken)
     found = []
-    for kind, pattern, group in _FURTHER:
-        for m in pattern.finditer(text):
-            a, b = m.span(group)
-            if entropy(m[group]) >= 3 and not any(a < end and start < b for start, _, end, _ in taken):
-                found.append((a, KINDS.index(kind), b, m[group]))
+    for kind, spans in ((3, (m.span() for m in _KEY_BLOCK.finditer(text))), (4, bearer_spans(text)), (5, (m.span() for m in _PREFIXED.finditer(text)))):
+        for a, b in spans:
+            before = bisect_left(starts, b) - 1  # the last stretch that starts before the span ends
+            if (before < 0 or ends[before] <= a) and entropy(text[a:b]) >= 3:
+                found.append((a, kind, b, text[a:b]))
     return sorted(found)
 
 

@@ -33,7 +33,7 @@ SAMPLE_ROWS, SAMPLE_CHARS = 5000, 24_000_000
 DIMENSIONS, BEGINNINGS, EPOCHS, RATE, DECAY = 1 << 18, (4, 5, 6), 120, 0.1, 0.3
 #: What a feature must show to weigh: rows that have it, and standard deviations above chance.
 MIN_ROWS, MIN_SIGMA = 3, 3.5
-_SENTENCE = re.compile(r"[^.!?\n]*[^.!?\s][^.!?\n]*")
+_SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _EPS = 1e-12
 
@@ -45,8 +45,8 @@ def features(word: str) -> list[int]:
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
-    """Spans of sentences, in code points."""
-    return [m.span() for m in _SENTENCE.finditer(text or "")]
+    """Spans of sentences, in code points: what lies between marks and is not blank."""
+    return [m.span() for m in _SENTENCE.finditer(text or "") if not m[0].isspace()]
 
 
 def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float]:
@@ -141,9 +141,9 @@ def scorer_of(model: tuple[np.ndarray, float]) -> Scorer:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, most_chars: int = SAMPLE_CHARS) -> tuple[np.ndarray, float]:
-    """Fits on at most `rows` labelled ids that are not held out, the first by a hash of the id, for
-    as long as their texts have at most `most_chars` characters together. The ids are broadcast, and
-    one text of each comes to the driver."""
+    """Fits on at most `rows` labelled ids that are not held out, the first by a hash of the id, whose
+    texts have at most `most_chars` characters together; a text that does not fit into what is left is
+    passed over. The ids are broadcast, and one text of each comes to the driver."""
     key = F.col(id_col).cast("long")
     marked = labels.select(key.alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id IS NOT NULL AND _label IN (0, 1)").filter(bucket_of(F.col("_id")) != 0)
     sample = marked.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)

@@ -2,11 +2,13 @@
 
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from helixframe.llm import language, queries, toxicity
 from helixframe.llm._common import bounded_sample
@@ -160,3 +162,27 @@ def test_language_held_out(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = [r for r in queries.op7_language(spark, folder).collect() if r.held_out]
     assert all(held_out(r.doc_id) for r in rows) and np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) > 0.97
+
+
+def test_a_text_that_does_not_fit_is_passed_over(spark):
+    rows = spark.createDataFrame([(i, "x" * (100_000 if i % 7 == 0 else 10), i % 2) for i in range(50)], "_id long, _text string, _label int")
+    found = bounded_sample(rows, 50_000)
+    assert len(found) == 42 and all(len(text) == 10 for text, _ in found)
+
+
+def test_one_long_text_does_not_empty_the_training(spark, documents):
+    long = spark.range(10**6, 2 * 10**6).filter("crc32(cast(id AS string)) % 5 <> 0").orderBy(F.xxhash64("id")).first().id  # comes first
+    docs = documents.unionByName(documents.limit(1).selectExpr(f"cast({long} AS long) AS doc_id", "repeat('lorem ipsum ', 100000) AS text", "lang", "source", "cast(1 AS long) AS n_chars"), allowMissingColumns=True)
+    model = language.train(docs, PIECES, most_chars=300_000)
+    assert len(model.languages) == 4
+
+
+@pytest.mark.parametrize("part", [" ", ".", " .", "\n", "a ", "\t\x0b", "a.", "\x85", "!?"])
+def test_sentences_in_linear_time(part):
+    text = part * (3_000_000 // len(part))
+    began = time.perf_counter()
+    found = toxicity.sentences(text)
+    assert time.perf_counter() - began < 3
+    short = part * 40
+    assert toxicity.sentences(short) == [m.span() for m in re.finditer(r"[^.!?\n]*[^.!?\s][^.!?\n]*", short)]
+    assert len(found) == (0 if not re.search(r"[^.!?\s]", text) else text.count(".") or 1)

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -79,3 +80,23 @@ def test_odd_rows(which, request):
     assert masked.columns == docs.columns
     before, after = (sorted(map(str, (r.doc_id for r in f.collect()))) for f in (docs, masked))
     assert before == after
+
+
+def test_long_runs_take_linear_time():
+    old = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", re.ASCII)
+    for text in ("eyJ" * 5, "eyJabcdefgh.abcdefgh.abcdefgh.abcdefghi", "eyJa.eyJabcdefghi.abcdefgh.12345678 eyJabcdefgh.eyJabcdefgh.eyJabcdefgh.x", "xeyJabcdefgh.1234567.eyJabcdefgh.12345678.12345678"):
+        assert list(secrets.bearer_spans(text)) == [m.span() for m in old.finditer(text)]
+    began = time.perf_counter()
+    for part in ("eyJ", "eyJ.", "eyJabcdefgh.", "a", "=", " ", ".", "sk-", "-----BEGIN ", "password ", "AKIA", "Ab0+/"):
+        text = part * (5_000_000 // len(part))
+        base = secrets.base_spans(text)
+        secrets.further_spans(text, base)
+    assert time.perf_counter() - began < 30
+
+
+def test_many_spans_are_told_apart_once():
+    text = " ".join(f"token=abcdefgh{i:05d} ghp_q1w2e3r4t5y6u7i8{i:05d}" for i in range(40_000))
+    base = secrets.base_spans(text)
+    began = time.perf_counter()
+    found = secrets.further_spans(text, base)
+    assert len(base) == 40_000 and len(found) == 40_000 and time.perf_counter() - began < 5
