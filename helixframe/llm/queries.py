@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, exact_dedup, language, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter
+from helixframe.llm import bpe, exact_dedup, language, merkle, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter
 from helixframe.llm._common import bucket_of
 
 SHARDS = 40
@@ -73,6 +73,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: Fields of a leaf, in the order of the manifest.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def manifest_digest(docs: DataFrame) -> DataFrame:
+    """The manifest of documents whose texts were lower-cased where 3 divides the crc32 of the id."""
+    fields = [F.translate("`text`", _UPPER, _LOWER) if f == "text" else F.col(f"`{f}`") for f in LEAF_FIELDS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_of(*fields))
+    proved = merkle.manifest(docs, LEAF_FIELDS, "lang", "doc_id", tampered)
+    return proved.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +97,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, pipeline)
+    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, op11_merkle, pipeline)
     return {f.__name__: f for f in own}
 
 
