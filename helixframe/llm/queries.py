@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, exact_dedup, language, merkle, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter
+from helixframe.llm import bpe, exact_dedup, language, line_dedup, merkle, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter
 from helixframe.llm._common import bucket_of
 
 SHARDS = 40
@@ -90,6 +90,17 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"))
 
 
+def line_digest(docs: DataFrame, **settings) -> DataFrame:
+    found = line_dedup.judged(docs, **settings)
+    text, gone = F.coalesce("text", F.lit("")), F.col("gone")
+    count = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    return found.select("doc_id", count.cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"), F.sha2(line_dedup.kept_text(text, gone), 256).alias("kept_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,7 +108,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, op11_merkle, pipeline)
+    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, op11_merkle, op13_line_dedup, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -128,6 +139,57 @@ def _url_sql(splits: int = 4) -> str:
     return f"WITH {', '.join(parts)}, ends AS ({ends}) SELECT page_id, r.host, r.path, rule, coalesce(says, CASE WHEN purity >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, coalesce(node || CASE WHEN pos < len(r.shapes) THEN '/{{rest}}' ELSE '' END, '/{{rest}}') AS template FROM ruled r LEFT JOIN ends e ON e.host = r.host AND e.shapes = r.shapes"
 
 
+def _merkle_sql(levels: int = 7, tops: int = 3) -> str:
+    """The manifest in SQL, for trees of at most 8^levels leaves and 8^tops trees."""
+    encoded = lambda f: f"coalesce(octet_length(encode(CAST({f} AS VARCHAR)))::VARCHAR || ':' || CAST({f} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(encoded(text if f == "text" else f) for f in LEAF_FIELDS) + ")"
+    step = "list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, z: xor(b >> 1, (b & 1) * 3988292384))"
+    crc = f"xor(list_reduce([4294967295] || [ord(x)::BIGINT FOR x IN string_split(CAST(doc_id AS VARCHAR), '')], lambda c, x: {step}), 4294967295)"
+    parts = [
+        f"""d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {leaf('text')} END AS now FROM documents)""",
+        "t0 AS (SELECT lang, leaf AS x, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d)",
+        "own AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i0 FROM d)",
+    ]
+
+    def climb(name: str, first: str, many: int, by: str) -> None:
+        for k in range(many):
+            here = first if k == 0 else f"{name}{k}"
+            again = f"count(*) OVER (PARTITION BY {by}) > 1" if by else "count(*) OVER () > 1"
+            group = f"{by + ', ' if by else ''}i // 8"
+            parts.append(f"{name}s{k} AS (SELECT *, {again} AS more FROM {here})")
+            parts.append(f"{name}r{k} AS (SELECT {by + ', ' if by else ''}i // 8 AS r, list(x ORDER BY i) AS xs, any_value(more) AS more FROM {name}s{k} GROUP BY {group})")
+            parts.append(f"{name}{k + 1} AS (SELECT {by + ', ' if by else ''}CASE WHEN more THEN sha256(array_to_string(xs, '')) ELSE xs[1] END AS x, r AS i FROM {name}r{k})")
+
+    def ways(source: str, name: str, many: int, by: str) -> str:
+        """source with the siblings on the way up, and what its present digest folds to."""
+        for k in range(many):
+            on = f"a.{by} IS NOT DISTINCT FROM r.{by} AND " if by else ""
+            at = f"a.i0 // {8**k}"
+            siblings = f"array_to_string(list_filter(xs, lambda x, n: n <> {at} % 8 + 1), '')"
+            folded = f"sha256(array_to_string(xs[: {at} % 8], '') || a.now || array_to_string(xs[{at} % 8 + 2 :], ''))"
+            parts.append(f"{source}{k} AS (SELECT a.* REPLACE (CASE WHEN r.more THEN a.way || {siblings} ELSE a.way END AS way, CASE WHEN r.more THEN {folded} ELSE a.now END AS now) FROM {source if k == 0 else f'{source}{k - 1}'} a JOIN {name}r{k} r ON {on}r.r = a.i0 // {8 ** (k + 1)})")
+        return f"{source}{many - 1}"
+
+    climb("t", "t0", levels, "lang")
+    parts.append(f"u0 AS (SELECT x, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t{levels})")
+    climb("u", "u0", tops, "")
+    parts.append("p AS (SELECT doc_id, lang, leaf, now, i0, '' AS way FROM own)")
+    low = ways("p", "t", levels, "lang")
+    parts.append(f"q AS (SELECT a.doc_id, a.leaf, a.now, a.way, u.x AS subroot, u.i AS i0 FROM {low} a JOIN u0 u ON a.lang IS NOT DISTINCT FROM u.lang)")
+    high = ways("q", "u", tops, "")
+    return f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, root, sha256(way) AS proof_sha256, now AS folded_root, now = root AS verified FROM {high} CROSS JOIN (SELECT x AS root FROM u{tops})"
+
+
+def _line_sql() -> str:
+    key = f"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}')"
+    return f"""
+            WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+            l AS (SELECT doc_id, pos, line, {key} AS key FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d)),
+            k AS (SELECT key, count(DISTINCT doc_id) AS docs, max(doc_id) AS holder FROM l WHERE length(key) >= {line_dedup.LEAST_CHARS} GROUP BY key),
+            m AS (SELECT l.*, coalesce(docs >= {line_dedup.LEAST_DOCS} AND holder <> doc_id, false) AS gone FROM l LEFT JOIN k USING (key))
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where it can express the contract."""
     return {
@@ -136,4 +198,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
             FROM d WINDOW w AS (PARTITION BY t)""",
         "op8_url_filter": _url_sql(),
+        "op11_merkle": _merkle_sql(),
+        "op13_line_dedup": _line_sql(),
     }
