@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, exact_dedup, language, line_dedup, merkle, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter
+from helixframe.llm import bpe, exact_dedup, language, line_dedup, merkle, neighbours, packing, secrets, sharding, simhash, toxicity, url_filter, whitening
 from helixframe.llm._common import bucket_of
 
 SHARDS = 40
@@ -90,6 +90,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def line_digest(docs: DataFrame, **settings) -> DataFrame:
     found = line_dedup.judged(docs, **settings)
     text, gone = F.coalesce("text", F.lit("")), F.col("gone")
@@ -108,7 +112,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, op11_merkle, op13_line_dedup, pipeline)
+    own = (op1_packing, op2_secret_scans, op3_exact_dedup, op4_bpe, op5_sharding, op6_toxicity, op7_language, op8_url_filter, op9_neighbours, op10_simhash, op11_merkle, op12_whitening, op13_line_dedup, pipeline)
     return {f.__name__: f for f in own}
 
 

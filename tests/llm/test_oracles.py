@@ -22,7 +22,7 @@ def test_contract_columns(spark, small):
         "op1_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset", "op2_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans", "op3_exact_dedup": "doc_id keep_id group_size kept text_sha256",
         "op4_bpe": "doc_id n_tokens ids_sha256 decoded_sha256", "op5_sharding": "doc_id size text_crc32 law shard slot grown_shard", "op6_toxicity": "doc_id held_out score predicted", "op7_language": "doc_id held_out lang_pred score",
         "op8_url_filter": "page_id host path rule verdict", "op9_neighbours": "query_id rank vec_id score", "op10_simhash": "doc_id fingerprint component_id",
-        "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified", "op13_line_dedup": "doc_id n_lines n_dropped kept_sha256",
+        "op11_merkle": "doc_id leaf subroot root proof_sha256 folded_root verified", "op12_whitening": "vec_id component n deviation whitened explained identity_error", "op13_line_dedup": "doc_id n_lines n_dropped kept_sha256",
     }
     for name, columns in expected.items():
         assert queries.queries()[name](spark, small).columns[: len(columns.split())] == columns.split()
