@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from helixframe import session, sinks
 from helixframe.functions.text import letters
-from helixframe.operators import composition, hits, workqueue
+from helixframe.operators import composition, distance, hits, workqueue
 from helixframe.sources import remote, tables, text
 from helixframe.storage import scratch
 
@@ -125,6 +125,15 @@ def download(spark: SparkSession, source: str, url: str, out: str, kind: str = "
     return got.select("accession", F.col("content").isNotNull().alias("written"), "error").orderBy("accession")
 
 
+def search(spark: SparkSession, queries: str, targets: str | None, out: str, best: int | None = None, evalue: float = 10.0) -> DataFrame:
+    """Writes the hit table of FASTA files against others, or against themselves, without a header; the
+    number of queries and hits."""
+    asked = text.last_of_each(text.fasta(spark, queries))
+    found = scratch(distance.search(asked, targets and text.last_of_each(text.fasta(spark, targets)), best, evalue=evalue), "hits")
+    sinks.write_table(found.orderBy("query", "evalue", "target"), out, sep="\t", header=False)
+    return found.agg(F.countDistinct("query").alias("queries"), F.count(F.lit(1)).alias("hits"))
+
+
 def validate(results: Results) -> dict[str, DataFrame]:
     seqs = results.structures()
     return {"pairs": composition.validate_pairs(results.residues(), seqs), "dominant": composition.dominant_letter(seqs), "bad": composition.bad_letters(seqs)}
@@ -173,6 +182,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--kind", choices=("package", "fasta", "structure"), default="package")
     p.add_argument("--with-key", action="store_true")
     p.add_argument("--output-dir", required=True)
+    p = sub.add_parser("search")
+    p.add_argument("queries", help="FASTA files")
+    p.add_argument("--targets", help="FASTA files; left out: the queries against themselves")
+    p.add_argument("--best", type=int, help="targets of a query that are aligned at most")
+    p.add_argument("--evalue", type=float, default=10.0)
+    p.add_argument("--output-dir", required=True)
     p = sub.add_parser("rechunk")
     p.add_argument("chunks")
     p.add_argument("--chunk-size", type=int, default=20)
@@ -207,6 +222,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         shown = fetch_accessions(spark, a.url, a.limit, a.output_dir)
     elif a.command == "download":
         shown = download(spark, a.file, a.url, a.output_dir, a.kind, a.with_key)
+    elif a.command == "search":
+        shown = search(spark, a.queries, a.targets, a.output_dir, a.best, a.evalue)
     elif a.command == "remove-done":
         shown = remove_done(spark, a.chunks, a.done, a.output_dir)
     else:

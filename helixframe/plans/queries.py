@@ -120,7 +120,7 @@ def jukes_cantor(s, d):
 
 
 def search_all_vs_all(s, d):
-    return _rounded(distance.search_all(adapters.family(s, d)), "fident", "evalue", "bits")
+    return _rounded(distance.search(adapters.family(s, d)), "fident", "evalue", "bits")
 
 
 def _assigned(s, d):

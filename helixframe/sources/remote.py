@@ -74,16 +74,18 @@ def page_fetch(url: str, timeout: float = 60.0) -> Callable[[str | None], bytes]
     return fetch
 
 
-def _paced(requests, fetch: Fetch, pause: float) -> Iterator[tuple[bytes | None, str | None]]:
-    """Bodies and errors of calls that keep a pause between them; an error ends its call alone."""
+def _paced(requests, fetch: Fetch, pause: float, decode: Callable) -> Iterator[tuple[object | None, str | None]]:
+    """Decoded bodies and errors of calls that keep a pause between them; an error of a call, or of
+    decoding what it brought, ends that call alone."""
     last = float("-inf")
     for request in requests:
         time.sleep(max(0.0, last + pause - time.monotonic()))
         last = time.monotonic()
         try:
-            yield fetch(request), None
+            got = decode(fetch(request)), None
         except Exception as error:  # noqa: BLE001  whatever a service does, the other calls go on
-            yield None, f"{type(error).__name__}: {error}"
+            got = None, f"{type(error).__name__}: {error}"
+        yield got
 
 
 def download(wanted: DataFrame, existing: DataFrame, fetch: Fetch, with_key: bool = False, lanes: int = 1, decode: Callable[[bytes | None], str | None] = package_entry) -> DataFrame:
@@ -93,7 +95,7 @@ def download(wanted: DataFrame, existing: DataFrame, fetch: Fetch, with_key: boo
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            got = [(decode(body), error) for body, error in _paced(frame["accession"], fetch, pause)]
+            got = list(_paced(frame["accession"], fetch, pause, decode))
             yield pd.DataFrame({"accession": frame["accession"], "content": [c for c, _ in got], "error": [e for _, e in got]}, dtype=object)
 
     missing = wanted.select("accession").distinct().join(existing.select("accession"), "accession", "left_anti")
@@ -109,9 +111,8 @@ def bulk_download(batches: DataFrame, fetch: Fetch, suffix: str = "protein.faa",
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for chunk, (body, error) in zip(frame["chunk"], _paced(frame["accessions"], fetch, pause), strict=True):
-                found = package_entries(body, suffix)
-                rows += [(chunk, name, text, None) for name, text in found] or [(chunk, None, None, error or "no entry")]
+            for chunk, (found, error) in zip(frame["chunk"], _paced(frame["accessions"], fetch, pause, lambda body: package_entries(body, suffix)), strict=True):
+                rows += [(chunk, name, text, None) for name, text in found or []] or [(chunk, None, None, error or "no entry")]
             yield pd.DataFrame(rows, columns=["chunk", "accession", "content", "error"], dtype=object)
 
     return batches.select("chunk", "accessions").repartition(1).mapInPandas(run, "chunk long, accession string, content string, error string")
@@ -122,7 +123,7 @@ def local_packages(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"path": frame["path"], "content": [package_entry(c) for c in frame["content"]]})
+            yield pd.DataFrame({"path": frame["path"], "content": [content for content, _ in _paced(frame["content"], lambda c: c, 0.0, package_entry)]})
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content").mapInPandas(run, "path string, content string")
 

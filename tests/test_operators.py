@@ -105,7 +105,7 @@ def test_search_finds_relatives(spark):
     base = "".join(rnd.choice("ACDEFGHIKL") for _ in range(120))
     other = "".join(rnd.choice("MNPQRSTVWY") for _ in range(120))
     frame = seqs(spark, base, base[:60] + base[64:], other)
-    rows = {(r.query, r.target): r for r in distance.search_all(frame).collect()}
+    rows = {(r.query, r.target): r for r in distance.search(frame).collect()}
     assert set(rows) == {("s0", "s0"), ("s1", "s1"), ("s2", "s2"), ("s0", "s1"), ("s1", "s0")}
     hit = rows["s0", "s1"]
     assert hit.gapopen == 1 and hit.alnlen == 120 and hit.fident == pytest.approx(116 / 120) and hit.evalue < 1e-20
@@ -328,6 +328,15 @@ def test_remote_sources(spark, tmp_path):
     got = remote.download(wanted, spark.createDataFrame([("C",)], "accession string"), lambda a: content if a == "A" else None, with_key=True)
     assert sorted((r.accession, r.content, r.error) for r in got.collect()) == [("A", ">p\nMK\n", None), ("B", None, None)]
 
+    bad = io.BytesIO()
+    with zipfile.ZipFile(bad, "w") as z:
+        z.writestr("x/protein.faa", b"\xff\xfe")
+    some = remote.download(wanted.limit(2), wanted.limit(0), lambda a: bad.getvalue() if a == "A" else content, with_key=True).collect()
+    assert {r.accession: (r.content, (r.error or "")[:18]) for r in some} == {"A": (None, "UnicodeDecodeError"), "B": (">p\nMK\n", "")}
+    batches = spark.createDataFrame([(0, "A"), (1, "B")], "chunk long, accessions string")
+    many = remote.bulk_download(batches, lambda a: bad.getvalue() if a == "A" else content).collect()
+    assert sorted((r.chunk, r.content, (r.error or "")[:18]) for r in many) == [(0, None, "UnicodeDecodeError"), (1, ">p\nMK\n", "")]
+
     class Pages(remote.ReportPages):
         fetch = staticmethod(lambda token: {"reports": [{"accession": f"{token}-{i}"} for i in range(3)] + [{}], "next_page_token": {None: "t", "t": "u", "u": None}[token]})
 
