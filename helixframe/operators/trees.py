@@ -9,9 +9,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from helixframe.kernels import linkage, progressive, trees
+from helixframe.kernels import linkage, trees
+from helixframe.operators import progressive
 from helixframe.schemas import ALPHABET, KMER
 
 _STATES = {c: i for i, c in enumerate(ALPHABET + "-")}
@@ -72,15 +74,15 @@ def newick(seqs: DataFrame, method: str = "nj") -> DataFrame:
     return _per_family(seqs, run, "family string, newick string")
 
 
-def align_family(seqs: DataFrame) -> DataFrame:
-    """(family, seq_id, row, aligned): the progressive alignment along the average-linkage tree."""
+def in_order(seqs: DataFrame) -> DataFrame:
+    """(family, seq_id, row, seq): the sequences of each family counted from 0, by position and id."""
+    nth = F.row_number().over(W.partitionBy("family").orderBy("pos", "seq_id")) - 1
+    return seqs.select("family", "seq_id", nth.cast("long").alias("row"), "seq")
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, rows = _ordered(frame)
-        aligned = progressive.progressive(rows, linkage.linkage(profile_distances(rows)))
-        return pd.DataFrame({"family": frame["family"].iloc[0], "seq_id": ids, "row": range(len(ids)), "aligned": aligned})
 
-    return _per_family(seqs, run, "family string, seq_id string, row long, aligned string")
+def align_family(seqs: DataFrame) -> DataFrame:
+    """(family, seq_id, row, aligned): the progressive alignment along the average-linkage tree."""
+    return progressive.align_families(in_order(seqs), merge_table(seqs))
 
 
 def padded(rows: list[str]) -> list[str]:
