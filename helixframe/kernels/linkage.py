@@ -5,38 +5,84 @@ cluster n+k. Ties go to the pair that comes first in the order of active cluster
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 
-def linkage(distances: np.ndarray, method: str = "average") -> np.ndarray:
-    """Merges for 'average', 'weighted' or 'ward' (on plain distances), by Lance and Williams."""
-    d = np.array(distances, float)
-    n = len(d)
-    d = d**2 if method == "ward" else d
-    np.fill_diagonal(d, np.inf)
-    names, sizes, out = list(range(n)), np.ones(n), []
-    for step in range(n - 1):
+def updated(method: str, one: np.ndarray, other: np.ndarray, a: float, b: float, sizes: np.ndarray, gap: float | np.ndarray) -> np.ndarray:
+    """Distances to the union of two clusters of a and b members, from those to either, by Lance and
+    Williams; sizes are those of the clusters on the other end, gap lies between the two. Ward's are
+    squared distances."""
+    if method == "average":
+        return (a * one + b * other) / (a + b)
+    if method == "weighted":
+        return (one + other) / 2
+    if method == "ward":
+        return ((a + sizes) * one + (b + sizes) * other - sizes * gap) / (a + b + sizes)
+    raise ValueError(method)
+
+
+def agglomerated(d: np.ndarray, sizes: np.ndarray, names: list[int], method: str) -> list[tuple[int, int, float, int]]:
+    """(left, right, distance, size) of all merges of clusters in this order, new ones numbered from one
+    more than the largest name and put at the end. d is used up; its diagonal must be infinite."""
+    out, number = [], max(names, default=-1) + 1
+    names = list(names)
+    for step in range(len(names) - 1):
         i, j = divmod(int(np.argmin(d)), len(d))
         i, j = min(i, j), max(i, j)
         gap = d[i, j]
         a, b = sizes[i], sizes[j]
-        if method == "average":
-            new = (a * d[i] + b * d[j]) / (a + b)
-        elif method == "weighted":
-            new = (d[i] + d[j]) / 2
-        elif method == "ward":
-            new = ((a + sizes) * d[i] + (b + sizes) * d[j] - sizes * gap) / (a + b + sizes)
-        else:
-            raise ValueError(method)
+        new = updated(method, d[i], d[j], a, b, sizes, gap)
         left, right = sorted((names[i], names[j]))
-        out.append((left, right, float(np.sqrt(max(gap, 0)) if method == "ward" else gap), int(a + b)))
+        out.append((left, right, float(gap), int(a + b)))
         keep = np.array([k for k in range(len(d)) if k not in (i, j)], int)
         shrunk = np.full((len(keep) + 1, len(keep) + 1), np.inf)
         shrunk[:-1, :-1] = d[np.ix_(keep, keep)]
         shrunk[-1, :-1] = shrunk[:-1, -1] = new[keep]
         d, sizes = shrunk, np.append(sizes[keep], a + b)
-        names = [names[k] for k in keep] + [n + step]
-    return np.array(out, float).reshape(-1, 4)
+        names = [names[k] for k in keep] + [number + step]
+    return out
+
+
+def linkage(distances: np.ndarray, method: str = "average") -> np.ndarray:
+    """Merges for 'average', 'weighted' or 'ward' (on plain distances), by Lance and Williams."""
+    d = np.array(distances, float)
+    d = d**2 if method == "ward" else d
+    np.fill_diagonal(d, np.inf)
+    out = np.array(agglomerated(d, np.ones(len(d)), list(range(len(d))), method), float).reshape(-1, 4)
+    if method == "ward":
+        out[:, 2] = np.sqrt(np.maximum(out[:, 2], 0))
+    return out
+
+
+def numbered(merges: list[tuple[int, int, float, int]], n: int) -> tuple[list[tuple[int, int, float, int]], dict[int, int]]:
+    """Merges of a tree in the order in which the nearest pair goes first (of equally near ones, that of
+    the lower numbers), and the number of each node. Merges name nodes by anything that leaves 0 to
+    n - 1 don't; merge k makes the node n + k of the list that was given."""
+    over: dict[int, int] = {}
+    for k, (left, right, _, _) in enumerate(merges):
+        over[left] = over[right] = k
+    number = {i: i for i in range(n)}
+    heap: list[tuple[float, int, int, int]] = []
+
+    def ready(k: int) -> None:
+        left, right, distance, _ = merges[k]
+        if left in number and right in number:
+            low, high = sorted((number[left], number[right]))
+            heapq.heappush(heap, (distance, low, high, k))
+
+    for k, (left, right, _, _) in enumerate(merges):
+        if left < n and right < n:
+            ready(k)
+    out = []
+    while heap:
+        distance, low, high, k = heapq.heappop(heap)
+        number[n + k] = n + len(out)
+        out.append((low, high, distance, merges[k][3]))
+        if (above := over.get(n + k)) is not None:
+            ready(above)
+    return out, number
 
 
 def members(merges: np.ndarray, n: int) -> list[frozenset[int]]:

@@ -43,7 +43,7 @@ def _filled(frame: pd.DataFrame, width: int, means: np.ndarray) -> Iterator[np.n
 
 
 def _summed(width: int, columns: int):
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(b, float) for b in frame["block"])
         return pd.DataFrame({"part": [key[0]], "range": [key[1]], "block": [total.tobytes()]})
 
