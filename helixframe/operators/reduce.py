@@ -9,30 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.kernels import linkage
+from helixframe.operators import agglomerate
 from helixframe.schemas import LAST_MERGES
 
-
-def _eigen(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and shares of variance from the inner products of rows, the smaller matrix here."""
-    x = x - x.mean(axis=0)
-    values, vectors = np.linalg.eigh(x @ x.T)
-    values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
-    keep = max(1, min(most, len(x), int((values > 1e-12).sum())))
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), range(vectors.shape[1])])
-    return (vectors * signs * np.sqrt(values))[:, :keep], (values / max(values.sum(), 1e-300))[:keep]
-
-
-def components(features: DataFrame, ids: list[str], most: int = 50) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """(seq_id, pc1, ...) and (pc, share) of sparse rows (seq_id, feature, freq). ids is a sample
-    of at most a few thousand rows and features number 8,000: both bound what comes to the driver."""
-    sparse = features.toPandas()
-    x = np.zeros((len(ids), 1 + int(sparse["feature"].max()) if len(sparse) else 1))
-    at = {s: i for i, s in enumerate(ids)}
-    x[sparse["seq_id"].map(at), sparse["feature"]] = sparse["freq"]
-    scores, shares = _eigen(x, most)
-    frame = pd.DataFrame(scores, columns=[f"pc{i + 1}" for i in range(scores.shape[1])])
-    frame.insert(0, "seq_id", ids)
-    return frame, pd.DataFrame({"pc": range(1, len(shares) + 1), "share": shares})
+#: Rows of a dendrogram at most: their distances are as many squared.
+MOST_ROWS = 20_000
 
 
 def scree(shares: DataFrame) -> DataFrame:
@@ -40,24 +21,46 @@ def scree(shares: DataFrame) -> DataFrame:
     return shares.withColumn("cumulative", F.sum("share").over(W.orderBy("pc").rowsBetween(W.unboundedPreceding, 0)))
 
 
-def _merges(scores: pd.DataFrame, method: str) -> np.ndarray:
-    x = scores.drop(columns="seq_id").to_numpy(float)
-    squares = (x**2).sum(axis=1)
-    return linkage.linkage(np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0)), method)
+def distance_rows(scores: DataFrame) -> tuple[list[str], DataFrame]:
+    """The ids in order, and (node, row): the distances of each row of scores (seq_id, scores) to all.
+    The scores of all rows are sent to the tasks, `MOST_ROWS` of some dozen numbers at most."""
+    held = scores.limit(MOST_ROWS + 1).collect()
+    if len(held) > MOST_ROWS:
+        raise ValueError(f"a dendrogram of more than {MOST_ROWS} rows is no sample")
+    held.sort(key=lambda r: r.seq_id)
+    ids = [r.seq_id for r in held]
+    sent = scores.sparkSession.sparkContext.broadcast(({i: k for k, i in enumerate(ids)}, np.array([r.scores for r in held], float).reshape(len(held), -1)))
+
+    def run(frames):
+        place, x = sent.value
+        squares = (x**2).sum(axis=1)
+        for frame in frames:
+            at = [place[i] for i in frame["seq_id"]]
+            rows = np.sqrt(np.maximum(squares[at, None] + squares[None, :] - 2 * x[at] @ x.T, 0))
+            yield pd.DataFrame({"node": at, "row": list(rows)})
+
+    return ids, scores.select("seq_id").mapInPandas(run, "node long, row array<double>")
+
+
+def clustered(scores: DataFrame, method: str = "ward") -> tuple[list[str], np.ndarray]:
+    """The ids in order and the merges of a clustering of component scores."""
+    ids, rows = distance_rows(scores)
+    return ids, agglomerate.agglomerate(rows, method)
 
 
-def ward_clusters(scores: pd.DataFrame, clusters: int = 8, method: str = "ward") -> pd.DataFrame:
+def clusters(scores: DataFrame, many: int = 8, method: str = "ward") -> DataFrame:
     """(seq_id, cluster) of the component scores, by Ward's or by average linkage."""
-    return pd.DataFrame({"seq_id": scores["seq_id"], "cluster": linkage.cut(_merges(scores, method), len(scores), clusters)})
+    ids, merges = clustered(scores, method)
+    return scores.sparkSession.createDataFrame(list(zip(ids, linkage.cut(merges, len(ids), many), strict=True)), "seq_id string, cluster long")
 
 
-def last_merges(scores: pd.DataFrame, method: str = "ward", most: int = LAST_MERGES) -> pd.DataFrame:
+def last_merges(scores: DataFrame, method: str = "ward", most: int = LAST_MERGES) -> DataFrame:
     """(step, left, right, distance, size): the last merges of a clustering of the component scores,
     as a cut dendrogram shows them."""
-    rows = linkage.last_merges(_merges(scores, method), most)
-    out = pd.DataFrame(rows, columns=["left", "right", "distance", "size"])
-    out.insert(0, "step", range(max(0, len(scores) - 1 - len(rows)), max(0, len(scores) - 1)))
-    return out
+    ids, merges = clustered(scores, method)
+    rows = linkage.last_merges(merges, most)
+    first = max(0, len(ids) - 1 - len(rows))
+    return scores.sparkSession.createDataFrame([(first + k, *r) for k, r in enumerate(rows)], "step long, left long, right long, distance double, size long")
 
 
 def cluster_summary(members: DataFrame, seqs: DataFrame, entropies: DataFrame) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe import adapters, sinks, translate
 from helixframe.functions import text
-from helixframe.operators import composition, conservation, distance, hits, kmers, reduce, trees, workqueue
+from helixframe.operators import composition, conservation, distance, hits, kmers, principal, reduce, trees, workqueue
 from helixframe.plans import oracles
 from helixframe.schemas import CLUSTERS, EVALUE_CEILING, EVALUE_FLOOR, SAMPLE
 from helixframe.sources import tables
@@ -223,8 +223,7 @@ def tree_fitch(s, d):
 
 def _reduced(s, d):
     seqs = composition.sample(adapters.sequences(s, d), SAMPLE["reduction"]).filter(F.length("seq") >= 3)
-    ids = sorted(r["seq_id"] for r in seqs.select("seq_id").collect())  # SAMPLE["reduction"] rows at most
-    return seqs, reduce.components(kmers.vectors(seqs), ids)
+    return seqs, principal.components(kmers.vectors(seqs), seqs)
 
 
 def pca_scree(s, d):
@@ -232,22 +231,22 @@ def pca_scree(s, d):
 
 
 def ward_clusters(s, d):
-    return s.createDataFrame(reduce.ward_clusters(_reduced(s, d)[1][0], CLUSTERS))
+    return reduce.clusters(_reduced(s, d)[1][0], CLUSTERS)
 
 
 def average_clusters(s, d):
-    return s.createDataFrame(reduce.ward_clusters(_reduced(s, d)[1][0], CLUSTERS, "average"))
+    return reduce.clusters(_reduced(s, d)[1][0], CLUSTERS, "average")
 
 
 def dendrogram_last_merges(s, d):
     scores = _reduced(s, d)[1][0]
-    frames = [reduce.last_merges(scores, method).assign(method=method) for method in ("ward", "average")]
-    return _rounded(s.createDataFrame(pd.concat(frames)), "distance")
+    ward, average = (reduce.last_merges(scores, method).withColumn("method", F.lit(method)) for method in ("ward", "average"))
+    return _rounded(ward.unionByName(average), "distance")
 
 
 def cluster_summary(s, d):
     seqs, (scores, _) = _reduced(s, d)
-    summary = reduce.cluster_summary(s.createDataFrame(reduce.ward_clusters(scores, CLUSTERS)), seqs, composition.entropy(seqs))
+    summary = reduce.cluster_summary(reduce.clusters(scores, CLUSTERS), seqs, composition.entropy(seqs))
     return _rounded(summary, "mean_len", "std_len", "mean_entropy")
 
 
@@ -256,10 +255,9 @@ def translate_letters(s, d):
 
 
 def tsne_map(s, d):
-    _, (scores, _) = _reduced(s, d)
-    x = scores.drop(columns="seq_id").to_numpy()
-    y = reduce.tsne(x, steps=1000)  # as many as the reference runs
-    return s.createDataFrame(pd.DataFrame({"seq_id": scores["seq_id"], "x": y[:, 0], "y": y[:, 1]}))
+    scores = _reduced(s, d)[1][0].orderBy("seq_id").collect()  # SAMPLE["reduction"] rows at most
+    y = reduce.tsne(np.array([r.scores for r in scores], float).reshape(len(scores), -1), steps=1000)  # as many as the reference runs
+    return s.createDataFrame([(r.seq_id, float(a), float(b)) for r, (a, b) in zip(scores, y, strict=True)], "seq_id string, x double, y double")
 
 
 #: Whole numbers that are 32-bit in Spark's functions and 64-bit in the other engine.

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from helixframe import cli, session, sinks, translate
 from helixframe.functions import text as T
-from helixframe.kernels import align
-from helixframe.operators import composition, conservation, distance, hits, kmers, reduce, trees, workqueue
+from helixframe.kernels import align, linkage
+from helixframe.operators import composition, conservation, distance, hits, kmers, principal, reduce, trees, workqueue
 from helixframe.sources import remote, tables
 from helixframe.sources import text as sources
 from helixframe.streaming import completion
@@ -129,18 +129,23 @@ def test_trees(spark):
 
 
 def test_reduction(spark):
-    features = kmers.vectors(seqs(spark, "ACDEFG", "ACDEFH", "WYWYWY", "YWYWYW"))
+    frame = seqs(spark, "ACDEFG", "ACDEFH", "WYWYWY", "YWYWYW")
+    features = kmers.vectors(frame)
     ids = ["s0", "s1", "s2", "s3"]
-    scores, shares = reduce.components(features, ids, 3)
+    placed, shares = principal.components(features, frame, 3)
     x = np.zeros((4, 8000))
     for r in features.collect():
         x[ids.index(r.seq_id), r.feature] = r.freq
     x -= x.mean(axis=0)
     values = np.linalg.svd(x, compute_uv=False) ** 2
     assert len(shares) == 2 and np.allclose(shares["share"], (values / values.sum())[:2])
-    assert np.allclose(np.abs(scores.drop(columns="seq_id").to_numpy() @ scores.drop(columns="seq_id").to_numpy().T), np.abs(x @ x.T), atol=1e-9)
-    clusters = reduce.ward_clusters(scores, 2)["cluster"].tolist()
+    scores = np.array([r.scores for r in placed.orderBy("seq_id").collect()])
+    assert np.allclose(np.abs(scores @ scores.T), np.abs(x @ x.T), atol=1e-9)
+    clusters = [r.cluster for r in reduce.clusters(placed, 2).orderBy("seq_id").collect()]
     assert clusters[0] == clusters[1] != clusters[2] == clusters[3]
+    last = reduce.last_merges(placed, "average", 2).orderBy("step").collect()
+    want = linkage.linkage(np.linalg.norm(scores[:, None] - scores[None], axis=2))[1:]
+    assert [(r.step, r["left"], r["right"], r["size"]) for r in last] == [(1 + k, a, b, n) for k, (a, b, _, n) in enumerate(want)] and np.allclose([r.distance for r in last], want[:, 2])
     rng = np.random.default_rng(0)
     y = reduce.tsne(np.vstack([rng.normal(0, 0.1, (15, 5)), rng.normal(8, 0.1, (15, 5))]), 5, 300)
     centres = y[:15].mean(axis=0), y[15:].mean(axis=0)
