@@ -32,10 +32,48 @@ def _rows(frame: pd.DataFrame) -> np.ndarray:
     return np.array([np.asarray(r, float) for r in frame["row"]]).reshape(len(frame), -1)
 
 
-def _told(nodes: list[int], rows: np.ndarray, names: list[int]) -> pd.DataFrame:
+def _told(nodes: list[int], rows: np.ndarray, names: np.ndarray) -> pd.DataFrame:
     """Rows with the nearest cluster of each."""
     at = rows.argmin(axis=1)
-    return pd.DataFrame({"node": nodes, "row": list(rows), "nearest": [names[k] for k in at], "distance": rows[np.arange(len(rows)), at]})
+    return pd.DataFrame({"node": nodes, "row": list(rows), "nearest": np.asarray(names)[at], "distance": rows[np.arange(len(rows)), at]})
+
+
+class _Round:
+    """The merges of a round, as places in the rows before and after it."""
+
+    def __init__(self, method: str, names: list[int], after: list[int], pairs: list[tuple[int, int, float]], made: list[int], sizes: dict[int, float]):
+        self.method, self.after, self.first = method, np.array(after), made[0]
+        self.place = {x: k for k, x in enumerate(names)}
+        self.sizes = np.array([sizes[x] for x in names])
+        self.left, self.right = (np.array([self.place[p[side]] for p in pairs]) for side in (0, 1))
+        self.gaps, self.pairs = np.array([p[2] for p in pairs]), pairs
+        new = {c: k for k, c in enumerate(made)}
+        self.kept = [k for k, x in enumerate(after) if x not in new]
+        self.stay = [self.place[after[k]] for k in self.kept]
+        self.at = [k for k, x in enumerate(after) if x in new]
+        self.order = [new[after[k]] for k in self.at]
+        self.own = {after[k]: k for k in self.at}
+
+    def sizes_of(self, nodes) -> np.ndarray:
+        return self.sizes[[self.place[x] for x in nodes]]
+
+    def shrunk(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Rows over the clusters after the round; sizes are those of the rows' own clusters."""
+        out = np.empty((len(rows), len(self.after)))
+        out[:, self.kept] = rows[:, self.stay]
+        a, b = self.left[self.order], self.right[self.order]
+        out[:, self.at] = linkage.updated(self.method, rows[:, a], rows[:, b], self.sizes[a], self.sizes[b], sizes[:, None], self.gaps[self.order])
+        return out
+
+    def joined(self, cluster: int, rows: dict[int, np.ndarray]) -> np.ndarray:
+        """The row of a new cluster from those of its parts."""
+        a, b, gap = self.pairs[cluster - self.first]
+        i, j = self.place[a], self.place[b]
+        one = linkage.updated(self.method, rows[a], rows[b], self.sizes[i], self.sizes[j], self.sizes, gap)
+        one[[i, j]] = np.inf
+        row = self.shrunk(one[None], self.sizes[[i]] + self.sizes[j])[0]
+        row[self.own[cluster]] = np.inf
+        return row
 
 
 def agglomerate(rows: DataFrame, method: str = "average", last: int = LAST) -> np.ndarray:
@@ -50,7 +88,7 @@ def agglomerate(rows: DataFrame, method: str = "average", last: int = LAST) -> n
                 own = _rows(frame)
                 own = own**2 if squared else own
                 own[np.arange(len(frame)), frame["node"].to_numpy()] = np.inf
-                yield _told(frame["node"].tolist(), own, range(own.shape[1]))
+                yield _told(frame["node"].tolist(), own, np.arange(own.shape[1]))
 
     state = scratch(rows.select("node", "row").mapInPandas(begun, _STATE), "linkage-rows")
     n = state.count()
@@ -68,39 +106,17 @@ def agglomerate(rows: DataFrame, method: str = "average", last: int = LAST) -> n
         # The order of clusters is that of a one-at-a-time run, as far as it is known.
         _, number = linkage.numbered(merges, n)
         after = sorted([x for x in names if x not in gone] + made, key=number.__getitem__)
-        told = spark.sparkContext.broadcast((names, after, pairs, made, sizes))
+        told = spark.sparkContext.broadcast(_Round(method, names, after, pairs, made, sizes))
         into = spark.createDataFrame([(x, c) for (a, b, _), c in zip(pairs, made, strict=True) for x in (a, b)], "node long, into long")
 
-        def shrunk(own: np.ndarray, size: np.ndarray) -> np.ndarray:
-            """Rows over the clusters after the round; size is that of each row's cluster."""
-            names, after, pairs, made, sizes = told.value
-            place, out = {x: k for k, x in enumerate(names)}, np.empty((len(own), len(after)))
-            new = {c: p for p, c in zip(pairs, made, strict=True)}
-            for k, x in enumerate(after):
-                if x in new:
-                    a, b, gap = new[x]
-                    out[:, k] = linkage.updated(method, own[:, place[a]], own[:, place[b]], sizes[a], sizes[b], size, gap)
-                else:
-                    out[:, k] = own[:, place[x]]
-            return out
-
         def alone(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, after, _, _, sizes = told.value
             for frame in frames:
                 if len(frame):
-                    yield _told(frame["node"].tolist(), shrunk(_rows(frame), np.array([sizes[x] for x in frame["node"]])), after)
+                    yield _told(frame["node"].tolist(), told.value.shrunk(_rows(frame), told.value.sizes_of(frame["node"])), told.value.after)
 
         def joined(frame: pd.DataFrame) -> pd.DataFrame:
-            names, after, pairs, made, sizes = told.value
             c = int(frame["into"].iloc[0])
-            a, b, gap = pairs[c - made[0]]
-            by = dict(zip(frame["node"], _rows(frame), strict=True))
-            one = linkage.updated(method, by[a], by[b], sizes[a], sizes[b], np.array([sizes[x] for x in names]), gap)
-            for x in (a, b):
-                one[names.index(x)] = np.inf
-            row = shrunk(one[None], np.array([sizes[c]]))
-            row[0, after.index(c)] = np.inf
-            return _told([c], row, after)
+            return _told([c], told.value.joined(c, dict(zip(frame["node"], _rows(frame), strict=True)))[None], told.value.after)
 
         marked = state.join(F.broadcast(into), "node", "left")  # a row for each cluster that is merged
         kept = marked.filter("into IS NULL").select("node", "row").mapInPandas(alone, _STATE)

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.functions.text import conservation, fit_length, letters
+from helixframe.operators import ranges, workqueue
 from helixframe.schemas import ALPHABET, ENTROPY_THRESHOLD, MAX_GAP_FRACTION, MIN_BLOCK_LENGTH, SMOOTHING_WINDOW
 
 TINY = 1e-10
@@ -55,22 +56,21 @@ def column_profile(msa: DataFrame, bg: DataFrame) -> DataFrame:
     return columns.join(sums, "col", "left").select("col", (F.col("gaps") / F.col("rows")).alias("gap_frac"), "h", kl.alias("kl"))
 
 
-def smooth(profile: DataFrame, column: str, window: int = SMOOTHING_WINDOW, shrink: bool = False) -> DataFrame:
+def smooth(profile: DataFrame, column: str, window: int = SMOOTHING_WINDOW, shrink: bool = False, block: int = ranges.BLOCK) -> DataFrame:
     """profile with smooth_<column>: a centred mean, nulls as the largest entropy. Beyond the ends
-    counts as zero; with shrink the mean is over what is there. An alignment's columns are bounded
-    by its length, so one ordered window holds them."""
+    counts as zero; with shrink the mean is over what is there. Columns are numbered without gaps."""
     before, after = window // 2, window - window // 2 - 1
-    w = W.orderBy("col").rowsBetween(-before, after)
-    filled = F.coalesce(F.col(column), F.log2(F.lit(20.0)))
-    return profile.withColumn(f"smooth_{column}", F.avg(filled).over(w) if shrink else F.sum(filled).over(w) / window)
+    filled, name = F.coalesce(F.col(column), F.log2(F.lit(20.0))), f"smooth_{column}"
+    if shrink:
+        return ranges.sliding(profile, "col", {name: (filled, "avg")}, before, after, block)
+    return ranges.sliding(profile, "col", {name: (filled, "sum")}, before, after, block).withColumn(name, F.col(name) / window)
 
 
-def blocks(profile: DataFrame, threshold: float = ENTROPY_THRESHOLD, shortest: int = MIN_BLOCK_LENGTH, most_gaps: float = MAX_GAP_FRACTION) -> DataFrame:
+def blocks(profile: DataFrame, threshold: float = ENTROPY_THRESHOLD, shortest: int = MIN_BLOCK_LENGTH, most_gaps: float = MAX_GAP_FRACTION, block: int = ranges.BLOCK) -> DataFrame:
     """(block, start, end, length): runs of columns of low smoothed entropy and few gaps."""
-    kept = profile.filter((F.col("smooth_h") < threshold) & (F.col("gap_frac") < most_gaps))
-    island = kept.withColumn("island", F.col("col") - F.row_number().over(W.orderBy("col")))
-    runs = island.groupBy("island").agg(F.min("col").alias("start"), F.max("col").alias("end"), F.count(F.lit(1)).alias("length")).filter(F.col("length") >= shortest)
-    return runs.select(F.row_number().over(W.orderBy("start")).alias("block"), "start", "end", "length")
+    kept = profile.filter((F.col("smooth_h") < threshold) & (F.col("gap_frac") < most_gaps)).select("col")
+    found = ranges.runs(kept, "col", F.lit(1), block=block).select("start", "end", (F.col("end") - F.col("start") + 1).alias("length")).filter(F.col("length") >= shortest)
+    return workqueue.numbered(found, "start").select((F.col("nth") + 1).alias("block"), "start", "end", "length")
 
 
 def consensus(msa: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def consensus(msa: DataFrame) -> DataFrame:
 
 def block_table(runs: DataFrame, profile: DataFrame, msa: DataFrame, width: int = 40) -> DataFrame:
     """Blocks with mean entropy, divergence and gaps (3 decimals) and their consensus."""
-    joined = profile.join(consensus(msa), "col").join(runs, F.col("col").between(F.col("start"), F.col("end")))
+    joined = ranges.within(profile.join(consensus(msa), "col"), "col", runs, "start", "end")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("col", "ch"))), lambda x: x["ch"]), "")
     rows = joined.groupBy("block", "start", "end", "length").agg(F.round(F.avg("h"), 3).alias("mean_entropy"), F.round(F.avg("kl"), 3).alias("mean_kl"), F.round(F.avg("gap_frac"), 3).alias("gap_frac"), text.alias("text"))
     return rows.select("block", "start", "end", "length", "mean_entropy", "mean_kl", "gap_frac", F.concat(F.substring("text", 1, width), F.when(F.length("text") > width, "...").otherwise("")).alias("consensus"))

@@ -20,7 +20,7 @@ from helixframe.schemas import ALPHABET, KMER
 from helixframe.storage import release, scratch
 
 #: Directions beyond those asked for, passes at most, and the change of a share that ends them.
-SPARE, PASSES, CHANGE = 20, 8, 1e-9
+SPARE, PASSES, CHANGE = 20, 8, 1e-8
 #: Rows that are filled up at once, features of a range when blocks are added, and tasks of a first sum.
 ROWS, RANGE, LANES = 256, 1000, 32
 

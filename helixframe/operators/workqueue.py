@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from helixframe.functions.text import percent_bucket
+from helixframe.operators import ranges
 from helixframe.storage import scratch
 
 
@@ -82,17 +83,14 @@ def overall(progress: DataFrame, chunks: DataFrame, done: DataFrame) -> DataFram
     return marked.join(F.broadcast(by_chunk)).select("done", (F.col("total") - F.col("done")).alias("remaining"), "total", pct.alias("pct"), "full", "partly", "not_started")
 
 
-def progress_runs(progress: DataFrame, *order: str) -> DataFrame:
-    """Runs of neighbouring chunks in the same bucket: (bucket, chunks, done, total, pct, label).
-    A row per chunk file is little; the runs are found in one ordered window."""
-    w = W.orderBy(*order)
-    marked = progress.withColumn("bucket", percent_bucket(F.col("pct"))).withColumn("nth", F.row_number().over(w))
-    started = F.when(F.lag("bucket").over(w).eqNullSafe(F.col("bucket")), 0).otherwise(1)
-    runs = marked.withColumn("starts", started).withColumn("run", F.sum("starts").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    grouped = runs.groupBy("run").agg(F.first("bucket").alias("bucket"), F.count(F.lit(1)).alias("chunks"), F.sum("done").alias("done"), F.sum("total").alias("total"), F.min_by("file", "nth").alias("first_file"), F.max_by("file", "nth").alias("last_file"))
-    label = F.when(F.col("chunks") == 1, F.col("first_file")).otherwise(F.concat_ws(" .. ", "first_file", "last_file"))
+def progress_runs(progress: DataFrame, *order: str, block: int = ranges.BLOCK) -> DataFrame:
+    """Runs of neighbouring chunks in the same bucket: (run, bucket, chunks, done, total, pct, label)."""
+    marked = numbered(progress.withColumn("bucket", percent_bucket(F.col("pct"))), *order)
+    found = ranges.runs(marked, "nth", F.col("bucket"), ("done", "total"), ("file",), block)
+    chunks = F.col("end") - F.col("start") + 1
+    label = F.when(chunks == 1, F.col("first_file")).otherwise(F.concat_ws(" .. ", "first_file", "last_file"))
     pct = F.when(F.col("total") > 0, F.lit(100.0) * F.col("done") / F.col("total")).otherwise(F.lit(0.0))
-    return grouped.select("run", "bucket", "chunks", "done", "total", pct.alias("pct"), label.alias("label"))
+    return numbered(found, "start").select((F.col("nth") + 1).alias("run"), F.col("value").alias("bucket"), chunks.alias("chunks"), "done", "total", pct.alias("pct"), label.alias("label"))
 
 
 def progress_histogram(progress: DataFrame) -> DataFrame:
