@@ -95,7 +95,7 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "seq_sample": f"WITH {_SEQS}, {_SAMPLE.format(n=200)} SELECT seq_id, pos, length(seq) AS len FROM sampled",
         "aa_normalise": "SELECT doc_id, md5(regexp_replace(upper(replace(coalesce(text, ''), 'ß', 'SS')), '[UZOB]', 'X', 'g')) AS normalised FROM documents",
         "aa_prompt": f"WITH {_SEQS} SELECT seq_id, md5('<AA2fold> ' || array_to_string(string_split(seq, ''), ' ')) AS prompt, md5(lower(replace(seq, ' ', ''))) AS decoded, CASE WHEN seq <> '' THEN '<AA2fold>' ELSE '<fold2AA>' END AS tag, substr(seq_id, 1, 15) AS label FROM seqs",
-        "uniprot_extract": "SELECT * FROM (VALUES ('sp|P12345|NAME', 'P12345'), ('tr|A0A024R161|X', 'A0A024R161'), ('AF-P12345-F1', 'P12345'), ('P12345', 'P12345'), ('WP_004995605.1', NULL), ('', NULL)) t(name, accession)",
+        "uniprot_extract": "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'sp|' || p || '|' || c_mktsegment WHEN 1 THEN 'AF-' || p || '-F1' WHEN 2 THEN p WHEN 3 THEN 'WP_' || c_custkey || '.1' ELSE c_name END AS name, CASE WHEN c_custkey % 5 < 3 THEN p END AS accession FROM (SELECT *, 'P' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS p FROM customer)",
         "kmer_counts": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')} SELECT kmer, sum(n)::BIGINT AS n, count(*) AS seqs FROM grams GROUP BY kmer",
         "kmer_profile": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')}, {_PROFILE.format(source='seqs')} SELECT seq_id, kmer, n, round(freq, 6) AS freq FROM prof",
         "kmer_features": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')} SELECT (SELECT count(*) FROM seqs) AS seqs, round((SELECT count(*) FROM grams)::DOUBLE / (SELECT count(*) FROM seqs), 6) AS mean_features, (SELECT count(*) FROM seqs WHERE length(seq) < 3) AS excluded",
@@ -114,7 +114,7 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "chunk_progress_runs": f"WITH {_QUEUE}, {_PROGRESS}, m AS (SELECT *, {_BUCKET} AS bucket, row_number() OVER (ORDER BY chunk) AS nth FROM prog), l AS (SELECT *, CASE WHEN lag(bucket) OVER (ORDER BY nth) = bucket THEN 0 ELSE 1 END AS st FROM m), g AS (SELECT *, sum(st) OVER (ORDER BY nth) AS run FROM l) SELECT run::BIGINT AS run, any_value(bucket) AS bucket, count(*) AS chunks, sum(done)::BIGINT AS done, sum(total)::BIGINT AS total, round(100.0::DOUBLE * sum(done) / sum(total), 6) AS pct, CASE WHEN count(*) = 1 THEN min(file) ELSE arg_min(file, nth) || ' .. ' || arg_max(file, nth) END AS label FROM g GROUP BY run",
         "chunk_hist": f"WITH {_QUEUE}, {_PROGRESS} SELECT CAST(b AS INTEGER) AS bin, count(pct) AS n FROM (SELECT unnest(range(0, 10)) AS b) LEFT JOIN prog ON CAST(least(floor(pct / 10), 9) AS INTEGER) = b GROUP BY b",
         "accession_dups": "SELECT accession, count(*) AS n, arg_min(source, pos) AS first_source FROM (SELECT 'C' || o_custkey AS accession, o_orderkey AS pos, o_orderpriority AS source FROM orders) GROUP BY accession HAVING count(*) > 1",
-        "sweep_settings": "SELECT t AS threads, l AS split_length, r AS rep FROM (VALUES (1), (2), (4), (8)) a(t), (VALUES (500), (1000)) b(l), (VALUES (1), (2)) c(r)",
+        "sweep_settings": "SELECT * FROM (SELECT DISTINCT l_linenumber::BIGINT AS threads FROM lineitem), (SELECT DISTINCT 50 * p_size::BIGINT AS split_length FROM part), (SELECT DISTINCT r_regionkey::BIGINT + 1 AS rep FROM region)",
         "benchmark_rates": "SELECT s_suppkey AS accession, round(n::DOUBLE / t, 6) AS proteins_per_s, round(r / t, 6) AS residues_per_s FROM (SELECT l_suppkey AS s_suppkey, count(*) AS n, sum(l_quantity) AS r, sum(l_extendedprice) AS t FROM lineitem GROUP BY 1)",
         "genomes_by_residues": f"WITH {_SEQS} SELECT source AS assembly, count(*) AS proteins, sum(length(seq))::BIGINT AS residues, row_number() OVER (ORDER BY sum(length(seq)), source) AS rank FROM seqs JOIN documents ON doc_id = pos GROUP BY source",
         "rest_pages_limit": "SELECT page, pos, accession FROM (SELECT o_orderkey // 100 AS page, CAST(o_orderkey % 100 AS INTEGER) AS pos, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS accession FROM orders) WHERE accession IS NOT NULL ORDER BY page, pos LIMIT 250",

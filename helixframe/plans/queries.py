@@ -81,9 +81,14 @@ def aa_prompt(s, d):
 
 
 def uniprot_extract(s, d):
-    names = ["sp|P12345|NAME", "tr|A0A024R161|X", "AF-P12345-F1", "P12345", "WP_004995605.1", ""]
-    rows = s.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
-    return rows.select("name", text.protein_accession(F.col("name")).alias("accession"))
+    """Names in every form, made of the customers' keys."""
+    key = F.col("c_custkey")
+    own = F.concat(F.lit("P"), F.lpad((key % 100_000).cast("string"), 5, "0"))
+    forms = [F.concat(F.lit("sp|"), own, F.lit("|"), "c_mktsegment"), F.concat(F.lit("AF-"), own, F.lit("-F1")), own, F.concat(F.lit("WP_"), key.cast("string"), F.lit(".1"))]
+    name = F.col("c_name")
+    for k, form in enumerate(forms):
+        name = F.when(key % 5 == k, form).otherwise(name)
+    return adapters.table(s, d, "customer").select("c_custkey", name.alias("name")).select("c_custkey", "name", text.protein_accession(F.col("name")).alias("accession"))
 
 
 def kmer_counts(s, d):
@@ -150,8 +155,9 @@ def chunk_progress_runs(s, d):
 
 
 def sweep_settings(s, d):
-    column = lambda name, values: s.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
-    return workqueue.sweep(column("threads", [1, 2, 4, 8]), column("split_length", [500, 1000]), column("rep", [1, 2]))
+    """Every setting of the short lists that the tables' columns hold."""
+    column = lambda table, name, value: adapters.table(s, d, table).select(F.expr(value).cast("long").alias(name)).distinct()
+    return workqueue.sweep(column("lineitem", "threads", "l_linenumber"), column("part", "split_length", "50 * p_size"), column("region", "rep", "r_regionkey + 1"))
 
 
 def benchmark_rates(s, d):
