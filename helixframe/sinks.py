@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +35,43 @@ def write_metadata(runs: DataFrame, folder: str) -> None:
 
 
 def write_files(lines: DataFrame, folder: str, *order: str) -> None:
-    """(file, value) as one plain file for each name, lines in an order. Tasks write a folder for each
-    name; then the one file of each is moved up, a step on names alone."""
+    """(file, value) as one plain file for each name, lines in an order; all of them or none.
+
+    Tasks write to a place beside the folder, which Spark's own commit makes whole or leaves empty. There
+    the one file of each name gets its name, and then all are published: by renaming the place, if the
+    folder does not exist yet, else file by file, taking back what was moved if one can't be. Whatever
+    fails, the place is removed. A file that is there already is an error, nothing is overwritten."""
     spark = lines.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
-    files, target, work = path(folder).getFileSystem(conf), folder.rstrip("/"), f"{folder.rstrip('/')}/_writing"
-    ordered = lines.select("file", "value", *(F.col(c).alias(f"_{i}") for i, c in enumerate(order))).repartition("file").sortWithinPartitions("file", *(f"_{i}" for i in range(len(order))))
-    ordered.select("file", "value").write.partitionBy("file").text(work)
-    for found in files.globStatus(path(work, "file=*", "part-*")):
-        name = jvm.java.net.URLDecoder.decode(found.getPath().getParent().getName(), "UTF-8").split("=", 1)[1]
-        if not files.rename(found.getPath(), path(target, name)):
-            raise OSError(f"{target}/{name} cannot be written")
-    files.delete(path(work), True)
+    target = folder.rstrip("/")
+    files, work = path(target).getFileSystem(conf), f"{target}.writing-{uuid.uuid4().hex}"
+
+    def moved(source, there) -> None:
+        if files.exists(there) or not files.rename(source, there):
+            raise OSError(f"{there} cannot be written")
+
+    try:
+        ordered = lines.select("file", "value", *(F.col(c).alias(f"_{i}") for i, c in enumerate(order))).repartition("file").sortWithinPartitions("file", *(f"_{i}" for i in range(len(order))))
+        ordered.select("file", "value").write.partitionBy("file").text(f"{work}/parts")
+        files.mkdirs(path(work, "named"))
+        names = []
+        for found in files.globStatus(path(work, "parts", "file=*", "part-*")):
+            names.append(jvm.java.net.URLDecoder.decode(found.getPath().getParent().getName(), "UTF-8").split("=", 1)[1])
+            moved(found.getPath(), path(work, "named", names[-1]))
+        if not files.exists(path(target)):
+            return moved(path(work, "named"), path(target))
+        done: list[str] = []
+        try:
+            for name in names:
+                moved(path(work, "named", name), path(target, name))
+                done.append(name)
+        except Exception:
+            for name in done:
+                files.delete(path(target, name), False)
+            raise
+    finally:
+        files.delete(path(work), True)
 
 
 def write_chunks(assigned: DataFrame, folder: str) -> None:
