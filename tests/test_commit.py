@@ -54,7 +54,7 @@ def test_nothing_is_overwritten_or_half_written(spark, tmp_path):
 @pytest.mark.parametrize("seed", [0, 1])
 def test_feed_equals_the_batch_in_any_order(spark, tmp_path, seed):
     rnd, runs = random.Random(seed), tmp_path / "runs"
-    made = [(f"run{i}", [f"G{rnd.randrange(12)}" for _ in range(3)], 1_700_000_000 - 86_400 * 30 * i) for i in range(6)]
+    made = [(f"task_{i}", [f"G{rnd.randrange(12)}" for _ in range(3)], 1_700_000_000 - 86_400 * 30 * i) for i in range(6)]
     rnd.shuffle(made)
     for k, (name, downloaded, seen) in enumerate(made):  # one trigger each, some a month or more behind
         (runs / name).mkdir(parents=True)
