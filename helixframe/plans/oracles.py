@@ -54,6 +54,12 @@ _BUCKET = "CASE WHEN pct = 100 THEN '100%' WHEN pct = 0 THEN '0%' ELSE CAST(CAST
 _OWN = "own AS (SELECT * FROM hits WHERE query <> target)"
 _SCORES = f"""{_COLUMNS.format(threshold='1.0')}, res AS (SELECT seq_id, sum(CASE WHEN ch <> '-' THEN 1 ELSE 0 END) OVER (PARTITION BY seq_id ORDER BY col) - 1 AS resi, col, ch FROM cells),
     scored AS (SELECT seq_id, resi, res.col AS col, least(greatest(1.0::DOUBLE - coalesce(h, log2(20)) / log2(20.0::DOUBLE), 0), 1) AS score FROM res JOIN prof USING (col) WHERE ch <> '-')"""
+#: Scores of the best alignments of the beginnings of pairs (p, sa, sb), a row of the matrix at a time: a
+#: gap along the row is a running maximum of scores from which the gap line is taken off.
+_NW = """dp AS (SELECT p, 0 AS i, j, -2 * j AS s FROM pairs, LATERAL (SELECT unnest(range(0, length(sb) + 1)) AS j)
+    UNION ALL SELECT p, i, j, max(c + 2 * j) OVER (PARTITION BY p ORDER BY j) - 2 * j FROM (
+        SELECT d.p, d.i + 1 AS i, d.j, CASE WHEN d.j = 0 THEN -2 * (d.i + 1) ELSE greatest(d.s - 2, lag(d.s) OVER (PARTITION BY d.p ORDER BY d.j) + CASE WHEN substr(sa, d.i + 1, 1) = substr(sb, d.j, 1) THEN 1 ELSE -1 END) END AS c
+        FROM dp d JOIN pairs USING (p) WHERE d.i < length(sa)))"""
 _EVALUE_IDS = "ids AS (SELECT DISTINCT query AS seq_id FROM hits)"
 
 
@@ -101,6 +107,15 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "kmer_features": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')} SELECT (SELECT count(*) FROM seqs) AS seqs, round((SELECT count(*) FROM grams)::DOUBLE / (SELECT count(*) FROM seqs), 6) AS mean_features, (SELECT count(*) FROM seqs WHERE length(seq) < 3) AS excluded",
         "kmer_jsd": f"WITH {_SEQS}, {_SAMPLE.format(n=50)}, {_GRAMS.format(source='sampled')}, {_PROFILE.format(source='sampled')}, s AS (SELECT a.seq_id AS id_i, b.seq_id AS id_j, 1.0::DOUBLE + sum(a.freq * log2(a.freq / ((a.freq + b.freq) / 2)) + b.freq * log2(b.freq / ((a.freq + b.freq) / 2)) - a.freq - b.freq) / 2 AS jsd FROM prof a JOIN prof b ON a.kmer = b.kmer AND a.seq_id < b.seq_id GROUP BY 1, 2) SELECT i.seq_id AS id_i, j.seq_id AS id_j, round(greatest(0.0::DOUBLE, coalesce(jsd, 1.0::DOUBLE)), 6) AS jsd FROM sampled i JOIN sampled j ON i.seq_id < j.seq_id AND length(i.seq) >= 3 AND length(j.seq) >= 3 LEFT JOIN s ON s.id_i = i.seq_id AND s.id_j = j.seq_id",
         "dist_evalue": f"WITH {_HITS}, {_EVALUE_IDS}, b AS (SELECT least(query, target) AS a, greatest(query, target) AS b, min(evalue) AS e FROM hits WHERE query <> target GROUP BY 1, 2), s AS (SELECT i.seq_id AS id_i, j.seq_id AS id_j, -log10(greatest(least(coalesce(e, 10), 10), 1e-300)) AS score FROM ids i JOIN ids j ON i.seq_id < j.seq_id LEFT JOIN b ON b.a = i.seq_id AND b.b = j.seq_id), m AS (SELECT greatest(max(score), 0) AS m FROM s) SELECT id_i, id_j, round(score, 6) AS score, round(CASE WHEN m > 0 THEN score / m ELSE score END, 6) AS normalised, round(1.0::DOUBLE - CASE WHEN m > 0 THEN score / m ELSE score END, 6) AS distance FROM s, m",
+        "dist_nw": f"""WITH RECURSIVE {_FAMILY}, pairs AS MATERIALIZED (SELECT row_number() OVER () AS p, a.seq_id AS id_i, b.seq_id AS id_j, a.seq AS sa, b.seq AS sb FROM fam a JOIN fam b ON a.seq_id < b.seq_id), {_NW}
+            SELECT id_i, id_j, s AS score, round(greatest(0.0::DOUBLE, 1.0::DOUBLE - s::DOUBLE / nullif(greatest(length(sa), length(sb)), 0)), 6) AS distance FROM pairs JOIN dp USING (p) WHERE i = length(sa) AND j = length(sb)""",
+        "nw_alignments": f"""WITH RECURSIVE {_FAMILY}, pairs AS MATERIALIZED (SELECT a.pos AS p, a.seq_id, b.seq_id AS id_b, a.seq AS sa, b.seq AS sb FROM fam a JOIN fam b ON b.pos = a.pos + 1), {_NW}, cells AS MATERIALIZED (SELECT * FROM dp),
+            walk AS (SELECT p, length(sa)::BIGINT AS i, length(sb)::BIGINT AS j, '' AS a, '' AS b FROM pairs
+            UNION ALL SELECT p, i - CAST(move < 2 AS BIGINT), j - CAST(move <> 1 AS BIGINT), CASE WHEN move < 2 THEN substr(sa, i, 1) ELSE '-' END || a, CASE WHEN move <> 1 THEN substr(sb, j, 1) ELSE '-' END || b FROM (
+                SELECT w.*, sa, sb, CASE WHEN w.i > 0 AND w.j > 0 AND c.s = d.s + CASE WHEN substr(sa, w.i, 1) = substr(sb, w.j, 1) THEN 1 ELSE -1 END THEN 0 WHEN w.i > 0 AND c.s = u.s - 2 THEN 1 ELSE 2 END AS move
+                FROM walk w JOIN pairs USING (p) JOIN cells c ON c.p = w.p AND c.i = w.i AND c.j = w.j LEFT JOIN cells d ON d.p = w.p AND d.i = w.i - 1 AND d.j = w.j - 1 LEFT JOIN cells u ON u.p = w.p AND u.i = w.i - 1 AND u.j = w.j
+                WHERE w.i > 0 OR w.j > 0))
+            SELECT seq_id, id_b, a, b FROM pairs JOIN walk USING (p) WHERE i = 0 AND j = 0""",
         "jukes_cantor": "SELECT t, CASE WHEN t <= 0 THEN 1.0::DOUBLE ELSE round(1.0::DOUBLE / 20 + 19.0::DOUBLE / 20 * exp(-20 * t / 19), 9) END AS p_same, CASE WHEN t <= 0 THEN 0.0::DOUBLE ELSE round((1.0::DOUBLE - exp(-20 * t / 19)) / 20, 9) END AS p_diff FROM (SELECT DISTINCT l_discount AS t FROM lineitem)",
         "chunk_split": f"WITH {_QUEUE} SELECT accession, nth // CAST(ceil((SELECT count(*) FROM acc) / 12) AS BIGINT) AS chunk FROM acc",
         "chunk_fixed": f"WITH {_QUEUE} SELECT accession, chunk, file FROM files",

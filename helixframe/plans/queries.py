@@ -269,7 +269,7 @@ def tsne_map(s, d):
 #: Whole numbers that are 32-bit in Spark's functions and 64-bit in the other engine.
 _BLOCK = ("block", "start", "end")
 _LONG = {
-    "seq_lookup": ("aa_len", "structure_len"), "seq_sample": ("len",), "seq_validate": ("len", "other_len"), "embedding_mean_pool": ("pos",), "msa_block_table": _BLOCK, "msa_blocks": _BLOCK,
+    "dist_nw": ("score",), "seq_lookup": ("aa_len", "structure_len"), "seq_sample": ("len",), "seq_validate": ("len", "other_len"), "embedding_mean_pool": ("pos",), "msa_block_table": _BLOCK, "msa_blocks": _BLOCK,
     "msa_residue_scores": ("col",), "tree_fitch": ("site", "changes"), "seq_length_stats": ("min_len", "max_len"), "seq_length_boxplot": ("whisker_low", "whisker_high"),
     "msa_column_entropy": ("col",), "msa_gap_fraction": ("col",), "msa_kl": ("col",), "msa_smooth": ("col",), "msa_consensus": ("col",),
 }
