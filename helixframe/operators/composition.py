@@ -72,6 +72,26 @@ def composition_matrix(seqs: DataFrame) -> DataFrame:
     return seqs.select("seq_id", *[(_of_letter(c) / F.nullif(F.length("seq"), F.lit(0))).alias(f"f_{c}") for c in ALPHABET])
 
 
+def composition_cells(seqs: DataFrame, n: int) -> DataFrame:
+    """(row, col, ch, value): the cells of a heat map of a sample, a row for each sequence in order of
+    position and a column for each letter of the alphabet; an empty sequence has zeros."""
+    picked = sample(seqs, n)
+    nth = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("pos", "seq_id")) - 1  # as few rows as a picture has
+    cells = F.array(*[F.struct(F.lit(k).cast("long").alias("col"), F.lit(c).alias("ch"), F.coalesce(_of_letter(c) / F.nullif(F.length("seq"), F.lit(0)), F.lit(0.0)).alias("value")) for k, c in enumerate(ALPHABET)])
+    return picked.withColumn("row", nth.cast("long")).select("row", F.explode(cells).alias("x")).select("row", "x.*")
+
+
+def matrix_cells(pairs: DataFrame, ids: DataFrame, value: str) -> DataFrame:
+    """(row, col, value): the cells of a heat map of distances (id_i, id_j, value) of a sample: both
+    halves and the diagonal, rows and columns in the order of the ids."""
+    nth = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("seq_id")) - 1  # as few rows as a picture has
+    placed = ids.select("seq_id", nth.cast("long").alias("nth"))
+    low, high = placed.select(F.col("seq_id").alias("id_i"), F.col("nth").alias("i")), placed.select(F.col("seq_id").alias("id_j"), F.col("nth").alias("j"))
+    half = pairs.join(low, "id_i").join(high, "id_j").select("i", "j", F.col(value).alias("value"))
+    whole = half.unionByName(half.select(F.col("j").alias("i"), F.col("i").alias("j"), "value")).unionByName(placed.select(F.col("nth").alias("i"), F.col("nth").alias("j"), F.lit(0.0).alias("value")))
+    return whole.select(F.col("i").alias("row"), F.col("j").alias("col"), "value")
+
+
 def entropy(seqs: DataFrame) -> DataFrame:
     """(seq_id, entropy): letters outside the alphabet count in the total, not in the sum. The counts
     are columns of their own, so that each letter is counted once for the terms it is in."""

@@ -106,9 +106,11 @@ def oracle_sql(threshold: float) -> dict[str, str]:
         "kmer_profile": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')}, {_PROFILE.format(source='seqs')} SELECT seq_id, kmer, n, round(freq, 6) AS freq FROM prof",
         "kmer_features": f"WITH {_SEQS}, {_GRAMS.format(source='seqs')} SELECT (SELECT count(*) FROM seqs) AS seqs, round((SELECT count(*) FROM grams)::DOUBLE / (SELECT count(*) FROM seqs), 6) AS mean_features, (SELECT count(*) FROM seqs WHERE length(seq) < 3) AS excluded",
         "kmer_jsd": f"WITH {_SEQS}, {_SAMPLE.format(n=50)}, {_GRAMS.format(source='sampled')}, {_PROFILE.format(source='sampled')}, s AS (SELECT a.seq_id AS id_i, b.seq_id AS id_j, 1.0::DOUBLE + sum(a.freq * log2(a.freq / ((a.freq + b.freq) / 2)) + b.freq * log2(b.freq / ((a.freq + b.freq) / 2)) - a.freq - b.freq) / 2 AS jsd FROM prof a JOIN prof b ON a.kmer = b.kmer AND a.seq_id < b.seq_id GROUP BY 1, 2) SELECT i.seq_id AS id_i, j.seq_id AS id_j, round(greatest(0.0::DOUBLE, coalesce(jsd, 1.0::DOUBLE)), 6) AS jsd FROM sampled i JOIN sampled j ON i.seq_id < j.seq_id AND length(i.seq) >= 3 AND length(j.seq) >= 3 LEFT JOIN s ON s.id_i = i.seq_id AND s.id_j = j.seq_id",
+        "seq_composition_heatmap": f"WITH {_SEQS}, {_SAMPLE.format(n=200)}, r AS (SELECT row_number() OVER (ORDER BY pos) - 1 AS row, seq FROM sampled) SELECT row, k AS col, ch, round(CASE WHEN seq = '' THEN 0.0::DOUBLE ELSE (length(seq) - length(replace(seq, ch, '')))::DOUBLE / length(seq) END, 6) AS value FROM r, (SELECT k, substr('{ALPHABET}', CAST(k + 1 AS INTEGER), 1) AS ch FROM range(0, 20) t(k))",
+        "kmer_jsd_heatmap": f"WITH {_SEQS}, {_SAMPLE.format(n=50)}, {_GRAMS.format(source='sampled')}, {_PROFILE.format(source='sampled')}, s AS (SELECT a.seq_id AS id_i, b.seq_id AS id_j, 1.0::DOUBLE + sum(a.freq * log2(a.freq / ((a.freq + b.freq) / 2)) + b.freq * log2(b.freq / ((a.freq + b.freq) / 2)) - a.freq - b.freq) / 2 AS jsd FROM prof a JOIN prof b ON a.kmer = b.kmer AND a.seq_id < b.seq_id GROUP BY 1, 2), j AS (SELECT i.seq_id AS id_i, j.seq_id AS id_j, round(greatest(0.0::DOUBLE, coalesce(jsd, 1.0::DOUBLE)), 6) AS jsd FROM sampled i JOIN sampled j ON i.seq_id < j.seq_id AND length(i.seq) >= 3 AND length(j.seq) >= 3 LEFT JOIN s ON s.id_i = i.seq_id AND s.id_j = j.seq_id), n AS (SELECT seq_id, row_number() OVER (ORDER BY seq_id) - 1 AS nth FROM sampled WHERE length(seq) >= 3), h AS (SELECT a.nth AS x, b.nth AS y, jsd FROM j JOIN n a ON a.seq_id = id_i JOIN n b ON b.seq_id = id_j) SELECT x AS row, y AS col, jsd AS value FROM h UNION ALL SELECT y, x, jsd FROM h UNION ALL SELECT nth, nth, 0.0::DOUBLE FROM n",
         "dist_evalue": f"WITH {_HITS}, {_EVALUE_IDS}, b AS (SELECT least(query, target) AS a, greatest(query, target) AS b, min(evalue) AS e FROM hits WHERE query <> target GROUP BY 1, 2), s AS (SELECT i.seq_id AS id_i, j.seq_id AS id_j, -log10(greatest(least(coalesce(e, 10), 10), 1e-300)) AS score FROM ids i JOIN ids j ON i.seq_id < j.seq_id LEFT JOIN b ON b.a = i.seq_id AND b.b = j.seq_id), m AS (SELECT greatest(max(score), 0) AS m FROM s) SELECT id_i, id_j, round(score, 6) AS score, round(CASE WHEN m > 0 THEN score / m ELSE score END, 6) AS normalised, round(1.0::DOUBLE - CASE WHEN m > 0 THEN score / m ELSE score END, 6) AS distance FROM s, m",
         "dist_nw": f"""WITH RECURSIVE {_FAMILY}, pairs AS MATERIALIZED (SELECT row_number() OVER () AS p, a.seq_id AS id_i, b.seq_id AS id_j, a.seq AS sa, b.seq AS sb FROM fam a JOIN fam b ON a.seq_id < b.seq_id), {_NW}
-            SELECT id_i, id_j, s AS score, round(greatest(0.0::DOUBLE, 1.0::DOUBLE - s::DOUBLE / nullif(greatest(length(sa), length(sb)), 0)), 6) AS distance FROM pairs JOIN dp USING (p) WHERE i = length(sa) AND j = length(sb)""",
+            SELECT id_i, id_j, s AS score, greatest(length(sa), length(sb))::BIGINT AS longest, round(greatest(0.0::DOUBLE, 1.0::DOUBLE - s::DOUBLE / nullif(greatest(length(sa), length(sb)), 0)), 6) AS distance FROM pairs JOIN dp USING (p) WHERE i = length(sa) AND j = length(sb)""",
         "nw_alignments": f"""WITH RECURSIVE {_FAMILY}, pairs AS MATERIALIZED (SELECT a.pos AS p, a.seq_id, b.seq_id AS id_b, a.seq AS sa, b.seq AS sb FROM fam a JOIN fam b ON b.pos = a.pos + 1), {_NW}, cells AS MATERIALIZED (SELECT * FROM dp),
             walk AS (SELECT p, length(sa)::BIGINT AS i, length(sb)::BIGINT AS j, '' AS a, '' AS b FROM pairs
             UNION ALL SELECT p, i - CAST(move < 2 AS BIGINT), j - CAST(move <> 1 AS BIGINT), CASE WHEN move < 2 THEN substr(sa, i, 1) ELSE '-' END || a, CASE WHEN move <> 1 THEN substr(sb, j, 1) ELSE '-' END || b FROM (

@@ -104,6 +104,15 @@ def kmer_jsd(s, d):
     return _rounded(kmers.divergence(composition.sample(adapters.sequences(s, d), SAMPLE["distance"])), "jsd")
 
 
+def seq_composition_heatmap(s, d):
+    return _rounded(composition.composition_cells(adapters.sequences(s, d), SAMPLE["composition"]), "value")
+
+
+def kmer_jsd_heatmap(s, d):
+    sampled = composition.sample(adapters.sequences(s, d), SAMPLE["distance"]).filter(F.length("seq") >= 3)
+    return _rounded(composition.matrix_cells(kmers.divergence(sampled), sampled, "jsd"), "value")
+
+
 def dist_evalue(s, d):
     h = adapters.hits(s, d)
     return _rounded(kmers.evalue_scores(h.select(F.col("query").alias("seq_id")).distinct(), h, EVALUE_CEILING, EVALUE_FLOOR), "score", "normalised", "distance")
@@ -269,7 +278,7 @@ def tsne_map(s, d):
 #: Whole numbers that are 32-bit in Spark's functions and 64-bit in the other engine.
 _BLOCK = ("block", "start", "end")
 _LONG = {
-    "dist_nw": ("score",), "seq_lookup": ("aa_len", "structure_len"), "seq_sample": ("len",), "seq_validate": ("len", "other_len"), "embedding_mean_pool": ("pos",), "msa_block_table": _BLOCK, "msa_blocks": _BLOCK,
+    "dist_nw": ("score", "longest"), "seq_lookup": ("aa_len", "structure_len"), "seq_sample": ("len",), "seq_validate": ("len", "other_len"), "embedding_mean_pool": ("pos",), "msa_block_table": _BLOCK, "msa_blocks": _BLOCK,
     "msa_residue_scores": ("col",), "tree_fitch": ("site", "changes"), "seq_length_stats": ("min_len", "max_len"), "seq_length_boxplot": ("whisker_low", "whisker_high"),
     "msa_column_entropy": ("col",), "msa_gap_fraction": ("col",), "msa_kl": ("col",), "msa_smooth": ("col",), "msa_consensus": ("col",),
 }
@@ -282,7 +291,7 @@ def _widened(query, names):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         hits_similar_topk, hits_query_status, hits_evalue_hist, hits_export_fasta, seq_bad_chars, seq_lookup, seq_sample, aa_normalise, aa_prompt, uniprot_extract,
-        kmer_counts, kmer_features, kmer_jsd, dist_evalue, dist_nw, nw_alignments, jukes_cantor, search_all_vs_all, chunk_fixed, chunk_overall, chunk_progress_runs,
+        kmer_counts, kmer_features, kmer_jsd, seq_composition_heatmap, kmer_jsd_heatmap, dist_evalue, dist_nw, nw_alignments, jukes_cantor, search_all_vs_all, chunk_fixed, chunk_overall, chunk_progress_runs,
         sweep_settings, benchmark_rates, genomes_by_residues, rest_pages_limit, meta_explode, embedding_mean_pool, msa_block_table, msa_residue_scores, viewer_bins,
         tree_rf, tree_fitch, pca_scree, ward_clusters, average_clusters, dendrogram_last_merges, cluster_summary, translate_letters, tsne_map,
     )
