@@ -5,8 +5,8 @@ one count by at most one, so the Manhattan distance of two embeddings is a lower
 Hamming distance. A range join of radius 3 over 32 dimensions is cut in two halves of 16: if the
 whole distance is at most 3, one half is within 1. Each half is a grid of cells one count wide;
 the cells within distance 1 are the home cell and its direct neighbours. Two cells at distance 1
-have count sums of different parity, so only fingerprints of even sum visit neighbours. What meets
-in a cell is checked against the Manhattan bound over all segments and then bit by bit.
+have count sums of different parity, so only fingerprints of even sum visit neighbours. Pairs that meet
+in a cell are within the bound in that half; whether they are links is told bit by bit.
 
 Links are found between different fingerprints (copies share one), and components by alternating
 large-star and small-star steps, all as DataFrames.
