@@ -300,14 +300,12 @@ def test_searching_many_at_once_scores_as_one_by_one(spark):
 
 
 def test_clusters_and_last_merges_of_components(spark):
-    import pandas as pd
-
-    scores = pd.DataFrame({"seq_id": [f"s{i}" for i in range(6)], "pc1": [0.0, 0.1, 0.2, 9.0, 9.1, 20.0]})
+    scores = spark.createDataFrame([(f"s{i}", [x]) for i, x in enumerate([0.0, 0.1, 0.2, 9.0, 9.1, 20.0])], "seq_id string, scores array<double>")
     for method, sizes in (("ward", [3, 6]), ("average", [5, 6])):
-        assert reduce.ward_clusters(scores, 3, method)["cluster"].tolist() == [1, 1, 1, 2, 2, 3]
-        last = reduce.last_merges(scores, method, 2)
-        assert last["step"].tolist() == [3, 4] and last["size"].tolist() == sizes
-    assert reduce.last_merges(scores, "average", 2)["distance"].round(6).tolist() == [8.95, 16.32]
+        assert [r.cluster for r in reduce.clusters(scores, 3, method).orderBy("seq_id").collect()] == [1, 1, 1, 2, 2, 3]
+        last = reduce.last_merges(scores, method, 2).orderBy("step").collect()
+        assert [r.step for r in last] == [3, 4] and [r["size"] for r in last] == sizes
+    assert [round(r.distance, 6) for r in reduce.last_merges(scores, "average", 2).orderBy("step").collect()] == [8.95, 16.32]
 
 
 def test_results_commands(spark, tmp_path, capsys):
