@@ -85,7 +85,8 @@ def overall(progress: DataFrame, chunks: DataFrame, done: DataFrame) -> DataFram
 
 def progress_runs(progress: DataFrame, *order: str, block: int = ranges.BLOCK) -> DataFrame:
     """Runs of neighbouring chunks in the same bucket: (run, bucket, chunks, done, total, pct, label)."""
-    marked = numbered(progress.withColumn("bucket", percent_bucket(F.col("pct"))), *order)
+    settled = scratch(progress.withColumn("bucket", percent_bucket(F.col("pct"))), "progress")  # a row a file
+    marked = numbered(settled, *order)
     found = ranges.runs(marked, "nth", F.col("bucket"), ("done", "total"), ("file",), block)
     chunks = F.col("end") - F.col("start") + 1
     label = F.when(chunks == 1, F.col("first_file")).otherwise(F.concat_ws(" .. ", "first_file", "last_file"))

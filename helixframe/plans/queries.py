@@ -14,6 +14,7 @@ from helixframe.operators import composition, conservation, distance, hits, kmer
 from helixframe.plans import oracles
 from helixframe.schemas import CLUSTERS, EVALUE_CEILING, EVALUE_FLOOR, SAMPLE
 from helixframe.sources import tables
+from helixframe.storage import scratch
 
 QUERY, EVALUE, DOMINANT = "P7", 1e-10, 0.2
 #: The driver's passages are no homologues: their columns count as conserved under this entropy.
@@ -206,7 +207,8 @@ def _msa(s, d):
 def _columns(s, d):
     bg = conservation.background(composition.global_composition(adapters.sequences(s, d)))
     profile = conservation.column_profile(_msa(s, d), bg)
-    return conservation.smooth(conservation.smooth(profile, "h"), "kl")
+    # Settled, as a row a column is little and what it is made of is all documents.
+    return scratch(conservation.smooth(conservation.smooth(profile, "h"), "kl"), "columns")
 
 
 def _blocks(s, d):
@@ -214,7 +216,8 @@ def _blocks(s, d):
 
 
 def msa_block_table(s, d):
-    return conservation.block_table(_blocks(s, d), _columns(s, d), _msa(s, d))
+    columns = _columns(s, d)
+    return conservation.block_table(conservation.blocks(columns, threshold=BLOCK_ENTROPY), columns, _msa(s, d))
 
 
 def msa_residue_scores(s, d):
@@ -337,7 +340,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "msa_kl": lambda s, d: _rounded(_columns(s, d).select("col", "kl"), "kl"),
         "msa_smooth": lambda s, d: _rounded(_columns(s, d).select("col", "smooth_h", "smooth_kl"), "smooth_h", "smooth_kl"),
         "msa_blocks": _blocks,
-        "msa_coverage": lambda s, d: _rounded(conservation.coverage(_blocks(s, d), _columns(s, d)), "share"),
+        "msa_coverage": lambda s, d: _rounded(conservation.coverage(conservation.blocks(c := _columns(s, d), threshold=BLOCK_ENTROPY), c), "share"),
         "msa_column_summary": lambda s, d: _rounded(conservation.column_summary(_columns(s, d)), "min_h", "max_h", "mean_h", "median_h"),
         "msa_consensus": lambda s, d: conservation.consensus(_msa(s, d)),
         "conservation_colours": lambda s, d: msa_residue_scores(s, d).select("seq_id", "resi", text.hex_colour(F.col("score")).alias("colour")),
