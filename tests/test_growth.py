@@ -31,3 +31,8 @@ def test_scores_of_pairs_move_only_hits(spark, monkeypatch, block):
         want = special.get(pair, -1.0)
         assert (r.score, r.normalised, r.distance) == pytest.approx((want, want / 9, 1 - want / 9))
     assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+
+
+def test_dominant_letter_makes_a_sequence_once(spark, small):
+    got = composition.dominant_letter(adapters.sequences(spark, small), queries.DOMINANT)
+    assert plan(got).count("regexp_replace") <= 2
