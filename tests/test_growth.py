@@ -36,3 +36,26 @@ def test_scores_of_pairs_move_only_hits(spark, monkeypatch, block):
 def test_dominant_letter_makes_a_sequence_once(spark, small):
     got = composition.dominant_letter(adapters.sequences(spark, small), queries.DOMINANT)
     assert plan(got).count("regexp_replace") <= 2
+
+
+def test_counts_by_kernel():
+    texts = ["ACDACD", "", "AC", "A\0\0\0\0", "żółż😀ółż😀", "AAAA"]
+    for k in (1, 2, 3, 5):
+        row, nth, found, n = counted(texts, k)
+        want = {(r, t[i : i + k]): c for r, t in enumerate(texts) for i, c in [(i, 0) for i in range(len(t) - k + 1)]}
+        want = Counter((r, t[i : i + k]) for r, t in enumerate(texts) for i in range(len(t) - k + 1)) if want else {}
+        assert {(int(r), found[i]): int(c) for r, i, c in zip(row, nth, n, strict=True)} == dict(want)
+
+
+def test_counts_of_long_alphabets():
+    text = "".join(map(chr, range(0x4E00, 0x4E00 + 3000))) * 2
+    row, nth, found, n = counted([text], 9)
+    assert len(found) == 3000 and sum(n) == len(text) - 8
+
+
+def test_profiles_move_no_kmers_of_single_ids(spark, monkeypatch):
+    monkeypatch.setattr(kmers, "CHARS", 5, raising=False)
+    frame = spark.createDataFrame([("a", "ACDACD"), ("b", "AC"), ("c", "AAAAA"), ("r", "ACDA"), ("r", "ACD"), (None, "CCC"), (None, "CCC")], "seq_id string, seq string")
+    rows = sorted((r.seq_id, r.kmer, r.n, round(r.freq, 6)) for r in kmers.profile(frame).collect())
+    assert rows == [("a", "ACD", 2, 0.5), ("a", "CDA", 1, 0.25), ("a", "DAC", 1, 0.25), ("c", "AAA", 3, 1.0), ("r", "ACD", 2, 1.0), ("r", "ACD", 2, 2.0), ("r", "CDA", 1, 0.5), ("r", "CDA", 1, 1.0)]
+    assert plan(kmers.profile(frame.filter("seq_id < 'd'"))).count("Generate") == 0
