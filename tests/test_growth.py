@@ -59,3 +59,11 @@ def test_profiles_move_no_kmers_of_single_ids(spark, monkeypatch):
     rows = sorted((r.seq_id, r.kmer, r.n, round(r.freq, 6)) for r in kmers.profile(frame).collect())
     assert rows == [("a", "ACD", 2, 0.5), ("a", "CDA", 1, 0.25), ("a", "DAC", 1, 0.25), ("c", "AAA", 3, 1.0), ("r", "ACD", 2, 1.0), ("r", "ACD", 2, 2.0), ("r", "CDA", 1, 0.5), ("r", "CDA", 1, 1.0)]
     assert plan(kmers.profile(frame.filter("seq_id < 'd'"))).count("Generate") == 0
+
+
+def test_features_of_repeated_ids(spark):
+    frame = spark.createDataFrame([("a", "ACDACD"), ("r", "ACDA"), ("r", "ACD"), (None, "CCC")], "seq_id string, seq string")
+    one = kmers.feature_counts(frame).first()
+    assert (one.seqs, one.mean_features) == (4, pytest.approx(6 / 4))
+    none = kmers.feature_counts(frame.limit(0)).first()
+    assert none.seqs == 0 and none.mean_features is None
