@@ -67,3 +67,11 @@ def test_features_of_repeated_ids(spark):
     assert (one.seqs, one.mean_features) == (4, pytest.approx(6 / 4))
     none = kmers.feature_counts(frame.limit(0)).first()
     assert none.seqs == 0 and none.mean_features is None
+
+
+def test_samples_make_only_their_own_sequences(spark):
+    ids = spark.range(200).select(F.concat(F.lit("S"), "id").alias("seq_id"), F.col("id").alias("pos"))
+    first = {r.seq_id for r in ids.orderBy(F.md5("seq_id"), "seq_id").limit(5).collect()}
+    bad = F.lit(1) / F.when(F.col("seq_id").isin(*first), 1).otherwise(0)  # fails for all rows but the five
+    got = composition.sample(ids.withColumn("seq", bad.cast("string")), 5).collect()
+    assert {r.seq_id for r in got} == first and math.isclose(float(got[0].seq), 1)
