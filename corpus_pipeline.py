@@ -47,7 +47,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 ids, as the packing operator returns them: a null or empty text is
     its end id alone, a null id is carried through, and repeated rows are packed each time."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=60_000)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=20_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("SimHash near-dedup", drop_near_copies), ("secret scans", mask_secrets), ("packing", pack)]

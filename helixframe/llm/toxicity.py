@@ -107,7 +107,7 @@ def noisy_or(spans: list[tuple[int, int, float]]) -> float:
 
 
 class WordWeights(Remembered):
-    entries = 60_000
+    entries = 20_000
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
